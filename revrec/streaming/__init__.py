@@ -1,0 +1 @@
+"""Nothing here: the covered work is batch only (no watermark, window or state in any of it)."""
