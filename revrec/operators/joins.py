@@ -1,7 +1,9 @@
 """Joins of reviews, products and recommendations.
 
-No side is marked for broadcast: Spark broadcasts a side it has measured as small, and splits the
-partitions of frequent keys otherwise.
+No side is marked for broadcast: Spark broadcasts a table whose size it knows to be small, and
+otherwise splits the shuffle partitions of frequent keys. Both need a table on the looked-up side; a
+side that is itself an aggregate on the join key has neither a known size nor an exchange to split,
+so the plans write such a side first (`sources.shared.materialise`).
 """
 
 from __future__ import annotations

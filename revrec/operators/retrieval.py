@@ -111,7 +111,8 @@ def _blocked_top_k(queries: DataFrame, items: DataFrame, k: int, query_block: in
 
 
 def _named(df: DataFrame, id_col: str, name: str) -> DataFrame:
-    return df.select(F.col(id_col).alias(name), F.col("embedding"))
+    # New names for both columns, so that a table can be searched against itself.
+    return df.select(F.col(id_col).alias(name), F.col("embedding").alias("embedding"))
 
 
 def top_k(queries: DataFrame, items: DataFrame, k: int = 10, query_id: str = "query_id", item_id: str = "item_id",

@@ -440,8 +440,8 @@ def top_values(spark, sf):
 FROM grid g LEFT JOIN cells c ON c.lang = g.lang AND g.bin = least(10, 1 + CAST(floor(10 * (v - lo) / (hi - lo)) AS BIGINT))
 GROUP BY g.lang, lo, hi, g.bin
 UNION ALL
-SELECT g.lang, 'n_chars', 'quantile', g.bin, (SELECT quantile_disc(v, (g.bin - 1) / 10) FROM cells c WHERE c.lang = g.lang),
-  (SELECT quantile_disc(v, g.bin / 10) FROM cells c WHERE c.lang = g.lang), round(n / 10, 6) FROM grid g""")
+SELECT g.lang, 'n_chars', 'quantile', g.bin, sorted[greatest(1, ((g.bin - 1) * n + 9) // 10)], sorted[(g.bin * n + 9) // 10],
+  round(n / 10, 6) FROM grid g JOIN (SELECT lang, list(v ORDER BY v) AS sorted FROM cells GROUP BY 1) USING (lang)""")
 def numeric_histograms(spark, sf):
     documents = testdata.table(spark, sf, "documents").select("lang", "n_chars")
     return rounded(statistics.numeric_histograms(documents, ["lang"]), "low", "high", "count").withColumn(
@@ -570,6 +570,14 @@ def topk_blocked(spark, sf):
     return rounded(_top_k(spark, sf, 10, query_block=128, item_block=96), "score")
 
 
+@query(_TOPK_SQL.format(k=10))
+def topk_all_cells(spark, sf):
+    """The approximate search is exact once every cell is probed."""
+    vectors = testdata.vectors(spark, sf)
+    centres = retrieval.fit_cells(vectors, 16, seed=1)
+    return rounded(retrieval.approx_top_k(vectors, vectors, centres, 10, 16, "vec_id", "vec_id", 128, 96), "score")
+
+
 @query()
 def topk_approx_recall(spark, sf):
     vectors = testdata.vectors(spark, sf)
@@ -793,6 +801,43 @@ def latest_approved(spark, sf):
     return artifacts.latest_approved(files.drop("ok"), files.select("path", "ok"), ["participant"])
 
 
+# Every customer and every part takes one of the given vectors; purchases are the labels.
+
+
+def _fixed(spark, sf):
+    vectors = testdata.vectors(spark, sf).select("vec_id", "embedding")
+    many = vectors.agg(F.count("*")).scalar()
+    vectors = materialise(vectors, "vectors")
+
+    def assigned(name, key, out):
+        rows = testdata.table(spark, sf, name).select(F.col(key).alias(out), (F.col(key) % many).alias("vec_id"))
+        return rows.join(vectors, "vec_id").select(out, "embedding")
+
+    ranked = rec.recommend(assigned("customer", "c_custkey", "customer_id"), assigned("part", "p_partkey", "product_id"))
+    return rounded(ranked, "score")
+
+
+_FIXED = """n AS (SELECT count(*) AS many FROM embeddings),
+sides AS (SELECT q.vec_id AS a, i.vec_id AS b,
+  round(list_inner_product(CAST(q.embedding AS DOUBLE[]), CAST(i.embedding AS DOUBLE[])), 6) AS score FROM embeddings q, embeddings i),
+fixed AS (SELECT c_custkey AS customer_id, p_partkey AS item_id, score,
+  row_number() OVER (PARTITION BY c_custkey ORDER BY score DESC, p_partkey) AS rank
+  FROM customer, n, part JOIN sides ON a = c_custkey % many AND b = p_partkey % many QUALIFY rank <= 10)"""
+
+
+@query(with_(_FIXED) + "SELECT customer_id, item_id, score, rank FROM fixed")
+def recommend_fixed(spark, sf):
+    return _fixed(spark, sf)
+
+
+@query(with_(_FIXED) + """SELECT 'overall' AS slice, unnest(['example_count', 'top_k_accuracy']) AS metric,
+  unnest([CAST(count(*) AS DOUBLE), round(avg(CAST(f.item_id IS NOT NULL AS INTEGER)), 6)]) AS value
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey LEFT JOIN fixed f ON f.customer_id = o_custkey AND f.item_id = l_partkey""")
+def evaluate_fixed(spark, sf):
+    purchases = testdata.revisions(spark, sf).select("customer_id", F.col("tsin_id").alias("product_id"))
+    return rounded(rec.evaluate(purchases, _fixed(spark, sf)), "value")
+
+
 def _trained(spark, sf):
     curated = _stored(spark, sf)
     factors = rec.fit(

@@ -99,7 +99,8 @@ def label_splits(reviews: DataFrame, by: str = CUSTOMER_ID) -> DataFrame:
 
 def keep_active(reviews: DataFrame, by: str = CUSTOMER_ID, n: int = ACTIVE_REVIEWS) -> DataFrame:
     """Reviews of customers with at least n."""
-    return reviews.join(_active(reviews, by, n).drop("_total"), by, "left_semi")
+    active = materialise(_active(reviews, by, n).select(by), "active")
+    return reviews.join(active, by, "left_semi")
 
 
 def keep_recent(reviews: DataFrame, by: str = CUSTOMER_ID, n: int = RECENT_REVIEWS) -> DataFrame:
@@ -136,7 +137,8 @@ def curate(revisions: DataFrame, docs: DataFrame, *, salt: str, departments: Seq
            first_day: str = FIRST_DAY, last_day: str = LAST_DAY, tiebreak: Sequence[str] = ()) -> DataFrame:
     """The review dataset with its split column."""
     reviews = latest_reviews(revisions, first_day, last_day, tiebreak=tiebreak)
-    joined = attach_products(reviews.filter("customer_id_pii is not null"), latest_products(docs, departments))
+    products = materialise(latest_products(docs, departments), "products")
+    joined = attach_products(reviews.filter("customer_id_pii is not null"), products)
     # Grouped by the short raw key; only kept rows get the long digest.
     return split_recent(joined, "customer_id_pii").withColumn(
         CUSTOMER_ID, pseudonym(F.col("customer_id_pii"), salt)
