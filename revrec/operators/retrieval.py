@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
@@ -77,25 +77,22 @@ def _score_blocks(k: int):
     return score
 
 
-def _blocked_top_k(queries: DataFrame, items: DataFrame, k: int, query_block: int, item_block: int) -> DataFrame:
+def _blocked_top_k(queries: DataFrame, items: DataFrame, k: int) -> DataFrame:
     """Top k of (cell, query_id, embedding) against (cell, item_id, embedding) with the same cell.
 
-    A cell of any size is cut into blocks, so a popular cell spreads over many tasks.
+    Both sides carry `q_blocks` and `i_blocks`, the numbers of blocks that the cell is cut into.
     """
-    q_sizes = queries.groupBy("cell").agg(F.ceil(F.count("*") / query_block).alias("q_blocks"))
-    i_sizes = items.groupBy("cell").agg(F.ceil(F.count("*") / item_block).alias("i_blocks"))
-    # One row per cell, and the number of cells is a parameter: small at any data size.
-    layout = F.broadcast(q_sizes.join(i_sizes, "cell"))
-    q = queries.join(layout, "cell").select(
+    first = F.lit(0).cast("long")
+    q = queries.select(
         "cell",
         F.pmod(F.xxhash64("query_id"), "q_blocks").alias("q_block"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("i_blocks") - 1)).alias("i_block"),
+        F.explode(F.sequence(first, F.col("i_blocks") - 1)).alias("i_block"),
         "query_id",
         "embedding",
     )
-    i = items.join(layout, "cell").select(
+    i = items.select(
         "cell",
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("q_blocks") - 1)).alias("q_block"),
+        F.explode(F.sequence(first, F.col("q_blocks") - 1)).alias("q_block"),
         F.pmod(F.xxhash64("item_id"), "i_blocks").alias("i_block"),
         "item_id",
         "embedding",
@@ -115,15 +112,20 @@ def _named(df: DataFrame, id_col: str, name: str) -> DataFrame:
     return df.select(F.col(id_col).alias(name), F.col("embedding").alias("embedding"))
 
 
+def _blocks(rows: Column, size: int) -> Column:
+    return F.greatest(F.lit(1), F.ceil(rows / size)).cast("long")
+
+
 def top_k(queries: DataFrame, items: DataFrame, k: int = 10, query_id: str = "query_id", item_id: str = "item_id",
           query_block: int = QUERY_BLOCK, item_block: int = ITEM_BLOCK) -> DataFrame:
     """Exact (query_id, item_id, score, rank) over (id, embedding) tables with unique ids."""
-    one = F.lit(0)
-    return _blocked_top_k(
-        _named(queries, query_id, "query_id").withColumn("cell", one),
-        _named(items, item_id, "item_id").withColumn("cell", one),
-        k, query_block, item_block,
-    )
+    q, i = _named(queries, query_id, "query_id"), _named(items, item_id, "item_id")
+    layout = {
+        "cell": F.lit(0),
+        "q_blocks": _blocks(q.agg(F.count("*")).scalar(), query_block),
+        "i_blocks": _blocks(i.agg(F.count("*")).scalar(), item_block),
+    }
+    return _blocked_top_k(q.withColumns(layout), i.withColumns(layout), k)
 
 
 def fit_cells(items: DataFrame, cells: int, seed: int = 0) -> list[list[float]]:
@@ -161,7 +163,12 @@ def approx_top_k(queries: DataFrame, items: DataFrame, centres: Sequence[Sequenc
     """Top k among the items of the `probe` cells nearest to each query."""
     q = nearest_cells(_named(queries, query_id, "query_id"), centres, probe)
     i = nearest_cells(_named(items, item_id, "item_id"), centres, 1)
-    return _blocked_top_k(q, i, k, query_block, item_block)
+    # A popular cell is cut into more blocks. One row per cell, and the number of cells is given by
+    # `centres`, which every task holds anyway: small at any data size.
+    q_sizes = q.groupBy("cell").agg(_blocks(F.count("*"), query_block).alias("q_blocks"))
+    i_sizes = i.groupBy("cell").agg(_blocks(F.count("*"), item_block).alias("i_blocks"))
+    layout = F.broadcast(q_sizes.join(i_sizes, "cell"))
+    return _blocked_top_k(q.join(layout, "cell"), i.join(layout, "cell"), k)
 
 
 def approx_quality(approximate: DataFrame, exact: DataFrame, queries: DataFrame, items: DataFrame,

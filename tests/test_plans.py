@@ -1,0 +1,106 @@
+"""What the physical plans must and must not contain."""
+
+import re
+
+from pyspark.sql import functions as F
+
+from revrec.operators import joins, ordering, vocabulary
+from revrec.plans import catalogue, curate, ratings
+from revrec.sources import tables, testdata
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_date_range_and_columns_reach_the_scan(spark):
+    text = plan(catalogue.QUERIES["latest_reviews"](spark, SF_DIR))
+    scan = next(line for line in text.splitlines() if "FileScan" in line and "l_shipdate" in line)
+    assert "GreaterThanOrEqual(l_shipdate" in scan and "LessThan(l_shipdate" in scan
+    assert "l_tax" not in scan
+
+
+def test_ratings_scan_two_columns(spark):
+    text = plan(ratings.rating_summary(testdata.ratings(spark, SF_DIR)))
+    assert re.search(r"FileScan parquet \[l_partkey#\d+L?,l_quantity#\d+\]", text)
+    assert text.count("Exchange") == 1 and "partial_avg" in text
+
+
+def test_nested_columns_are_pruned(spark, folder):
+    testdata.product_docs(spark, SF_DIR).write.parquet(f"{folder}/docs")
+    docs = tables.read_table(spark, f"{folder}/docs")
+    ids = curate.variant_documents(docs).select("tsin", "product_id")
+    scan = next(line for line in plan(ids).splitlines() if "FileScan" in line)
+    assert "brand" not in scan.split("ReadSchema")[1] and "hierarchy" not in scan
+
+
+def test_split_of_recent_reviews_cuts_groups_before_the_exchange(spark):
+    reviews = tables.read_table(spark, f"{SF_DIR}/lineitem.parquet").select(
+        F.col("l_orderkey").alias("customer_id"), F.col("l_shipdate").alias("review_timestamp"),
+        F.col("l_partkey").alias("review_id"),
+    )
+    text = plan(curate.split_recent(reviews))
+    assert "Partial" in text and "WindowGroupLimit" in text and "partial_count" in text
+    # No window over a whole history.
+    assert text.count("Window [") == 1
+
+
+def test_curation_scans_once(spark):
+    df = catalogue.QUERIES["curated_reviews"](spark, SF_DIR)
+    df.collect()
+    final = plan(df).split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final
+    assert sum("FileScan" in line and "l_orderkey" in line for line in final.splitlines()) == 1
+
+
+def test_index_needs_no_single_partition(spark):
+    vocab = vocabulary.build_vocabulary(testdata.products(spark, SF_DIR), "product_brand")
+    assert "SinglePartition" not in plan(vocab) and "Window" not in plan(vocab)
+
+
+def test_top_lists_take_ordered(spark):
+    assert "TakeOrderedAndProject" in plan(catalogue.QUERIES["top_rated_mean"](spark, SF_DIR))
+    assert "WindowGroupLimit" in plan(catalogue.QUERIES["top_rated_by_brand"](spark, SF_DIR))
+
+
+def test_no_cross_joins(spark):
+    for name in ("count_histogram_auto", "topk_exact", "history_report", "release_gate", "batch_negatives"):
+        text = plan(catalogue.QUERIES[name](spark, SF_DIR))
+        assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
+
+
+def test_hot_lookup_keys_are_split(spark):
+    """With broadcasts off, adaptive execution splits the partition of a hot product."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    }
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        from revrec.sources.shared import materialise
+
+        # Many map outputs, so that a hot partition can be split between them.
+        facts = spark.range(0, 60000, 1, 12).select(
+            F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 97).alias("tsin"), "id"
+        )
+        products = materialise(spark.range(97).select(F.col("id").alias("tsin"), (F.col("id") * 2).alias("v")).groupBy("tsin").agg(F.max("v").alias("v")))
+        joined = joins.attach_products(facts, products)
+        assert joined.count() == 60000
+        joined.collect()
+        assert "skew=true" in plan(joined)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_shuffle_order_is_total():
+    assert len(ordering.shuffle_order("id")) == 2
