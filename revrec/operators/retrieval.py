@@ -1,4 +1,4 @@
-"""Top-k items per query by inner product, exact or within the nearest cells.
+"""Top-k items per query by inner product: exact, exact with pruning, or within the nearest cells.
 
 Spark partitions the work into (query block, item block) pairs of bounded size and shuffles the
 blocks; a task multiplies two small matrices and emits at most k rows per query. Neither side has
@@ -8,6 +8,7 @@ to fit in one task or in a broadcast, and pairs are never rows.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
 from revrec.operators.ordering import top_n
+from revrec.sources.shared import materialise
 
 QUERY_BLOCK = 4096
 ITEM_BLOCK = 16384
@@ -128,6 +130,18 @@ def top_k(queries: DataFrame, items: DataFrame, k: int = 10, query_id: str = "qu
     return _blocked_top_k(q.withColumns(layout), i.withColumns(layout), k)
 
 
+@dataclass(frozen=True)
+class CellIndex:
+    """Items by their nearest centre: (cell, item_id, embedding), and the radius of every cell.
+
+    `centres` and `radii` are as many as the cells asked for, whatever the number of items.
+    """
+
+    centres: list[list[float]]
+    radii: list[float]
+    items: DataFrame
+
+
 def fit_cells(items: DataFrame, cells: int, seed: int = 0) -> list[list[float]]:
     """Centres of a k-means partition of the item vectors: `cells` x dimension numbers."""
     points = items.select(array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
@@ -135,57 +149,133 @@ def fit_cells(items: DataFrame, cells: int, seed: int = 0) -> list[list[float]]:
     return [c.tolist() for c in model.clusterCenters()]
 
 
-def nearest_cells(df: DataFrame, centres: Sequence[Sequence[float]], probe: int) -> DataFrame:
-    """One row per vector and each of its `probe` nearest centres, as column `cell`."""
+def build_index(items: DataFrame, cells: int, item_id: str = "item_id", seed: int = 0) -> CellIndex:
+    named = _named(items, item_id, "item_id")
+    centres = fit_cells(named, cells, seed)
+    placed = materialise(nearest_cells(named, centres, 1), "cells")
+    farthest = dict(placed.groupBy("cell").agg(F.max("distance")).collect())
+    return CellIndex(centres, [farthest.get(c, -np.inf) for c in range(len(centres))], placed.drop("distance"))
+
+
+def _map_cells(df: DataFrame, centres: Sequence[Sequence[float]], choose) -> DataFrame:
+    """Adds (cell, distance) rows: `choose(vectors, order, batch, rows)` marks the wanted cells.
+
+    `order` lists the cells of each vector by distance, `rows` is the slice of the batch at hand.
+    """
     table = np.asarray(centres)
     lengths = (table**2).sum(axis=1)
-    probe = min(probe, len(table))
-    schema = StructType([*df.schema.fields, StructField("cells", ArrayType(LongType()))])
+    kind = ArrayType(StructType([StructField("cell", LongType()), StructField("distance", DoubleType())]))
+    schema = StructType([*df.schema.fields, StructField("_cells", kind)])
 
     def assign(batches):
         for batch in batches:
             vectors = matrix(pa.chunked_array([batch.column("embedding")]), batch.num_rows)
-            found = np.empty((batch.num_rows, probe), dtype=np.int64)
+            counts, cells, distances = [], [], []
             step = max(1, _CHUNK_CELLS // len(table))
             for at in range(0, batch.num_rows, step):
-                # |v - c|^2 without |v|^2, which is the same for all centres.
-                distance = lengths - 2 * vectors[at : at + step] @ table.T
-                found[at : at + step] = np.argsort(distance, axis=1, kind="stable")[:, :probe]
-            cells = pa.array(list(found), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, cells], names=[*batch.schema.names, "cells"])
+                part = vectors[at : at + step]
+                squares = (part**2).sum(axis=1)[:, None] - 2 * part @ table.T + lengths
+                distance = np.sqrt(np.maximum(squares, 0))
+                wanted = choose(part, np.argsort(distance, axis=1, kind="stable"), batch, slice(at, at + len(part)))
+                row, cell = np.nonzero(wanted)
+                counts.append(wanted.sum(axis=1))
+                cells.append(cell)
+                distances.append(distance[row, cell])
+            ends = np.concatenate([[0], *[c for c in counts]]).cumsum()
+            values = pa.StructArray.from_arrays(
+                [pa.array(np.concatenate(cells)) if cells else pa.array([], pa.int64()),
+                 pa.array(np.concatenate(distances)) if distances else pa.array([], pa.float64())],
+                names=["cell", "distance"],
+            )
+            lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), values)
+            yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=[*batch.schema.names, "_cells"])
+
+    return df.mapInArrow(assign, schema).select(*df.columns, F.inline("_cells"))
+
+
+def _among_nearest(order: np.ndarray, probe: int) -> np.ndarray:
+    near = np.zeros(order.shape, dtype=bool)
+    np.put_along_axis(near, order[:, :probe], True, axis=1)
+    return near
 
-    return df.mapInArrow(assign, schema).withColumn("cell", F.explode("cells")).drop("cells")
 
+def nearest_cells(df: DataFrame, centres: Sequence[Sequence[float]], probe: int) -> DataFrame:
+    """One row per vector and each of its `probe` nearest centres, with columns cell and distance."""
+    return _map_cells(df, centres, lambda vectors, order, batch, rows: _among_nearest(order, probe))
 
-def approx_top_k(queries: DataFrame, items: DataFrame, centres: Sequence[Sequence[float]], k: int = 10, probe: int = 8,
-                 query_id: str = "query_id", item_id: str = "item_id",
-                 query_block: int = QUERY_BLOCK, item_block: int = ITEM_BLOCK) -> DataFrame:
-    """Top k among the items of the `probe` cells nearest to each query."""
-    q = nearest_cells(_named(queries, query_id, "query_id"), centres, probe)
-    i = nearest_cells(_named(items, item_id, "item_id"), centres, 1)
+
+def _promising_cells(df: DataFrame, index: CellIndex, probe: int) -> DataFrame:
+    """The cells beyond the `probe` nearest that may hold a score of at least `threshold`.
+
+    No item of a cell scores more than q.c + |q| r for its centre c and radius r.
+    """
+    table, radii = np.asarray(index.centres), np.asarray(index.radii)
+
+    def choose(vectors, order, batch, rows):
+        thresholds = batch.column("threshold").to_numpy(zero_copy_only=False)[rows]
+        lengths = np.linalg.norm(vectors, axis=1)[:, None]
+        best = vectors @ table.T + lengths * radii
+        # Scores are rounded and radii computed, so one unit of the last digit is allowed for each.
+        reach = best >= thresholds[:, None] - 10.0**-SCORE_DIGITS * (1 + lengths)
+        return reach & ~_among_nearest(order, probe)
+
+    return _map_cells(df, index.centres, choose)
+
+
+def _search(probes: DataFrame, index: CellIndex, k: int, query_block: int, item_block: int) -> DataFrame:
+    """Top k over (query_id, embedding, cell) rows within their cells."""
     # A popular cell is cut into more blocks. One row per cell, and the number of cells is given by
-    # `centres`, which every task holds anyway: small at any data size.
-    q_sizes = q.groupBy("cell").agg(_blocks(F.count("*"), query_block).alias("q_blocks"))
-    i_sizes = i.groupBy("cell").agg(_blocks(F.count("*"), item_block).alias("i_blocks"))
+    # the index, whose centres every task holds anyway: small at any data size.
+    q_sizes = probes.groupBy("cell").agg(_blocks(F.count("*"), query_block).alias("q_blocks"))
+    i_sizes = index.items.groupBy("cell").agg(_blocks(F.count("*"), item_block).alias("i_blocks"))
     layout = F.broadcast(q_sizes.join(i_sizes, "cell"))
-    return _blocked_top_k(q.join(layout, "cell"), i.join(layout, "cell"), k)
-
-
-def approx_quality(approximate: DataFrame, exact: DataFrame, queries: DataFrame, items: DataFrame,
-                   centres: Sequence[Sequence[float]], probe: int,
-                   query_id: str = "query_id", item_id: str = "item_id") -> DataFrame:
-    """One row: recall against the exact result, and the share of pairs that were scored."""
-    hits = approximate.select("query_id", "item_id").join(exact.select("query_id", "item_id"), ["query_id", "item_id"])
-    probed = nearest_cells(_named(queries, query_id, "query_id"), centres, probe).groupBy("cell").agg(F.count("*").alias("q"))
-    filled = nearest_cells(_named(items, item_id, "item_id"), centres, 1).groupBy("cell").agg(F.count("*").alias("i"))
-    pairs = probed.join(filled, "cell").agg(F.sum(F.col("q") * F.col("i")).alias("pairs"))
-    return pairs.select(
-        (hits.agg(F.count("*")).scalar() / exact.agg(F.count("*")).scalar()).alias("recall"),
-        (
-            F.col("pairs")
-            / (queries.agg(F.count("*")).scalar().cast("double") * items.agg(F.count("*")).scalar())
-        ).alias("pair_share"),
+    return _blocked_top_k(probes.join(layout, "cell"), index.items.join(layout, "cell"), k)
+
+
+def approx_top_k(queries: DataFrame, index: CellIndex, k: int = 10, probe: int = 8, query_id: str = "query_id",
+                 query_block: int = QUERY_BLOCK, item_block: int = ITEM_BLOCK) -> DataFrame:
+    """Top k among the items of the `probe` cells nearest to each query."""
+    probes = nearest_cells(_named(queries, query_id, "query_id"), index.centres, probe).drop("distance")
+    return _search(probes, index, k, query_block, item_block)
+
+
+def pruned_top_k(queries: DataFrame, index: CellIndex, k: int = 10, probe: int = 8, query_id: str = "query_id",
+                 query_block: int = QUERY_BLOCK, item_block: int = ITEM_BLOCK) -> DataFrame:
+    """The exact top k, scoring only the cells that can matter.
+
+    The nearest cells give each query k scores to beat; of the other cells only those whose bound
+    reaches the k-th score are searched.
+    """
+    first = materialise(approx_top_k(queries, index, k, probe, query_id, query_block, item_block), "first")
+    beat = materialise(
+        first.groupBy("query_id").agg(F.count("*").alias("_n"), F.min("score").alias("_least")), "beat"
+    )
+    open_queries = (
+        _named(queries, query_id, "query_id")
+        .join(beat, "query_id", "left")
+        .withColumn("threshold", F.when(F.col("_n") == k, F.col("_least")).otherwise(F.lit(float("-inf"))))
+        .drop("_n", "_least")
     )
+    probes = materialise(_promising_cells(open_queries, index, probe).select("query_id", "embedding", "cell"), "probes")
+    second = _search(probes, index, k, query_block, item_block)
+    both = first.drop("rank").unionByName(second.drop("rank"))
+    return top_n(both, ["query_id"], [F.col("score").desc(), F.col("item_id").asc()], k)
+
+
+def recall(approximate: DataFrame, exact: DataFrame) -> DataFrame:
+    """One row: the share of the exact (query_id, item_id) pairs that were found."""
+    pair = ["query_id", "item_id"]
+    found = exact.select(*pair).join(approximate.select(*pair, F.lit(1).alias("_hit")), pair, "left")
+    return found.agg(F.avg(F.coalesce("_hit", F.lit(0))).alias("recall"))
+
+
+def pair_share(queries: DataFrame, index: CellIndex, probe: int, query_id: str = "query_id") -> DataFrame:
+    """One row: the share of all (query, item) pairs that a search of `probe` cells scores."""
+    named = _named(queries, query_id, "query_id")
+    probed = nearest_cells(named, index.centres, probe).groupBy("cell").agg(F.count("*").alias("_q"))
+    filled = index.items.groupBy("cell").agg(F.count("*").alias("_i"))
+    everything = named.agg(F.count("*")).scalar().cast("double") * index.items.agg(F.count("*")).scalar()
+    return probed.join(filled, "cell").agg((F.sum(F.col("_q") * F.col("_i")) / everything).alias("pair_share"))
 
 
 def recommendation_lists(ranked: DataFrame, query_id: str = "query_id", item_id: str = "item_id",

@@ -177,7 +177,7 @@ def presence_statistics(df: DataFrame, by: Sequence[str], features: Sequence[str
     return _tall(wide, by, ["num_examples", "num_present", "num_missing"])
 
 
-def feature_statistics(df: DataFrame, split_col: str | None = None) -> DataFrame:
+def feature_statistics(df: DataFrame, split_col: str | None = None, accuracy: int = 10000) -> DataFrame:
     """([split], feature, stat, value) of all features: full for numbers and strings, presence for others."""
     by = [split_col] if split_col else []
     features = [c for c in df.columns if c not in by]
@@ -186,7 +186,7 @@ def feature_statistics(df: DataFrame, split_col: str | None = None) -> DataFrame
     others = [c for c in features if c not in numeric and c not in strings]
     parts = []
     if numeric:
-        parts.append(numeric_statistics(df, by, numeric))
+        parts.append(numeric_statistics(df, by, numeric, accuracy))
     if strings:
         parts.append(string_statistics(df, by, strings))
     if others:

@@ -22,6 +22,9 @@ from revrec.sources.shared import materialise, new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Quantiles within a millionth of the rows: exact on the tables that the SQL is compared on.
+EXACT = 1_000_000
+
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
@@ -403,14 +406,14 @@ def _string_sql(source: str, by: str, features: list[str]) -> str:
 @query(with_(CURATED) + _numeric_sql("curated", "split", "review_rating"))
 def feature_stats_numeric(spark, sf):
     curated = _curated(spark, sf).select(SPLIT, "review_rating")
-    return rounded(statistics.numeric_statistics(curated, [SPLIT]), "value")
+    return rounded(statistics.numeric_statistics(curated, [SPLIT], accuracy=EXACT), "value")
 
 
 @query(_numeric_sql("documents", "lang", "n_chars") + " UNION ALL " + _string_sql("documents", "lang", ["text", "source"])
        )
 def feature_stats_documents(spark, sf):
     documents = testdata.table(spark, sf, "documents").select("lang", "n_chars", "text", "source")
-    return rounded(statistics.feature_statistics(documents, "lang"), "value")
+    return rounded(statistics.feature_statistics(documents, "lang", EXACT), "value")
 
 
 @query(with_(CURATED) + _string_sql("curated", "split", ["customer_id", "product_id", "review_text", "product_brand"]))
@@ -444,7 +447,7 @@ SELECT g.lang, 'n_chars', 'quantile', g.bin, sorted[greatest(1, ((g.bin - 1) * n
   round(n / 10, 6) FROM grid g JOIN (SELECT lang, list(v ORDER BY v) AS sorted FROM cells GROUP BY 1) USING (lang)""")
 def numeric_histograms(spark, sf):
     documents = testdata.table(spark, sf, "documents").select("lang", "n_chars")
-    return rounded(statistics.numeric_histograms(documents, ["lang"]), "low", "high", "count").withColumn(
+    return rounded(statistics.numeric_histograms(documents, ["lang"], accuracy=EXACT), "low", "high", "count").withColumn(
         "bin", F.col("bin").cast("long")
     )
 
@@ -574,17 +577,24 @@ def topk_blocked(spark, sf):
 def topk_all_cells(spark, sf):
     """The approximate search is exact once every cell is probed."""
     vectors = testdata.vectors(spark, sf)
-    centres = retrieval.fit_cells(vectors, 16, seed=1)
-    return rounded(retrieval.approx_top_k(vectors, vectors, centres, 10, 16, "vec_id", "vec_id", 128, 96), "score")
+    index = retrieval.build_index(vectors, 16, "vec_id", seed=1)
+    return rounded(retrieval.approx_top_k(vectors, index, 10, 16, "vec_id", 128, 96), "score")
+
+
+@query(_TOPK_SQL.format(k=10))
+def topk_pruned(spark, sf):
+    vectors = testdata.vectors(spark, sf)
+    index = retrieval.build_index(vectors, 16, "vec_id", seed=1)
+    return rounded(retrieval.pruned_top_k(vectors, index, 10, 2, "vec_id"), "score")
 
 
 @query()
 def topk_approx_recall(spark, sf):
     vectors = testdata.vectors(spark, sf)
-    centres = retrieval.fit_cells(vectors, 16, seed=1)
-    exact = materialise(_top_k(spark, sf, 10), "exact")
-    found = retrieval.approx_top_k(vectors, vectors, centres, 10, 8, "vec_id", "vec_id")
-    return retrieval.approx_quality(found, exact, vectors, vectors, centres, 8, "vec_id", "vec_id")
+    index = retrieval.build_index(vectors, 16, "vec_id", seed=1)
+    found = retrieval.approx_top_k(vectors, index, 10, 8, "vec_id")
+    share = retrieval.pair_share(vectors, index, 8, "vec_id").scalar()
+    return retrieval.recall(found, _top_k(spark, sf, 10)).withColumn("pair_share", share)
 
 
 @query(with_(SCORES) + """SELECT query_id, item_id, score FROM scores JOIN (

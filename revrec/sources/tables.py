@@ -16,6 +16,8 @@ from revrec.schemas import SPLIT, TEST
 _CSV_READ = {"header": True, "multiLine": True, "quote": '"', "escape": '"'}
 _CSV_WRITE = {
     "header": True,
+    # Files with line breaks in fields cannot be split on reading, so no file may grow large.
+    "maxRecordsPerFile": 1_000_000,
     "quote": '"',
     "escape": '"',
     "ignoreLeadingWhiteSpace": False,

@@ -112,12 +112,27 @@ def test_approximate_search_prunes_and_finds(spark):
     centres = np.random.default_rng(5).normal(size=(12, 16))
     centres /= np.linalg.norm(centres, axis=1)[:, None]
     queries, items = clustered(spark, 60, centres, 6, "query_id"), clustered(spark, 600, centres, 7, "item_id")
-    cells = retrieval.fit_cells(items, 12, seed=3)
+    index = retrieval.build_index(items, 12, seed=3)
     exact = retrieval.top_k(queries, items, 10)
-    found = retrieval.approx_top_k(queries, items, cells, 10, 2, query_block=8, item_block=32)
-    row = retrieval.approx_quality(found, exact, queries, items, cells, 2).first()
-    assert row["recall"] >= 0.95
-    assert row["pair_share"] <= 0.5
+    found = retrieval.approx_top_k(queries, index, 10, 2, query_block=8, item_block=32)
+    assert retrieval.recall(found, exact).first()[0] >= 0.95
+    assert retrieval.pair_share(queries, index, 2).first()[0] <= 0.5
+    assert retrieval.pair_share(queries, index, 12).first()[0] == pytest.approx(1.0)
+    # The bound rules most cells out here, and the result is exact all the same.
+    pruned = retrieval.pruned_top_k(queries, index, 10, 1, query_block=8, item_block=32)
+    assert pruned.count() == exact.count() and pruned.exceptAll(exact).count() == 0
+    ready = queries.withColumn("threshold", F.lit(0.9))
+    assert retrieval._promising_cells(ready, index, 1).count() < 60 * 4
+
+
+@pytest.mark.parametrize("decimals", [None, 0])
+@pytest.mark.parametrize("probe", [1, 3])
+def test_pruned_search_is_exact_on_vectors_of_any_length(spark, decimals, probe):
+    queries, q = vectors(spark, 40, 1, "query_id", decimals)
+    items, i = vectors(spark, 90, 2, "item_id", decimals)
+    index = retrieval.build_index(items, 7, seed=3)
+    got = retrieval.pruned_top_k(queries, index, 12, probe, query_block=16, item_block=9).collect()
+    assert {(r["query_id"], r["item_id"], r["rank"]) for r in got} == brute_force(q, i, 12)
 
 
 def test_loss_and_negatives_against_numpy(spark):
