@@ -21,8 +21,12 @@ from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, Stru
 from revrec.operators.ordering import top_n
 from revrec.sources.shared import materialise
 
-QUERY_BLOCK = 4096
-ITEM_BLOCK = 16384
+# Largest blocks. Each side is sent once per block of the other, so large blocks keep the shuffle
+# small; two of them and a chunk of scores are what a task holds.
+QUERY_BLOCK = 65536
+ITEM_BLOCK = 65536
+# Few queries are still spread over the available tasks, down to blocks of this size.
+_SMALL_BLOCK = 1024
 # Scores are compared after rounding, so that both engines and all block layouts agree on ties.
 SCORE_DIGITS = 6
 _CHUNK_CELLS = 4_000_000
@@ -119,12 +123,18 @@ def _blocks(rows: Column, size: int) -> Column:
 
 
 def top_k(queries: DataFrame, items: DataFrame, k: int = 10, query_id: str = "query_id", item_id: str = "item_id",
-          query_block: int = QUERY_BLOCK, item_block: int = ITEM_BLOCK) -> DataFrame:
+          query_block: int | None = None, item_block: int = ITEM_BLOCK) -> DataFrame:
     """Exact (query_id, item_id, score, rank) over (id, embedding) tables with unique ids."""
     q, i = _named(queries, query_id, "query_id"), _named(items, item_id, "item_id")
+    rows = q.agg(F.count("*")).scalar()
+    if query_block is None:
+        tasks = F.lit(queries.sparkSession.sparkContext.defaultParallelism)
+        q_blocks = F.greatest(_blocks(rows, QUERY_BLOCK), F.least(_blocks(rows, _SMALL_BLOCK), tasks))
+    else:
+        q_blocks = _blocks(rows, query_block)
     layout = {
         "cell": F.lit(0),
-        "q_blocks": _blocks(q.agg(F.count("*")).scalar(), query_block),
+        "q_blocks": q_blocks,
         "i_blocks": _blocks(i.agg(F.count("*")).scalar(), item_block),
     }
     return _blocked_top_k(q.withColumns(layout), i.withColumns(layout), k)

@@ -35,7 +35,15 @@ def _long_form(df: DataFrame, by: Sequence[str], features: Sequence[str], kind:
     return df.select(*by, F.inline(F.array(*cells)))
 
 
-def _tall(wide: DataFrame, by: Sequence[str], stats: Sequence[str]) -> DataFrame:
+def _side_by_side(df: DataFrame, by: Sequence[str], measures: Sequence[Column]) -> DataFrame:
+    """(by..., feature, measures...): all features in one wide aggregate, rows are not multiplied."""
+    wide = df.groupBy(*by).agg(*[m.alias(f"_f{i}") for i, m in enumerate(measures)])
+    return wide.select(*by, F.inline(F.array(*[F.col(f"_f{i}") for i in range(len(measures))])))
+
+
+def _tall(wide: DataFrame, by: Sequence[str]) -> DataFrame:
+    """(by..., feature, stat, value)."""
+    stats = [c for c in wide.columns if c not in (*by, "feature")]
     cells = [F.struct(F.lit(s).alias("stat"), F.col(s).cast("double").alias("value")) for s in stats]
     return wide.select(*by, "feature", F.inline(F.array(*cells)))
 
@@ -44,20 +52,23 @@ def numeric_statistics(df: DataFrame, by: Sequence[str] = (), features: Sequence
                        accuracy: int = 10000) -> DataFrame:
     """(by..., feature, stat, value). The median is within 1/accuracy of the row count in rank."""
     features = numeric_features(df) if features is None else features
-    cells = _long_form(df, by, features, "double").withColumn("value", nan_to_null(F.col("value")))
-    present = F.count("value")
-    wide = cells.groupBy(*by, "feature").agg(
-        F.count("*").alias("num_examples"),
-        present.alias("num_present"),
-        (F.count("*") - present).alias("num_missing"),
-        F.avg("value").alias("mean"),
-        F.stddev_pop("value").alias("std_dev"),
-        F.count_if(F.col("value") == 0).alias("num_zeros"),
-        F.min("value").alias("min"),
-        F.percentile_approx("value", 0.5, accuracy).alias("median"),
-        F.max("value").alias("max"),
-    )
-    return _tall(wide, by, [c for c in wide.columns if c not in (*by, "feature")])
+
+    def measures(feature: str) -> Column:
+        value = nan_to_null(F.col(feature).cast("double"))
+        return F.struct(
+            F.lit(feature).alias("feature"),
+            F.count("*").alias("num_examples"),
+            F.count(value).alias("num_present"),
+            (F.count("*") - F.count(value)).alias("num_missing"),
+            F.avg(value).alias("mean"),
+            F.stddev_pop(value).alias("std_dev"),
+            F.count_if(value == 0).alias("num_zeros"),
+            F.min(value).alias("min"),
+            F.percentile_approx(value, 0.5, accuracy).alias("median"),
+            F.max(value).alias("max"),
+        )
+
+    return _tall(_side_by_side(df, by, [measures(f) for f in features]), by)
 
 
 def numeric_histograms(df: DataFrame, by: Sequence[str] = (), features: Sequence[str] | None = None,
@@ -153,7 +164,7 @@ def string_statistics(df: DataFrame, by: Sequence[str] = (), features: Sequence[
             F.count("_key").alias("unique"),
         )
     wide = wide.withColumn("avg_length", F.try_divide(F.col("_chars"), F.col("num_present"))).drop("_chars")
-    return _tall(wide, by, [c for c in wide.columns if c not in keys])
+    return _tall(wide, by)
 
 
 def top_values(df: DataFrame, by: Sequence[str] = (), features: Sequence[str] | None = None, n: int = 20) -> DataFrame:
@@ -166,15 +177,16 @@ def top_values(df: DataFrame, by: Sequence[str] = (), features: Sequence[str] |
 
 def presence_statistics(df: DataFrame, by: Sequence[str], features: Sequence[str]) -> DataFrame:
     """(by..., feature, stat, value) for features of any type: how often they are there."""
-    cells = [
-        F.struct(F.lit(c).alias("feature"), F.col(c).isNotNull().cast("long").alias("_present")) for c in features
+    measures = [
+        F.struct(
+            F.lit(f).alias("feature"),
+            F.count("*").alias("num_examples"),
+            F.count(f).alias("num_present"),
+            (F.count("*") - F.count(f)).alias("num_missing"),
+        )
+        for f in features
     ]
-    wide = df.select(*by, F.inline(F.array(*cells))).groupBy(*by, "feature").agg(
-        F.count("*").alias("num_examples"),
-        F.sum("_present").alias("num_present"),
-        (F.count("*") - F.sum("_present")).alias("num_missing"),
-    )
-    return _tall(wide, by, ["num_examples", "num_present", "num_missing"])
+    return _tall(_side_by_side(df, by, measures), by)
 
 
 def feature_statistics(df: DataFrame, split_col: str | None = None, accuracy: int = 10000) -> DataFrame:
@@ -198,10 +210,10 @@ def infer_schema(df: DataFrame, stats: DataFrame | None = None, domain_limit: in
                  features: Sequence[str] | None = None) -> DataFrame:
     """(feature, type, presence, domain): a domain only for strings with few distinct values.
 
-    `stats` are those of `feature_statistics(df)`; they are computed when not given.
+    `stats` are those of `feature_statistics(df)`; without them only presence is counted.
     """
     features = df.columns if features is None else list(features)
-    stats = feature_statistics(df.select(*features)) if stats is None else stats
+    stats = presence_statistics(df, (), features) if stats is None else stats
     missing = (
         stats.filter(F.col("stat") == "num_missing")
         .groupBy("feature")
