@@ -848,10 +848,10 @@ def evaluate_fixed(spark, sf):
     return rounded(rec.evaluate(purchases, _fixed(spark, sf)), "value")
 
 
-def _trained(spark, sf):
+def _trained(spark, sf, learner=rec.fit_factors):
     curated = _stored(spark, sf)
     factors = rec.fit(
-        tables.select_splits(curated, [TRAIN]), items=curation.products_dimension(curated),
+        tables.select_splits(curated, [TRAIN]), learner, items=curation.products_dimension(curated),
         queries=curation.customers_dimension(curated), analysed=tables.select_splits(curated, [TRAIN, VALIDATION]),
     )
     return curated, rec.recommend(factors.customers, factors.products)
@@ -866,3 +866,9 @@ def als_recommendations(spark, sf):
 def als_evaluation(spark, sf):
     curated, ranked = _trained(spark, sf)
     return rec.evaluate(tables.select_splits(curated, [TEST]), ranked)
+
+
+@query()
+def tower_evaluation(spark, sf):
+    curated, ranked = _trained(spark, sf, lambda rows: rec.fit_towers(rows, epochs=3, learning_rate=0.05))
+    return rec.evaluate(tables.select_splits(curated, [TEST]), ranked)
