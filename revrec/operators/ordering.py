@@ -52,16 +52,14 @@ def _placed(df: DataFrame, order: Order, partitions: int | None) -> DataFrame:
     Range-partitioned and sorted once, then written with the place in the partition; only one row
     count per partition reaches the driver. `order` must end in a unique column.
     """
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = _columns(order)
+    # Without a number adaptive execution may merge neighbouring small ranges, which keeps the order.
+    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
     stored = materialise(
-        df.repartitionByRange(n, *order)
-        .sortWithinPartitions(*order)
-        .withColumn("_place", F.monotonically_increasing_id()),
-        "ordered",
+        ranged.sortWithinPartitions(*order).withColumn("_place", F.monotonically_increasing_id()), "ordered"
     ).withColumn("_chunk", F.shiftright("_place", _ROW_BITS).cast("int"))
     sizes = dict(stored.groupBy("_chunk").agg(F.count("*")).collect())
-    starts = list(accumulate((sizes.get(i, 0) for i in range(n - 1)), initial=0))
+    starts = list(accumulate((sizes.get(i, 0) for i in range(max(sizes, default=0))), initial=0))
     start = F.get(F.lit(starts).cast("array<bigint>"), F.col("_chunk"))
     row = F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     return stored.withColumn("_index", start + row).drop("_place")

@@ -18,7 +18,7 @@ def skewed(spark, n=5000, seed=0):
     return spark.createDataFrame([(i, k, rng.randrange(50)) for i, k in enumerate(keys)], "id long, key string, at int").repartition(6)
 
 
-@pytest.mark.parametrize("partitions", [1, 4, 16])
+@pytest.mark.parametrize("partitions", [1, 4, 16, None])
 def test_rank_within_equals_row_number(spark, partitions):
     df = skewed(spark)
     ours = ordering.rank_within(df, ["key"], ["at", "id"], "rank", partitions)
@@ -27,7 +27,7 @@ def test_rank_within_equals_row_number(spark, partitions):
     assert ours.exceptAll(plain).count() == 0
 
 
-@pytest.mark.parametrize("partitions", [1, 4, 16])
+@pytest.mark.parametrize("partitions", [1, 4, 16, None])
 def test_ordered_index_is_dense_and_ordered(spark, partitions):
     df = skewed(spark)
     rows = ordering.ordered_index(df, [F.col("at").desc(), F.col("id")], "i", partitions).collect()
