@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from revrec.schemas import TEST, TRAIN, VALIDATION
 
-# The star scale, and the lowest rating that counts as positive.
+# The star scale, the lowest rating that counts as positive, the product id prefix.
 MAX_RATING = 5
 POSITIVE_RATING = 4
+PRODUCT_PREFIX = "PLID"
 
 
 def expected_rating(mean: Column, count: Column, max_rating: int = MAX_RATING) -> Column:
@@ -24,7 +25,7 @@ def retrieval_weight(rating: Column, threshold: int = POSITIVE_RATING) -> Column
     return (rating >= F.lit(threshold)).cast("float")
 
 
-def product_key(line_id: Column, prefix: str = "PLID") -> Column:
+def product_key(line_id: Column, prefix: str = PRODUCT_PREFIX) -> Column:
     return F.concat(F.lit(prefix), line_id.cast("string"))
 
 

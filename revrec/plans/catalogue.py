@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revrec.functions.columns import pseudonym, product_url, retrieval_weight, shift_index
+from revrec.functions.columns import product_url, retrieval_weight, shift_index
 from revrec.functions.vectors import concat_vectors, l2_normalise
 from revrec.operators import histograms, joins, keyed, metrics, negatives, ordering, retrieval, statistics, vocabulary
 from revrec.plans import curate as curation

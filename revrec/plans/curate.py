@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from revrec.functions.columns import date_between, product_key, pseudonym, split_label
 from revrec.operators.joins import attach_products
-from revrec.operators.keyed import explode_variants, extract_dimension, having_isin, latest_per_key
+from revrec.operators.keyed import distinct_keys, explode_variants, extract_dimension, having_isin, latest_per_key
 from revrec.operators.ordering import rank_within, shuffle_rows, top_n
 from revrec.schemas import (
     CUSTOMER_ID,
@@ -146,7 +146,7 @@ def curate(revisions: DataFrame, docs: DataFrame, *, salt: str, departments: Seq
 
 
 def customers_dimension(curated: DataFrame) -> DataFrame:
-    return curated.select(CUSTOMER_ID).distinct()
+    return distinct_keys(curated, [CUSTOMER_ID])
 
 
 def products_dimension(curated: DataFrame) -> DataFrame:
@@ -163,7 +163,7 @@ def build_dataset(curated: DataFrame, base: str, seed: int = 0) -> DataFrame:
 
     The curated rows are written to the shared folder once, and every output reads those.
     """
-    stored = materialise(curated, "curated")
+    stored = materialise(curated, "curated", [SPLIT])
     for split in (TRAIN, VALIDATION, TEST):
         rows = select_splits(stored, [split]).drop(SPLIT)
         write_csv(shuffle_rows(rows, REVIEW_ID, seed), f"{base}/reviews/{split}.csv")
@@ -175,7 +175,7 @@ def build_dataset(curated: DataFrame, base: str, seed: int = 0) -> DataFrame:
 
 def release_dataset(curated: DataFrame, base: str, withhold: Sequence[str] = (TEST,)) -> None:
     """Publish the tables for participants: everything but the withheld splits' files."""
-    stored = materialise(curated, "curated")
+    stored = materialise(curated, "curated", [SPLIT])
     write_csv(customers_dimension(stored), f"{base}/customers.csv")
     write_csv(products_dimension(stored), f"{base}/products.csv")
     write_csv(reviews_table(stored), f"{base}/reviews.csv")

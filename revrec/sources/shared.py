@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,8 +25,12 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, name: str = "table") -> DataFrame:
-    """Write once, read back: cuts the lineage, survives lost executors, keeps column pruning."""
+def materialise(df: DataFrame, name: str = "table", by: Sequence[str] = ()) -> DataFrame:
+    """Write once, read back: cuts the lineage, survives lost executors, keeps column pruning.
+
+    With `by`, a later filter on those columns reads only its own part. The folder is the caller's
+    to clean, as it is for checkpoints.
+    """
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)

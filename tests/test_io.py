@@ -132,3 +132,13 @@ def test_materialise_uses_the_shared_folder(spark):
     stored = shared.materialise(spark.range(5), "check")
     base = shared.shared_folder(spark).removeprefix("file:")
     assert all(base in f for f in stored.inputFiles()) and stored.count() == 5
+
+
+def test_materialised_parts_are_pruned(spark):
+    stored = shared.materialise(curated(spark), "parts", ["split"])
+    assert stored.columns == curated(spark).columns
+    assert stored.exceptAll(curated(spark)).count() == 0 and stored.count() == 20
+    only = tables.select_splits(stored, ["test"])
+    scan = only._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in scan and "split" in scan.split("PartitionFilters: [")[1].split("]")[0]
+    assert only.count() == 2
