@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from revrec.llm import bpe
+from revrec.llm import bpe, language_model, packing, simhash, token_counts, token_files
 
 QUERIES = {
+    "op2_packing": packing.op2_packing,
     "op3_bpe": bpe.op3_bpe,
+    "op7_token_counts": token_counts.op7_token_counts,
+    "op8_simhash": simhash.op8_simhash,
+    "op9_token_files": token_files.op9_token_files,
+    "op10_language_model": language_model.op10_language_model,
 }
 
 ORACLES: dict[str, str] = {}

@@ -75,11 +75,12 @@ def spaced_pieces(texts: pa.Array) -> pa.Array:
 class PieceEncoder:
     """Encodes texts piece by piece; `encode` maps a list of new pieces to their id arrays.
 
-    The ids of pieces seen before are kept, up to a bound; beyond it only those of the current batch.
+    The ids of pieces that a batch had more than once are kept, up to a bound.
     """
 
-    def __init__(self, split: Callable[[pa.Array], pa.Array], encode: Callable[[list[str]], list[np.ndarray]]):
-        self.split, self.encode, self.known = split, encode, {}
+    def __init__(self, split: Callable[[pa.Array], pa.Array], encode: Callable[[list[str]], list[np.ndarray]],
+                 none: np.ndarray = np.empty(0, np.uint32)):
+        self.split, self.encode, self.none, self.known = split, encode, none, {}
 
     def pieces(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
         """Offsets of each text into the pieces, the index of each piece, and the distinct pieces."""
@@ -88,7 +89,7 @@ class PieceEncoder:
         lengths = np.asarray(pc.list_value_length(lists), dtype=np.int64)
         return np.concatenate([[0], np.cumsum(lengths)]), np.asarray(flat.indices), flat.dictionary.to_pylist()
 
-    def parts(self, distinct: list[str]) -> list[np.ndarray]:
+    def parts(self, distinct: list[str], index: np.ndarray) -> list[np.ndarray]:
         """Ids of every distinct piece."""
         new = [p for p in distinct if p not in self.known]
         if len(self.known) + len(new) > CACHE_PIECES:
@@ -102,15 +103,19 @@ class PieceEncoder:
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Offsets of each text into the ids, and all ids."""
         starts, index, distinct = self.pieces(texts)
-        parts = self.parts(distinct)
+        ends, ids = self.gather(self.parts(distinct, index), index)
+        return ends[starts], ids
+
+    def gather(self, parts: list[np.ndarray], index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Offsets of each piece into the tokens, and all tokens, from those of the distinct pieces."""
         sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-        pool = np.concatenate([*parts, np.empty(0, np.uint32)]).astype(np.uint32)
+        pool = np.concatenate([*parts, self.none])
         first = np.cumsum(sizes) - sizes
         each = sizes[index]
         ends = np.concatenate([[0], np.cumsum(each)])
         # Place of every id in the pool: the start of its piece plus its place in the piece.
         places = np.repeat(first[index] - ends[:-1], each) + np.arange(ends[-1])
-        return ends[starts], pool[places]
+        return ends, pool[places]
 
 
 _encoders: dict[tuple, PieceEncoder] = {}
@@ -138,6 +143,39 @@ def library_encoder(path: str) -> PieceEncoder:
     return _encoders[key]
 
 
+def span_encoder(path: str) -> PieceEncoder:
+    """Like library_encoder, with (id, first character, character after the last) of each token in its piece.
+
+    Pieces cover the whole text, so that a token's place in the text follows from its piece's.
+    """
+    key = ("spans", path)
+    if key not in _encoders:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(path)
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
+
+        def encode(pieces: list[str]) -> list[np.ndarray]:
+            out = []
+            for at in range(0, len(pieces), 10_000):
+                for e in tokenizer.encode_batch(pieces[at:at + 10_000], add_special_tokens=False):
+                    spans = np.array(e.offsets, np.int64).reshape(-1, 2)
+                    out.append(np.column_stack([np.array(e.ids, np.int64), spans]))
+            return out
+
+        split = _splitter(path)
+        cover = split if split is spaced_pieces else single_pieces
+        _encoders[key] = PieceEncoder(cover, encode, np.empty((0, 3), np.int64))
+    return _encoders[key]
+
+
+def single_pieces(texts: pa.Array) -> pa.Array:
+    """For any tokenizer: every text is one piece."""
+    return pa.array([[t] for t in texts.to_pylist()], pa.large_list(pa.large_string()))
+
+
 def _splitter(path: str) -> Callable[[pa.Array], pa.Array]:
     """Only the two kinds of files whose pieces are known to be independent; else a text is one piece."""
     import json
@@ -156,4 +194,4 @@ def _splitter(path: str) -> Callable[[pa.Array], pa.Array]:
         first = before["pretokenizers"][0]
         if first.get("behavior") == "Removed" and first.get("invert") and r"[^\s\p{L}\p{N}]+" in first["pattern"].get("Regex", ""):
             return word_pieces
-    return lambda texts: pa.array([[t] for t in texts.to_pylist()], pa.large_list(pa.large_string()))
+    return single_pieces
