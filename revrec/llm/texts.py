@@ -17,9 +17,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that a task holds as pieces at once; a longer text is a batch of its own.
-BATCH_BYTES = 16 << 20
-#: Distinct pieces whose ids a task remembers between batches.
-CACHE_PIECES = 300_000
+BATCH_BYTES = 8 << 20
+#: Distinct pieces whose ids a task remembers between batches, of those that a batch had more than once.
+CACHE_PIECES = 200_000
 
 # Code points that any of the tokenizers or str.isspace() counts as white space.
 _SPACES = r"\t-\r \x1c-\x1f\x85\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
@@ -92,12 +92,12 @@ class PieceEncoder:
     def parts(self, distinct: list[str], index: np.ndarray) -> list[np.ndarray]:
         """Ids of every distinct piece."""
         new = [p for p in distinct if p not in self.known]
-        if len(self.known) + len(new) > CACHE_PIECES:
-            self.known = {p: self.known[p] for p in distinct if p in self.known}
-        self.known.update(zip(new, self.encode(new)))
-        out = [self.known[p] for p in distinct]
-        if len(self.known) > 4 * CACHE_PIECES:
+        made = dict(zip(new, self.encode(new)))
+        out = [self.known[p] if p in self.known else made[p] for p in distinct]
+        if len(self.known) > CACHE_PIECES:
             self.known = {}
+        again = np.bincount(index, minlength=len(distinct)) > 1
+        self.known.update((p, made[p]) for p, more in zip(distinct, again.tolist()) if more and p in made)
         return out
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
