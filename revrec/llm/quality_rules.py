@@ -155,7 +155,7 @@ OP1_SQL = r"""
 WITH docs AS (
     SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, coalesce(source, '') AS host FROM documents
 ), words AS (
-    SELECT *, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), w -> w <> '') AS ws FROM docs
+    SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM docs
 ), windows AS (
     SELECT r, i, [ws[i], ws[i + 1], ws[i + 2]] AS win
     FROM (SELECT r, ws, unnest(range(1, len(ws) - 1)) AS i FROM words)
