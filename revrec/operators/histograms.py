@@ -65,10 +65,13 @@ def bin_counts(df: DataFrame, columns: Sequence[str], low: float, high: float, b
         F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in columns])
     )
     number = bin_number(nan_to_null(F.col("value")), F.lit(float(low)), F.lit(float(high)), bins)
-    return (
+    counts = (
         df.select(named.alias("_f")).select("_f.*")
         .select("feature", number.cast("long").alias("bin"))
         .filter("bin is not null")
         .groupBy("feature", "bin")
         .agg(F.count("*").alias("count"))
     )
+    features = F.explode(F.array(*[F.lit(c) for c in columns])).alias("feature")
+    grid = df.sparkSession.range(1, bins + 1, 1, 1).select(features, F.col("id").alias("bin"))
+    return grid.join(counts, ["feature", "bin"], "left").withColumn("count", F.coalesce("count", F.lit(0)).cast("long"))

@@ -1,6 +1,6 @@
 """One row per key: latest, distinct, dimensions, group sizes.
 
-Everything is a plain aggregate, so a key with very many rows is reduced on the map side first.
+A key with very many rows is reduced on the map side first: by partial sums, or cut to its newest row.
 """
 
 from __future__ import annotations
@@ -10,15 +10,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from revrec.operators.ordering import top_n
+
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: str, tiebreak: Sequence[str] = ()) -> DataFrame:
-    """The whole row with the greatest (order, tiebreak) of every key."""
-    values = [c for c in df.columns if c not in keys]
-    return (
-        df.groupBy(*keys)
-        .agg(F.max_by(F.struct(*values), F.struct(order, *tiebreak)).alias("_row"))
-        .select(*keys, *[F.col("_row")[c].alias(c) for c in values])
-    )
+    """The whole row with the greatest (order, tiebreak) of every key.
+
+    Ranked on plain columns: columns that nobody reads never reach the exchange, and a key with very
+    many rows is cut to one before it.
+    """
+    newest = [F.col(c).desc() for c in (order, *tiebreak)]
+    return top_n(df, keys, newest, 1, "_newest").drop("_newest").select(*keys, *[c for c in df.columns if c not in keys])
 
 
 def distinct_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:

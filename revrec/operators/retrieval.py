@@ -30,6 +30,8 @@ _SMALL_BLOCK = 1024
 # Scores are compared after rounding, so that both engines and all block layouts agree on ties.
 SCORE_DIGITS = 6
 _CHUNK_CELLS = 4_000_000
+# Centres that every task holds at most, and the share of pairs above which pruning is given up.
+MAX_CELLS, MOST_OPEN = 4096, 0.5
 
 
 def matrix(vectors: pa.ChunkedArray, rows: int) -> np.ndarray:
@@ -43,6 +45,8 @@ def best_columns(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
 
     Cells of -inf are never chosen.
     """
+    # NaN sorts last and would take places among the best.
+    scores = np.where(np.isfinite(scores), scores, -np.inf)
     width = scores.shape[1]
     if k < width:
         floor = np.partition(scores, width - k, axis=1)[:, width - k, None]
@@ -113,9 +117,20 @@ def _blocked_top_k(queries: DataFrame, items: DataFrame, k: int) -> DataFrame:
     return top_n(found, ["query_id"], [F.col("score").desc(), F.col("item_id").asc()], k)
 
 
+def usable(vector: Column) -> Column:
+    """Not NULL or empty, and without NULL, NaN or infinite components."""
+    wrong = F.exists(vector.cast("array<double>"), lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    return F.coalesce((F.size(vector) > 0) & ~wrong, F.lit(False))
+
+
 def _named(df: DataFrame, id_col: str, name: str) -> DataFrame:
     # New names for both columns, so that a table can be searched against itself.
-    return df.select(F.col(id_col).alias(name), F.col("embedding").alias("embedding"))
+    named = df.select(F.col(id_col).alias(name), F.col("embedding").alias("embedding"))
+    return named.filter(F.col(name).isNotNull() & usable(F.col("embedding")))
+
+
+def _of_length(df: DataFrame, length: Column) -> DataFrame:
+    return df.filter(F.size("embedding") == length)
 
 
 def _blocks(rows: Column, size: int) -> Column:
@@ -124,8 +139,14 @@ def _blocks(rows: Column, size: int) -> Column:
 
 def top_k(queries: DataFrame, items: DataFrame, k: int = 10, query_id: str = "query_id", item_id: str = "item_id",
           query_block: int | None = None, item_block: int = ITEM_BLOCK) -> DataFrame:
-    """Exact (query_id, item_id, score, rank) over (id, embedding) tables with unique ids."""
+    """Exact (query_id, item_id, score, rank) over (id, embedding) tables with unique ids.
+
+    Rows without an id or with a NULL, empty or non-finite vector take no part, nor do vectors of
+    another length than the items' longest.
+    """
     q, i = _named(queries, query_id, "query_id"), _named(items, item_id, "item_id")
+    length = i.agg(F.max(F.size("embedding"))).scalar()
+    q, i = _of_length(q, length), _of_length(i, length)
     rows = q.agg(F.count("*")).scalar()
     if query_block is None:
         tasks = F.lit(queries.sparkSession.sparkContext.defaultParallelism)
@@ -159,18 +180,34 @@ def fit_cells(items: DataFrame, cells: int, seed: int = 0) -> list[list[float]]:
     return [c.tolist() for c in model.clusterCenters()]
 
 
-def build_index(items: DataFrame, cells: int, item_id: str = "item_id", seed: int = 0) -> CellIndex:
+def cells_for(items: int) -> int:
+    """Cells for so many items: their root, so that centres and a cell's items stay alike; bounded."""
+    return min(MAX_CELLS, max(1, round(items**0.5)))
+
+
+def build_index(items: DataFrame, cells: int | None = None, item_id: str = "item_id", seed: int = 0) -> CellIndex:
+    """Index over k-means cells, by default as many as `cells_for` the items."""
     named = _named(items, item_id, "item_id")
-    centres = fit_cells(named, cells, seed)
-    placed = materialise(nearest_cells(named, centres, 1), "cells")
+    named = _of_length(named, named.agg(F.max(F.size("embedding"))).scalar())
+    count = named.count()
+    if not count:
+        return CellIndex([], [], materialise(named.select(F.lit(0).cast("long").alias("cell"), "item_id", "embedding"), "cells"))
+    centres = fit_cells(named, min(count, cells or cells_for(count)), seed)
+    return index_at(named, centres)
+
+
+def index_at(items: DataFrame, centres: list[list[float]], item_id: str = "item_id") -> CellIndex:
+    """Index over cells around given centres."""
+    named = _of_length(_named(items, item_id, "item_id"), F.lit(len(centres[0])))
+    placed = materialise(nearest_cells(named, centres, 1).select("cell", "item_id", "embedding", "distance"), "cells")
     farthest = dict(placed.groupBy("cell").agg(F.max("distance")).collect())
     return CellIndex(centres, [farthest.get(c, -np.inf) for c in range(len(centres))], placed.drop("distance"))
 
 
 def _map_cells(df: DataFrame, centres: Sequence[Sequence[float]], choose) -> DataFrame:
-    """Adds (cell, distance) rows: `choose(vectors, order, batch, rows)` marks the wanted cells.
+    """Adds (cell, distance) rows: `choose(vectors, distance, batch, rows)` marks the wanted cells.
 
-    `order` lists the cells of each vector by distance, `rows` is the slice of the batch at hand.
+    `distance` is that of each vector to each centre, `rows` is the slice of the batch at hand.
     """
     table = np.asarray(centres)
     lengths = (table**2).sum(axis=1)
@@ -186,7 +223,7 @@ def _map_cells(df: DataFrame, centres: Sequence[Sequence[float]], choose) -> Dat
                 part = vectors[at : at + step]
                 squares = (part**2).sum(axis=1)[:, None] - 2 * part @ table.T + lengths
                 distance = np.sqrt(np.maximum(squares, 0))
-                wanted = choose(part, np.argsort(distance, axis=1, kind="stable"), batch, slice(at, at + len(part)))
+                wanted = choose(part, distance, batch, slice(at, at + len(part)))
                 row, cell = np.nonzero(wanted)
                 counts.append(wanted.sum(axis=1))
                 cells.append(cell)
@@ -203,15 +240,16 @@ def _map_cells(df: DataFrame, centres: Sequence[Sequence[float]], choose) -> Dat
     return df.mapInArrow(assign, schema).select(*df.columns, F.inline("_cells"))
 
 
-def _among_nearest(order: np.ndarray, probe: int) -> np.ndarray:
-    near = np.zeros(order.shape, dtype=bool)
-    np.put_along_axis(near, order[:, :probe], True, axis=1)
+def _among_nearest(distance: np.ndarray, probe: int) -> np.ndarray:
+    near = np.ones(distance.shape, dtype=bool)
+    if probe < distance.shape[1]:
+        np.put_along_axis(near, np.argpartition(distance, probe, axis=1)[:, probe:], False, axis=1)
     return near
 
 
 def nearest_cells(df: DataFrame, centres: Sequence[Sequence[float]], probe: int) -> DataFrame:
     """One row per vector and each of its `probe` nearest centres, with columns cell and distance."""
-    return _map_cells(df, centres, lambda vectors, order, batch, rows: _among_nearest(order, probe))
+    return _map_cells(df, centres, lambda vectors, distance, batch, rows: _among_nearest(distance, probe))
 
 
 def _promising_cells(df: DataFrame, index: CellIndex, probe: int) -> DataFrame:
@@ -221,13 +259,13 @@ def _promising_cells(df: DataFrame, index: CellIndex, probe: int) -> DataFrame:
     """
     table, radii = np.asarray(index.centres), np.asarray(index.radii)
 
-    def choose(vectors, order, batch, rows):
+    def choose(vectors, distance, batch, rows):
         thresholds = batch.column("threshold").to_numpy(zero_copy_only=False)[rows]
         lengths = np.linalg.norm(vectors, axis=1)[:, None]
         best = vectors @ table.T + lengths * radii
         # Scores are rounded and radii computed, so one unit of the last digit is allowed for each.
         reach = best >= thresholds[:, None] - 10.0**-SCORE_DIGITS * (1 + lengths)
-        return reach & ~_among_nearest(order, probe)
+        return reach & ~_among_nearest(distance, probe)
 
     return _map_cells(df, index.centres, choose)
 
@@ -245,33 +283,48 @@ def _search(probes: DataFrame, index: CellIndex, k: int, query_block: int, item_
 def approx_top_k(queries: DataFrame, index: CellIndex, k: int = 10, probe: int = 8, query_id: str = "query_id",
                  query_block: int = QUERY_BLOCK, item_block: int = ITEM_BLOCK) -> DataFrame:
     """Top k among the items of the `probe` cells nearest to each query."""
-    probes = nearest_cells(_named(queries, query_id, "query_id"), index.centres, probe).drop("distance")
+    if not index.centres:
+        return top_k(queries, index.items, k, query_id)
+    named = _of_length(_named(queries, query_id, "query_id"), F.lit(len(index.centres[0])))
+    probes = nearest_cells(named, index.centres, probe).drop("distance")
     return _search(probes, index, k, query_block, item_block)
 
 
 def pruned_top_k(queries: DataFrame, index: CellIndex, k: int = 10, probe: int = 8, query_id: str = "query_id",
-                 query_block: int = QUERY_BLOCK, item_block: int = ITEM_BLOCK) -> DataFrame:
+                 query_block: int = QUERY_BLOCK, item_block: int = ITEM_BLOCK, most_open: float = MOST_OPEN) -> DataFrame:
     """The exact top k, scoring only the cells that can matter.
 
     The nearest cells give each query k scores to beat; of the other cells only those whose bound
-    reaches the k-th score are searched.
+    reaches the k-th score are searched. Where more than `most_open` of all pairs stay open the
+    bound does not pay, and the items are searched whole; the result is the same.
     """
+    if not index.centres:
+        return top_k(queries, index.items, k, query_id)
     first = materialise(approx_top_k(queries, index, k, probe, query_id, query_block, item_block), "first")
     beat = materialise(
         first.groupBy("query_id").agg(F.count("*").alias("_n"), F.min("score").alias("_least")), "beat"
     )
-    open_queries = (
-        _named(queries, query_id, "query_id")
-        .join(beat, "query_id", "left")
-        .withColumn("threshold", F.when(F.col("_n") == k, F.col("_least")).otherwise(F.lit(float("-inf"))))
-        .drop("_n", "_least")
-    )
-    probes = materialise(_promising_cells(open_queries, index, probe).select("query_id", "embedding", "cell"), "probes")
-    second = _search(probes, index, k, query_block, item_block)
+    named = _of_length(_named(queries, query_id, "query_id"), F.lit(len(index.centres[0])))
+    open_queries = named.join(beat, "query_id", "left").withColumn(
+        "threshold", F.when(F.col("_n") == k, F.col("_least")).otherwise(F.lit(float("-inf")))
+    ).drop("_n", "_least")
+    # Only ids are written; a query's vector joins its cells when they are searched.
+    probes = materialise(_promising_cells(open_queries, index, probe).select("query_id", "cell"), "probes")
+    if open_share(probes, named, index) > most_open:
+        return top_k(queries, index.items, k, query_id)
+    second = _search(probes.join(named, "query_id"), index, k, query_block, item_block)
     both = first.drop("rank").unionByName(second.drop("rank"))
     return top_n(both, ["query_id"], [F.col("score").desc(), F.col("item_id").asc()], k)
 
 
+def open_share(probes: DataFrame, queries: DataFrame, index: CellIndex) -> float:
+    """The share of all (query, item) pairs that (query_id, cell) rows would score."""
+    asked = probes.groupBy("cell").agg(F.count("*").alias("_q"))
+    filled = index.items.groupBy("cell").agg(F.count("*").alias("_i"))
+    pairs = asked.join(filled, "cell").agg(F.sum(F.col("_q").cast("double") * F.col("_i"))).first()[0] or 0.0
+    return pairs / max(1.0, float(queries.count()) * index.items.count())
+
+
 def recall(approximate: DataFrame, exact: DataFrame) -> DataFrame:
     """One row: the share of the exact (query_id, item_id) pairs that were found."""
     pair = ["query_id", "item_id"]

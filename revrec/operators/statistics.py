@@ -6,6 +6,7 @@ Results are long tables, so any number of features and splits fits one shape.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,13 +14,10 @@ from pyspark.sql.types import NumericType, StringType
 
 from revrec.functions.columns import nan_to_null
 from revrec.operators.histograms import bin_number
-from revrec.operators.ordering import top_n
+from revrec.operators.ordering import rank_within, top_n
 from revrec.sources.shared import materialise
 from revrec.sources.tables import union_splits
 
-# Longer strings are counted by digest, so that whole texts are never shuffled.
-_LONG_TEXT = 64
-
 
 def numeric_features(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
@@ -48,9 +46,26 @@ def _tall(wide: DataFrame, by: Sequence[str]) -> DataFrame:
     return wide.select(*by, "feature", F.inline(F.array(*cells)))
 
 
+def exact_quantiles(df: DataFrame, by: Sequence[str], features: Sequence[str], fractions: Sequence[float]) -> DataFrame:
+    """(by..., feature, n, cuts): the values at ranks ceil(fraction * n), the least value for 0.
+
+    Ranks come from one range partitioning of all values, so no task holds a whole group.
+    """
+    keys = [*by, "feature"]
+    cells = _long_form(df, by, features, "double").withColumn("value", nan_to_null(F.col("value"))).filter("value is not null")
+    ranked = materialise(rank_within(cells, keys, ["value"], "_rank"), "ranked")
+    sizes = materialise(ranked.groupBy(*keys).agg(F.max("_rank").alias("n")), "sizes")
+    wanted = F.array(*[F.greatest(F.lit(1), F.ceil(F.lit(f) * F.col("n"))).cast("bigint") for f in fractions])
+    places = sizes.select(*keys, "n", F.posexplode(wanted).alias("_i", "_rank"))
+    same = [F.col(f"r.{k}").eqNullSafe(F.col(f"p.{k}")) for k in (*keys, "_rank")]
+    found = ranked.alias("r").join(places.alias("p"), same).select(*[f"p.{k}" for k in keys], "p.n", "p._i", "r.value")
+    cuts = F.transform(F.array_sort(F.collect_list(F.struct("_i", "value"))), lambda x: x["value"])
+    return found.groupBy(*keys, "n").agg(cuts.alias("cuts"))
+
+
 def numeric_statistics(df: DataFrame, by: Sequence[str] = (), features: Sequence[str] | None = None,
-                       accuracy: int = 10000) -> DataFrame:
-    """(by..., feature, stat, value). The median is within 1/accuracy of the row count in rank."""
+                       accuracy: int = 10000, exact: bool = False) -> DataFrame:
+    """(by..., feature, stat, value). The median is within 1/accuracy of the row count in rank, or `exact`."""
     features = numeric_features(df) if features is None else features
 
     def measures(feature: str) -> Column:
@@ -68,30 +83,40 @@ def numeric_statistics(df: DataFrame, by: Sequence[str] = (), features: Sequence
             F.max(value).alias("max"),
         )
 
-    return _tall(_side_by_side(df, by, [measures(f) for f in features]), by)
+    tall = _tall(_side_by_side(df, by, [measures(f) for f in features]), by)
+    if not exact:
+        return tall
+    medians = exact_quantiles(df, by, features, [0.5]).select(
+        *by, "feature", F.lit("median").alias("stat"), F.get("cuts", F.lit(0)).alias("_exact"))
+    same = [F.col(f"t.{k}").eqNullSafe(F.col(f"m.{k}")) for k in (*by, "feature", "stat")]
+    value = F.when(F.col("t.stat") == "median", F.col("_exact")).otherwise(F.col("t.value"))
+    return tall.alias("t").join(medians.alias("m"), same, "left").select(*[f"t.{k}" for k in (*by, "feature", "stat")], value.alias("value"))
 
 
 def numeric_histograms(df: DataFrame, by: Sequence[str] = (), features: Sequence[str] | None = None,
-                       bins: int = 10, accuracy: int = 10000) -> DataFrame:
+                       bins: int = 10, accuracy: int = 10000, exact: bool = False) -> DataFrame:
     """(by..., feature, kind, bin, low, high, count): equal-width and equal-depth bins.
 
-    Equal-depth bins give their edges; each holds 1/bins of the rows, up to 1/accuracy in rank.
+    Equal-depth bins give their edges; each holds 1/bins of the rows, up to 1/accuracy in rank or `exact`.
     """
     features = numeric_features(df) if features is None else features
     keys = [*by, "feature"]
     cells = _long_form(df, by, features, "double").withColumn("value", nan_to_null(F.col("value")))
     cells = cells.filter("value is not null")
-    cuts = F.lit([i / bins for i in range(bins + 1)])
-    # Written once: it is used three times, and Spark then knows its size when it plans the join.
-    shape = materialise(
-        cells.groupBy(*keys).agg(
+    fractions = [i / bins for i in range(bins + 1)]
+    if exact:
+        cut = exact_quantiles(df, by, features, fractions)
+        ends = [F.get("cuts", F.lit(0)).alias("_low"), F.get("cuts", F.lit(bins)).alias("_high")]
+        shape = cut.select(*keys, *ends, F.col("n").alias("_n"), F.col("cuts").alias("_cuts"))
+    else:
+        shape = cells.groupBy(*keys).agg(
             F.min("value").alias("_low"),
             F.max("value").alias("_high"),
             F.count("*").alias("_n"),
-            F.percentile_approx("value", cuts, accuracy).alias("_cuts"),
-        ),
-        "shape",
-    )
+            F.percentile_approx("value", F.lit(fractions), accuracy).alias("_cuts"),
+        )
+    # Written once: it is used three times, and Spark then knows its size when it plans the join.
+    shape = materialise(shape, "shape")
     numbers = F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin")
     named = [F.col(f"s.{k}").eqNullSafe(F.col(f"c.{k}")) for k in keys]
     counts = (
@@ -127,16 +152,16 @@ def numeric_histograms(df: DataFrame, by: Sequence[str] = (), features: Sequence
     return standard.unionByName(quantile)
 
 
-def _value_key(value: Column) -> Column:
-    """The value itself, or for a long one a digest with a mark that no short value can equal."""
-    return F.when(F.octet_length(value) <= _LONG_TEXT, value).otherwise(F.concat(F.sha2(value, 256), F.lit("#")))
+def _digest(value: Column) -> Column:
+    """What stands for a value where only its identity matters: texts of any length shuffle as 32 bytes."""
+    return F.unhex(F.sha2(value, 256))
 
 
 def value_counts(df: DataFrame, by: Sequence[str] = (), features: Sequence[str] | None = None) -> DataFrame:
-    """(by..., feature, value, count) of the present values, long texts by digest."""
+    """(by..., feature, digest, count) of the present values."""
     features = string_features(df) if features is None else features
     cells = _long_form(df, by, [f for f in features if f not in by], "string").filter("value is not null")
-    return cells.groupBy(*by, "feature", _value_key(F.col("value")).alias("value")).agg(F.count("*").alias("count"))
+    return cells.groupBy(*by, "feature", _digest(F.col("value")).alias("digest")).agg(F.count("*").alias("count"))
 
 
 def string_statistics(df: DataFrame, by: Sequence[str] = (), features: Sequence[str] | None = None,
@@ -157,7 +182,7 @@ def string_statistics(df: DataFrame, by: Sequence[str] = (), features: Sequence[
         wide = cells.groupBy(*keys).agg(*measures, F.approx_count_distinct("value").alias("unique"))
     else:
         # Two levels: per value first, so that a frequent value is folded on the map side.
-        per_value = cells.groupBy(*keys, _value_key(F.col("value")).alias("_key")).agg(*measures)
+        per_value = cells.groupBy(*keys, _digest(F.col("value")).alias("_key")).agg(*measures)
         wide = per_value.groupBy(*keys).agg(
             *[F.sum(c).alias(c) for c in ("num_examples", "num_present", "num_missing", "_chars")],
             F.max("max_length").alias("max_length"),
@@ -168,11 +193,19 @@ def string_statistics(df: DataFrame, by: Sequence[str] = (), features: Sequence[
 
 
 def top_values(df: DataFrame, by: Sequence[str] = (), features: Sequence[str] | None = None, n: int = 20) -> DataFrame:
-    """(by..., feature, rank, value, count): the rank histogram of the n most frequent values."""
-    counts = value_counts(df, by, features)
-    order = [F.col("count").desc(), F.col("value").asc()]
-    ranked = top_n(counts, [*by, "feature"], order, n)
-    return ranked.select(*by, "feature", "rank", "value", "count")
+    """(by..., feature, rank, value, count): the rank histogram of the n most frequent values.
+
+    Equal counts go by the values' SHA-256. Counted by digest; only the n chosen ones of each
+    feature and group are then looked up as text.
+    """
+    features = [f for f in (string_features(df) if features is None else features) if f not in by]
+    order = [F.col("count").desc(), F.col("digest").asc()]
+    ranked = materialise(top_n(value_counts(df, by, features), [*by, "feature"], order, n), "ranked")
+    cells = _long_form(df, by, features, "string").filter("value is not null").withColumn("digest", _digest(F.col("value")))
+    same = [F.col(f"c.{k}").eqNullSafe(F.col(f"r.{k}")) for k in (*by, "feature", "digest")]
+    # At most n rows a feature and group: Spark sends them to the cells' side where their size allows.
+    found = cells.alias("c").join(ranked.alias("r"), same).groupBy(*[F.col(f"r.{k}").alias(k) for k in (*by, "feature", "rank")])
+    return found.agg(F.min("c.value").alias("value"), F.first("r.count").alias("count"))
 
 
 def presence_statistics(df: DataFrame, by: Sequence[str], features: Sequence[str]) -> DataFrame:
@@ -189,16 +222,12 @@ def presence_statistics(df: DataFrame, by: Sequence[str], features: Sequence[str
     return _tall(_side_by_side(df, by, measures), by)
 
 
-def feature_statistics(df: DataFrame, split_col: str | None = None, accuracy: int = 10000) -> DataFrame:
+def feature_statistics(df: DataFrame, split_col: str | None = None, accuracy: int = 10000, exact: bool = False) -> DataFrame:
     """([split], feature, stat, value) of all features: full for numbers and strings, presence for others."""
-    by = [split_col] if split_col else []
-    features = [c for c in df.columns if c not in by]
-    numeric = [c for c in numeric_features(df) if c in features]
-    strings = [c for c in string_features(df) if c in features]
-    others = [c for c in features if c not in numeric and c not in strings]
+    by, numeric, strings, others = _kinds(df, split_col)
     parts = []
     if numeric:
-        parts.append(numeric_statistics(df, by, numeric, accuracy))
+        parts.append(numeric_statistics(df, by, numeric, accuracy, exact))
     if strings:
         parts.append(string_statistics(df, by, strings))
     if others:
@@ -206,6 +235,34 @@ def feature_statistics(df: DataFrame, split_col: str | None = None, accuracy: in
     return union_splits(*parts)
 
 
+def _kinds(df: DataFrame, split_col: str | None) -> tuple[list[str], list[str], list[str], list[str]]:
+    by = [split_col] if split_col else []
+    features = [c for c in df.columns if c not in by]
+    numeric = [c for c in numeric_features(df) if c in features]
+    strings = [c for c in string_features(df) if c in features]
+    return by, numeric, strings, [c for c in features if c not in numeric and c not in strings]
+
+
+@dataclass(frozen=True)
+class Profile:
+    """Everything about the features of a table: figures, histograms of numbers, top values of strings."""
+
+    statistics: DataFrame
+    histograms: DataFrame | None
+    top_values: DataFrame | None
+
+
+def profile(df: DataFrame, split_col: str | None = None, n: int = 20, bins: int = 10, accuracy: int = 10000,
+            exact: bool = False) -> Profile:
+    """All statistics of all columns, per split if one is named."""
+    by, numeric, strings, _ = _kinds(df, split_col)
+    return Profile(
+        feature_statistics(df, split_col, accuracy, exact),
+        numeric_histograms(df, by, numeric, bins, accuracy, exact) if numeric else None,
+        top_values(df, by, strings, n) if strings else None,
+    )
+
+
 def infer_schema(df: DataFrame, stats: DataFrame | None = None, domain_limit: int = 50,
                  features: Sequence[str] | None = None) -> DataFrame:
     """(feature, type, presence, domain): a domain only for strings with few distinct values.
@@ -230,8 +287,12 @@ def infer_schema(df: DataFrame, stats: DataFrame | None = None, domain_limit: in
     )
     if not strings:
         return schema.withColumn("domain", F.lit(None).cast("array<string>"))
-    # One value more than the limit is enough to know that there is no domain.
-    few = top_n(value_counts(df, (), strings), ["feature"], ["value"], domain_limit + 1)
+    # A sketch of every column first: only values of columns that can be under the limit are gathered.
+    sketched = df.agg(*[F.approx_count_distinct(c, 0.02).alias(f"_{i}") for i, c in enumerate(strings)]).first()
+    likely = [c for i, c in enumerate(strings) if sketched[f"_{i}"] <= 2 * domain_limit]
+    if not likely:
+        return schema.withColumn("domain", F.lit(None).cast("array<string>"))
+    few = top_n(_long_form(df, (), likely, "string").filter("value is not null").distinct(), ["feature"], ["value"], domain_limit + 1)
     domains = few.groupBy("feature").agg(
         F.array_sort(F.collect_list("value")).alias("domain"), F.count("*").alias("_distinct")
     )

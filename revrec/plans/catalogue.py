@@ -22,9 +22,6 @@ from revrec.sources.shared import materialise, new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Quantiles within a millionth of the rows: exact on the tables that the SQL is compared on.
-EXACT = 1_000_000
-
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
@@ -234,11 +231,11 @@ def count_histogram_auto(spark, sf):
     return rounded(histograms.histogram_auto(summary, rating_plans.COUNT, 10), "low", "high", "log10_count")
 
 
-@query(with_(RATED) + """SELECT feature, bin, count(*) AS count FROM (
-  SELECT 'review_rating_mean' AS feature, review_rating_mean AS v FROM rated
-  UNION ALL SELECT 'review_rating_expected', review_rating_expected FROM rated)
-CROSS JOIN LATERAL (SELECT least(5, 1 + CAST(floor(5 * (v - 0.5::DOUBLE) / 5.0::DOUBLE) AS BIGINT)) AS bin)
-WHERE v BETWEEN 0.5 AND 5.5 GROUP BY 1, 2""")
+@query(with_(RATED, """cells AS (SELECT 'review_rating_mean' AS feature, review_rating_mean AS v FROM rated
+  UNION ALL SELECT 'review_rating_expected', review_rating_expected FROM rated)""") + """SELECT g.feature, b.bin, count(v) AS count
+FROM (SELECT DISTINCT feature FROM cells) g CROSS JOIN range(1, 6) AS b(bin)
+LEFT JOIN cells c ON c.feature = g.feature AND v BETWEEN 0.5 AND 5.5
+  AND b.bin = least(5, 1 + CAST(floor(5 * (v - 0.5::DOUBLE) / 5.0::DOUBLE) AS BIGINT)) GROUP BY 1, 2""")
 def mean_and_expected_histogram(spark, sf):
     return histograms.bin_counts(
         _rated(spark, sf), [rating_plans.MEAN, rating_plans.EXPECTED], 0.5, 5.5, 5
@@ -403,53 +400,60 @@ def _string_sql(source: str, by: str, features: list[str]) -> str:
     return " UNION ALL ".join(parts)
 
 
-@query(with_(CURATED) + _numeric_sql("curated", "split", "review_rating"))
+_CURATED_NUMBERS = ["review_id", "review_rating"]
+_CURATED_STRINGS = ["review_text", "customer_id", "product_id", "product_title", "product_brand", "product_department"]
+
+
+@query(with_(CURATED) + " UNION ALL ".join(_numeric_sql("curated", "split", f) for f in _CURATED_NUMBERS))
 def feature_stats_numeric(spark, sf):
-    curated = _curated(spark, sf).select(SPLIT, "review_rating")
-    return rounded(statistics.numeric_statistics(curated, [SPLIT], accuracy=EXACT), "value")
+    return rounded(statistics.numeric_statistics(_stored(spark, sf), [SPLIT], exact=True), "value")
 
 
-@query(_numeric_sql("documents", "lang", "n_chars") + " UNION ALL " + _string_sql("documents", "lang", ["text", "source"])
-       )
+@query(" UNION ALL ".join(_numeric_sql("documents", "lang", f) for f in ("doc_id", "n_chars"))
+       + " UNION ALL " + _string_sql("documents", "lang", ["text", "source"]))
 def feature_stats_documents(spark, sf):
-    documents = testdata.table(spark, sf, "documents").select("lang", "n_chars", "text", "source")
-    return rounded(statistics.feature_statistics(documents, "lang", EXACT), "value")
+    documents = testdata.table(spark, sf, "documents")
+    return rounded(statistics.profile(documents, "lang", exact=True).statistics, "value")
 
 
-@query(with_(CURATED) + _string_sql("curated", "split", ["customer_id", "product_id", "review_text", "product_brand"]))
+@query(with_(CURATED) + _string_sql("curated", "split", _CURATED_STRINGS))
 def feature_stats_string(spark, sf):
-    features = ["customer_id", "product_id", "review_text", "product_brand"]
-    curated = _curated(spark, sf).select(SPLIT, *features)
-    return rounded(statistics.string_statistics(curated, [SPLIT], features), "value")
+    return rounded(statistics.string_statistics(_curated(spark, sf), [SPLIT]), "value")
 
 
-def _top_sql(feature: str) -> str:
-    key = f"CASE WHEN octet_length(encode({feature})) <= 64 THEN {feature} ELSE sha256({feature}) || '#' END"
-    return f"""SELECT '{feature}' AS feature, row_number() OVER (ORDER BY count(*) DESC, {key}) AS rank, {key} AS value,
-  count(*) AS count FROM documents GROUP BY {key} QUALIFY rank <= 20"""
+def _top_sql(source: str, feature: str, by: str = "") -> str:
+    return f"""SELECT {by + ", " if by else ""}'{feature}' AS feature,
+  row_number() OVER ({f"PARTITION BY {by} " if by else ""}ORDER BY count(*) DESC, sha256({feature})) AS rank, {feature} AS value,
+  count(*) AS count FROM {source} WHERE {feature} IS NOT NULL GROUP BY {by + ", " if by else ""}{feature} QUALIFY rank <= 20"""
 
 
-@query(" UNION ALL ".join(f"SELECT * FROM ({_top_sql(f)})" for f in ("text", "lang", "source")))
+@query(" UNION ALL ".join(f"SELECT * FROM ({_top_sql('documents', f)})" for f in ("text", "lang", "source")))
 def top_values(spark, sf):
-    documents = testdata.table(spark, sf, "documents").select("text", "lang", "source")
-    return statistics.top_values(documents)
+    return statistics.top_values(testdata.table(spark, sf, "documents"))
+
+
+@query(with_(CURATED) + " UNION ALL ".join(f"SELECT * FROM ({_top_sql('curated', f, 'split')})" for f in _CURATED_STRINGS))
+def top_values_by_split(spark, sf):
+    return statistics.profile(_stored(spark, sf), SPLIT).top_values
 
 
-@query(with_("cells AS (SELECT lang, CAST(n_chars AS DOUBLE) AS v FROM documents)",
-             "shape AS (SELECT lang, min(v) AS lo, max(v) AS hi, count(*) AS n FROM cells GROUP BY 1)",
-             "grid AS (SELECT lang, lo, hi, n, bin FROM shape, range(1, 11) AS b(bin))")
-       + """SELECT g.lang, 'n_chars' AS feature, 'standard' AS kind, g.bin, round(lo + (hi - lo) / 10 * (g.bin - 1), 6) AS low,
+def _histograms_sql(feature: str) -> str:
+    return f"""(WITH cells AS (SELECT lang, CAST({feature} AS DOUBLE) AS v FROM documents),
+shape AS (SELECT lang, min(v) AS lo, max(v) AS hi, count(*) AS n FROM cells GROUP BY 1),
+grid AS (SELECT lang, lo, hi, n, bin FROM shape, range(1, 11) AS b(bin))
+SELECT g.lang, '{feature}' AS feature, 'standard' AS kind, g.bin, round(lo + (hi - lo) / 10 * (g.bin - 1), 6) AS low,
   round(lo + (hi - lo) / 10 * g.bin, 6) AS high, CAST(count(v) AS DOUBLE) AS count
 FROM grid g LEFT JOIN cells c ON c.lang = g.lang AND g.bin = least(10, 1 + CAST(floor(10 * (v - lo) / (hi - lo)) AS BIGINT))
 GROUP BY g.lang, lo, hi, g.bin
 UNION ALL
-SELECT g.lang, 'n_chars', 'quantile', g.bin, sorted[greatest(1, ((g.bin - 1) * n + 9) // 10)], sorted[(g.bin * n + 9) // 10],
-  round(n / 10, 6) FROM grid g JOIN (SELECT lang, list(v ORDER BY v) AS sorted FROM cells GROUP BY 1) USING (lang)""")
+SELECT g.lang, '{feature}', 'quantile', g.bin, sorted[greatest(1, ((g.bin - 1) * n + 9) // 10)], sorted[(g.bin * n + 9) // 10],
+  round(n / 10, 6) FROM grid g JOIN (SELECT lang, list(v ORDER BY v) AS sorted FROM cells GROUP BY 1) USING (lang))"""
+
+
+@query(" UNION ALL ".join(f"SELECT * FROM {_histograms_sql(f)}" for f in ("doc_id", "n_chars")))
 def numeric_histograms(spark, sf):
-    documents = testdata.table(spark, sf, "documents").select("lang", "n_chars")
-    return rounded(statistics.numeric_histograms(documents, ["lang"], accuracy=EXACT), "low", "high", "count").withColumn(
-        "bin", F.col("bin").cast("long")
-    )
+    found = statistics.profile(testdata.table(spark, sf, "documents"), "lang", exact=True).histograms
+    return rounded(found, "low", "high", "count").withColumn("bin", F.col("bin").cast("long"))
 
 
 @query("""SELECT 'doc_id' AS feature, 'bigint' AS type, CASE WHEN count(doc_id) = count(*) THEN 'required' ELSE 'optional' END AS presence,
@@ -588,18 +592,28 @@ def topk_pruned(spark, sf):
     return rounded(retrieval.pruned_top_k(vectors, index, 10, 2, "vec_id"), "score")
 
 
-@query()
+@query(with_(SCORES, """vectors AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+centres AS (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS cell, v AS c FROM vectors ORDER BY vec_id LIMIT 16),
+near AS (SELECT vec_id, cell, row_number() OVER (PARTITION BY vec_id ORDER BY list_distance(v, c), cell) AS r FROM vectors, centres),
+found AS (SELECT s.query_id, s.item_id FROM near q JOIN near i ON i.cell = q.cell AND i.r = 1 AND q.r <= 8
+  JOIN scores s ON s.query_id = q.vec_id AND s.item_id = i.vec_id
+  QUALIFY row_number() OVER (PARTITION BY s.query_id ORDER BY s.score DESC, s.item_id) <= 10),
+best AS (SELECT query_id, item_id FROM scores QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, item_id) <= 10),
+pairs AS (SELECT count(*) AS n FROM near q JOIN near i ON i.cell = q.cell AND i.r = 1 AND q.r <= 8)""")
+       + """SELECT round((SELECT count(*) FROM best JOIN found USING (query_id, item_id)) / (SELECT count(*) FROM best), 6) AS recall,
+  round((SELECT n FROM pairs) / (SELECT count(*) FROM scores), 6) AS pair_share""")
 def topk_approx_recall(spark, sf):
+    """Recall and cost of half of the cells, around the first vectors as centres, so that SQL can follow."""
     vectors = testdata.vectors(spark, sf)
-    index = retrieval.build_index(vectors, 16, "vec_id", seed=1)
+    first = vectors.orderBy("vec_id").limit(16).select("embedding").collect()
+    index = retrieval.index_at(vectors, [[float(x) for x in r["embedding"]] for r in first], "vec_id")
     found = retrieval.approx_top_k(vectors, index, 10, 8, "vec_id")
     share = retrieval.pair_share(vectors, index, 8, "vec_id").scalar()
-    return retrieval.recall(found, _top_k(spark, sf, 10)).withColumn("pair_share", share)
+    return rounded(retrieval.recall(found, _top_k(spark, sf, 10)).withColumn("pair_share", share), "recall", "pair_share")
 
 
-@query(with_(SCORES) + """SELECT query_id, item_id, score FROM scores JOIN (
-  SELECT query_id, item_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, item_id) AS r FROM scores QUALIFY r <= 3)
-USING (query_id, item_id)""")
+@query(with_(SCORES) + """SELECT query_id, item_id, score FROM scores
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, item_id) <= 3""")
 def score_pairs(spark, sf):
     vectors = testdata.vectors(spark, sf)
     pairs = _top_k(spark, sf, 3).select("query_id", "item_id")
@@ -705,13 +719,20 @@ def retrieval_loss(spark, sf):
 # department of each customer's newest review.
 
 
-def _best_of_department(curated, rank_by):
+def _best_of_department(curated, *rank_by):
+    """Recommendations of each ranking; ratings and tastes are worked out once for all of them."""
     rated = rating_plans.product_ratings(curation.products_dimension(curated), curated)
-    best = materialise(rating_plans.top_rated_by(rated, ["product_department"], 10, rank_by), "best")
-    best = best.select("product_department", F.col("product_id").alias("item_id"), "rank")
+    rated = materialise(rated, "rated") if len(rank_by) > 1 else rated
     newest = [F.col("review_timestamp").desc(), F.col("review_id").desc()]
     taste = ordering.top_n(curated, ["customer_id"], newest, 1, "_first").select("customer_id", "product_department")
-    return taste.join(best, "product_department").select("customer_id", "item_id", "rank")
+    taste = materialise(taste, "taste") if len(rank_by) > 1 else taste
+
+    def ranked(by):
+        best = materialise(rating_plans.top_rated_by(rated, ["product_department"], 10, by), "best")
+        best = best.select("product_department", F.col("product_id").alias("item_id"), "rank")
+        return taste.join(best, "product_department").select("customer_id", "item_id", "rank")
+
+    return [ranked(by) for by in rank_by]
 
 
 _BEST = CURATED + """, summary AS (
@@ -728,7 +749,7 @@ base_recs AS (SELECT customer_id, product_id FROM taste JOIN ranked USING (produ
 
 @query(with_(_BEST) + "SELECT customer_id, string_agg(product_id, ',' ORDER BY rank) AS product_ids FROM recs GROUP BY 1")
 def recommendation_lists(spark, sf):
-    ranked = _best_of_department(_stored(spark, sf), "expected")
+    ranked = _best_of_department(_stored(spark, sf), "expected")[0]
     return retrieval.recommendation_lists(ranked, "customer_id").withColumn("product_ids", F.array_join("product_ids", ","))
 
 
@@ -739,7 +760,7 @@ def recommendation_lists(spark, sf):
 FROM history h LEFT JOIN recs r ON r.customer_id = h.customer_id AND r.rank = h.position WHERE h.position <= 20""")
 def history_report(spark, sf):
     curated = _stored(spark, sf)
-    ranked = _best_of_department(curated, "expected")
+    ranked, = _best_of_department(curated, "expected")
     return rec.history_report(curation.reviews_table(curated), curation.products_dimension(curated), ranked)
 
 
@@ -751,10 +772,25 @@ sliced AS (SELECT slice, 'example_count' AS metric, CAST(count(*) AS DOUBLE) AS
   UNION ALL SELECT slice, 'top_k_accuracy', avg(new_hit), avg(old_hit) FROM hits GROUP BY 1)"""
 
 
+@query("WITH " + _BEST + """, hits AS (SELECT CASE WHEN product_brand IN ('Brand#1', 'Brand#2', 'Brand#3') THEN 'product_brand IS NULL'
+      ELSE 'product_brand=' || product_brand END || '|product_department=' || product_department AS slice,
+    CAST(EXISTS (SELECT 1 FROM recs r WHERE r.customer_id = c.customer_id AND r.product_id = c.product_id) AS INTEGER) AS hit
+  FROM curated c WHERE split = 'validation')
+SELECT slice, 'example_count' AS metric, CAST(count(*) AS DOUBLE) AS value FROM hits GROUP BY 1
+UNION ALL SELECT slice, 'top_k_accuracy', round(avg(hit), 6) FROM hits GROUP BY 1""")
+def evaluation_two_slices(spark, sf):
+    """Slices by two columns, one of them partly NULL."""
+    curated = _stored(spark, sf)
+    ranked, = _best_of_department(curated, "expected")
+    brand = F.when(~F.col("product_brand").isin("Brand#1", "Brand#2", "Brand#3"), F.col("product_brand"))
+    examples = tables.select_splits(curated, [VALIDATION]).withColumn("product_brand", brand)
+    return rounded(rec.evaluate(examples, ranked, slices=["product_brand", "product_department"]), "value")
+
+
 @query("WITH " + _BEST + _SLICED + "SELECT slice, metric, round(value, 6) AS value FROM sliced")
 def evaluation(spark, sf):
     curated = _stored(spark, sf)
-    ranked = _best_of_department(curated, "expected")
+    ranked, = _best_of_department(curated, "expected")
     examples = tables.select_splits(curated, [VALIDATION])
     return rounded(rec.evaluate(examples, ranked, slices=["product_department"]), "value")
 
@@ -762,11 +798,10 @@ def evaluation(spark, sf):
 def _checks(spark, sf):
     curated = _stored(spark, sf)
     examples = tables.select_splits(curated, [VALIDATION])
-    candidate, baseline = (
-        rec.evaluate(examples, _best_of_department(curated, by), slices=["product_department"])
-        for by in ("expected", "mean_count")
-    )
-    return candidate, baseline
+    return [
+        rec.evaluate(examples, ranked, slices=["product_department"])
+        for ranked in _best_of_department(curated, "expected", "mean_count")
+    ]
 
 
 @query("WITH " + _BEST + _SLICED + """SELECT slice, metric, round(value, 6) AS value, round(baseline, 6) AS baseline,
@@ -848,27 +883,93 @@ def evaluate_fixed(spark, sf):
     return rounded(rec.evaluate(purchases, _fixed(spark, sf)), "value")
 
 
-def _trained(spark, sf, learner=rec.fit_factors):
+@query("WITH " + _TRANSFORMED + """, n AS (SELECT count(*) AS many FROM embeddings), numbered AS (
+  SELECT row_number() OVER (ORDER BY vec_id) - 1 AS place, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+asking AS (SELECT DISTINCT customer_id, c.index % many AS place FROM curated JOIN customers c ON c.token = customer_id, n),
+offered AS (SELECT DISTINCT product_id, p.index % many AS place FROM curated JOIN items p ON p.token = product_id, n),
+sides AS (SELECT q.place AS a, i.place AS b, round(list_inner_product(q.v, i.v), 6) AS score FROM numbered q, numbered i)
+SELECT customer_id, product_id AS item_id, score, row_number() OVER (PARTITION BY customer_id ORDER BY score DESC, product_id) AS rank
+FROM asking x, offered y JOIN sides ON a = x.place AND b = y.place QUALIFY rank <= 10""")
+def recommend_by_vocabulary(spark, sf):
+    """The whole way from raw ids over vocabularies and given vectors to an index and its answers."""
+    curated = _stored(spark, sf)
+    analysed = tables.select_splits(curated, [TRAIN, VALIDATION])
+    vectors = ordering.ordered_index(testdata.vectors(spark, sf).select("vec_id", "embedding"), ["vec_id"], "place")
+    vectors = materialise(vectors, "vectors")
+    many = vectors.agg(F.count("*")).scalar()
+
+    def given(column):
+        tokens = materialise(vocabulary.build_vocabulary(analysed, column), "vocabulary")
+        factors = tokens.select("index", (F.col("index") % many).alias("place")).join(vectors, "place")
+        return tokens, factors.select("index", "embedding")
+
+    tokens, factors = given("customer_id")
+    asking = materialise(rec.embed(curated, "customer_id", tokens, factors), "customers")
+    tokens, factors = given("product_id")
+    offered = rec.product_index(curated, factors, tokens)
+    ranked = rec.recommend(asking, retrieval.build_index(offered, None, "product_id"))
+    return rounded(ranked, "score")
+
+
+def _trained(spark, sf, learner=None, **settings):
     curated = _stored(spark, sf)
     factors = rec.fit(
         tables.select_splits(curated, [TRAIN]), learner, items=curation.products_dimension(curated),
-        queries=curation.customers_dimension(curated), analysed=tables.select_splits(curated, [TRAIN, VALIDATION]),
+        queries=curation.customers_dimension(curated), analysed=tables.select_splits(curated, [TRAIN, VALIDATION]), **settings,
+    )
+    return curated, factors, rec.recommend(factors.customers, factors.index)
+
+
+# What is learned SQL can't follow; what it must look like, it can: who is covered, with how many
+# products, in order, by unit vectors, and over how many examples it is measured.
+_LEARNED = """, positive AS (SELECT * FROM curated WHERE split = 'train'{positive}),
+offered AS (SELECT least(10, count(DISTINCT product_id)) AS k FROM positive)"""
+
+
+def _learned_lists(factors, ranked):
+    unit = F.abs(F.aggregate("embedding", F.lit(0.0), lambda t, x: t + x * x) - 1) < 1e-4
+    units = factors.customers.select("customer_id", unit.alias("unit_vector"))
+    sorted_scores = F.transform(F.array_sort(F.collect_list(F.struct("rank", "score"))), lambda x: -x["score"])
+    lists = ranked.groupBy("customer_id").agg(
+        F.count_distinct("item_id").alias("products"), (F.max(F.abs("score")) <= 1 + 1e-5).alias("cosines"),
+        (sorted_scores == F.array_sort(sorted_scores)).alias("in_order"),
     )
-    return curated, rec.recommend(factors.customers, factors.products)
+    return lists.join(units, "customer_id")
+
+
+_LISTS_SQL = """SELECT DISTINCT customer_id, (SELECT k FROM offered) AS products, true AS cosines, true AS in_order, true AS unit_vector
+FROM positive"""
 
 
-@query()
+@query("WITH " + CURATED + _LEARNED.format(positive=" AND review_rating >= 4") + _LISTS_SQL)
 def als_recommendations(spark, sf):
-    return rounded(_trained(spark, sf)[1], "score")
+    _, factors, ranked = _trained(spark, sf, rec.fit_factors)
+    return _learned_lists(factors, ranked)
+
+
+@query("WITH " + CURATED + _LEARNED.format(positive="") + _LISTS_SQL)
+def tower_recommendations(spark, sf):
+    _, factors, ranked = _trained(spark, sf, epochs=2)
+    return _learned_lists(factors, ranked)
+
+
+def _measured(metrics_):
+    """The number of examples, and whether an accuracy was found between none and all."""
+    value = F.when(F.col("metric") == "example_count", F.col("value")).otherwise(F.col("value").between(0, 1).cast("double"))
+    return metrics_.select("slice", "metric", value.alias("value"))
+
+
+_MEASURED_SQL = """SELECT 'overall' AS slice, unnest(['example_count', 'top_k_accuracy']) AS metric,
+  unnest([CAST(count(*) AS DOUBLE), 1.0]) AS value FROM curated WHERE split = 'test'"""
 
 
-@query()
+@query(with_(CURATED) + _MEASURED_SQL)
 def als_evaluation(spark, sf):
-    curated, ranked = _trained(spark, sf)
-    return rec.evaluate(tables.select_splits(curated, [TEST]), ranked)
+    curated, _, ranked = _trained(spark, sf, rec.fit_factors)
+    return _measured(rec.evaluate(tables.select_splits(curated, [TEST]), ranked))
 
 
-@query()
+@query(with_(CURATED) + _MEASURED_SQL)
 def tower_evaluation(spark, sf):
-    curated, ranked = _trained(spark, sf, lambda rows: rec.fit_towers(rows, epochs=3, learning_rate=0.05))
-    return rec.evaluate(tables.select_splits(curated, [TEST]), ranked)
+    curated, _, ranked = _trained(spark, sf)
+    return _measured(rec.evaluate(tables.select_splits(curated, [TEST]), ranked))

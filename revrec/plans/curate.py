@@ -29,7 +29,7 @@ from revrec.schemas import (
     TRAIN,
     VALIDATION,
 )
-from revrec.sources.shared import materialise
+from revrec.sources.shared import materialise, scope
 from revrec.sources.tables import release, select_splits, write_csv
 
 # Fixed values of the dataset.
@@ -163,23 +163,25 @@ def build_dataset(curated: DataFrame, base: str, seed: int = 0) -> DataFrame:
 
     The curated rows are written to the shared folder once, and every output reads those.
     """
-    stored = materialise(curated, "curated", [SPLIT])
-    for split in (TRAIN, VALIDATION, TEST):
-        rows = select_splits(stored, [split]).drop(SPLIT)
-        write_csv(shuffle_rows(rows, REVIEW_ID, seed), f"{base}/reviews/{split}.csv")
-    write_csv(customers_dimension(stored), f"{base}/customers.csv")
-    write_csv(products_dimension(stored), f"{base}/products.csv")
-    write_csv(shuffle_rows(reviews_table(stored), REVIEW_ID, seed), f"{base}/reviews.csv")
-    return stored.groupBy(SPLIT).agg(F.count("*").alias("row_count"))
+    with scope(curated.sparkSession, keep=("row-counts",)):
+        stored = materialise(curated, "curated", [SPLIT])
+        for split in (TRAIN, VALIDATION, TEST):
+            rows = select_splits(stored, [split]).drop(SPLIT)
+            write_csv(shuffle_rows(rows, REVIEW_ID, seed), f"{base}/reviews/{split}.csv")
+        write_csv(customers_dimension(stored), f"{base}/customers.csv")
+        write_csv(products_dimension(stored), f"{base}/products.csv")
+        write_csv(shuffle_rows(reviews_table(stored), REVIEW_ID, seed), f"{base}/reviews.csv")
+        return materialise(stored.groupBy(SPLIT).agg(F.count("*").alias("row_count")), "row-counts")
 
 
 def release_dataset(curated: DataFrame, base: str, withhold: Sequence[str] = (TEST,)) -> None:
     """Publish the tables for participants: everything but the withheld splits' files."""
-    stored = materialise(curated, "curated", [SPLIT])
-    write_csv(customers_dimension(stored), f"{base}/customers.csv")
-    write_csv(products_dimension(stored), f"{base}/products.csv")
-    write_csv(reviews_table(stored), f"{base}/reviews.csv")
-    shown = release(stored, withhold)
-    for split in (TRAIN, VALIDATION, TEST):
-        if split not in withhold:
-            write_csv(select_splits(shown, [split]).drop(SPLIT), f"{base}/reviews/{split}.csv")
+    with scope(curated.sparkSession):
+        stored = materialise(curated, "curated", [SPLIT])
+        write_csv(customers_dimension(stored), f"{base}/customers.csv")
+        write_csv(products_dimension(stored), f"{base}/products.csv")
+        write_csv(reviews_table(stored), f"{base}/reviews.csv")
+        shown = release(stored, withhold)
+        for split in (TRAIN, VALIDATION, TEST):
+            if split not in withhold:
+                write_csv(select_splits(shown, [split]).drop(SPLIT), f"{base}/reviews/{split}.csv")

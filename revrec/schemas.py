@@ -16,10 +16,9 @@ REVIEW_TIMESTAMP = "review_timestamp"
 RETRIEVAL_SAMPLE_WEIGHT = "retrieval_sample_weight"
 SPLIT = "split"
 
-TRAIN, VALIDATION, TEST, SINGLE = "train", "validation", "test", "single"
+TRAIN, VALIDATION, TEST = "train", "validation", "test"
 
 PRODUCT_ATTRIBUTES = [PRODUCT_TITLE, PRODUCT_BRAND, PRODUCT_DEPARTMENT]
-PRODUCT_COLUMNS = [PRODUCT_ID, *PRODUCT_ATTRIBUTES]
 REVIEW_COLUMNS = [REVIEW_ID, REVIEW_RATING, REVIEW_TEXT, REVIEW_TIMESTAMP, CUSTOMER_ID, PRODUCT_ID]
 SPLIT_COLUMNS = [*REVIEW_COLUMNS, *PRODUCT_ATTRIBUTES]
 

@@ -64,10 +64,6 @@ def select_splits(df: DataFrame, splits: Sequence[str]) -> DataFrame:
     return df.filter(F.col(SPLIT).isin(list(splits)))
 
 
-def select_except(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.drop(*columns)
-
-
 def hash_split(df: DataFrame, buckets: Mapping[str, int], keys: Sequence[str]) -> DataFrame:
     """Assign rows to named splits in proportion to their bucket counts, by a hash of the keys."""
     total = sum(buckets.values())
