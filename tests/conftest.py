@@ -9,8 +9,9 @@ from revrec.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session("tests", "8")
+    session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()
 

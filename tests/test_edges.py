@@ -1,13 +1,16 @@
 """Hand-written rows for the semantics that are easy to get wrong."""
 
+import hashlib
+import math
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from revrec.functions import columns as C
 from revrec.functions.vectors import concat_vectors, dot, l2_normalise
-from revrec.operators import histograms, joins, keyed, metrics, negatives, ordering, statistics, vocabulary
+from revrec.operators import histograms, joins, keyed, metrics, negatives, ordering, retrieval, statistics, vocabulary
 from revrec.plans import curate, ratings, recommend
 
 DAY = datetime(2025, 3, 1)
@@ -255,10 +258,83 @@ def test_statistics_of_missing_and_empty(spark):
     assert got["s", "unique"] == 2 and got["s", "avg_length"] == 0.5 and got["s", "num_missing"] == 1
 
 
-def test_long_texts_are_counted_whole(spark):
-    tail = ["x" * 5000 + "a", "x" * 5000 + "b", "x" * 5000 + "a"]
-    df = spark.createDataFrame([(t,) for t in tail], "s string")
-    assert sorted(r["count"] for r in statistics.value_counts(df).collect()) == [1, 2]
+def test_long_values_stay_themselves(spark):
+    long = {c: c * 70 + "x" * 5000 for c in "abc"}
+    values = [long["a"]] * 3 + [long["b"]] * 2 + [long["c"], None, "short"]
+    df = spark.createDataFrame([(t, i % 2) for i, t in enumerate(values)], "s string, g int")
+    top = statistics.top_values(df.select("s"), n=3).orderBy("rank").collect()
+    last = min((long["c"], "short"), key=lambda v: hashlib.sha256(v.encode()).hexdigest())
+    assert [(r["value"], r["count"]) for r in top] == [(long["a"], 3), (long["b"], 2), (last, 1)]
+    by = {(r["g"], r["rank"]): (r["value"], r["count"]) for r in statistics.top_values(df, ["g"], ["s"], 1).collect()}
+    assert by == {(0, 1): (long["a"], 2), (1, 1): by[1, 1]} and by[1, 1][1] == 1
+    schema = {r["feature"]: r["domain"] for r in statistics.infer_schema(df, domain_limit=4).collect()}
+    assert schema["s"] == sorted([*long.values(), "short"])
+    assert {r["feature"]: r["domain"] for r in statistics.infer_schema(df, domain_limit=3).collect()}["s"] is None
+
+
+def test_exact_quantiles_with_a_hot_group(spark):
+    rows = [("hot" if i % 3 else f"g{i % 5}", float(i * 37 % 101), None if i % 4 else 1.0) for i in range(600)]
+    df = spark.createDataFrame(rows, "k string, n double, m double")
+    fractions = [0.0, 0.25, 0.5, 1.0]
+    got = {(r["k"], r["feature"]): r["cuts"] for r in statistics.exact_quantiles(df, ["k"], ["n", "m"], fractions).collect()}
+    for k in {r[0] for r in rows}:
+        for i, name in ((1, "n"), (2, "m")):
+            own = sorted(r[i] for r in rows if r[0] == k and r[i] is not None)
+            if own:
+                assert got[k, name] == [own[max(1, math.ceil(f * len(own))) - 1] for f in fractions]
+
+
+def test_profile_has_everything(spark):
+    df = spark.createDataFrame([(1, "a", [1]), (3, "a", None), (None, None, [2])], "n int, s string, other array<int>")
+    profile = statistics.profile(df, bins=2, exact=True)
+    stats = {(r["feature"], r["stat"]): r["value"] for r in profile.statistics.collect()}
+    assert stats["other", "num_missing"] == 1 and stats["n", "median"] == 1 and stats["s", "unique"] == 1
+    assert [(r["kind"], r["bin"], r["count"]) for r in profile.histograms.orderBy("kind", "bin").collect()] == [
+        ("quantile", 1, 1.0), ("quantile", 2, 1.0), ("standard", 1, 1.0), ("standard", 2, 1.0)]
+    assert [(r["value"], r["count"]) for r in profile.top_values.collect()] == [("a", 2)]
+
+
+def test_empty_bins_are_there(spark):
+    df = spark.createDataFrame([(1.0, 9.0), (1.2, float("nan"))], "a double, b double")
+    got = {(r["feature"], r["bin"]): r["count"] for r in histograms.bin_counts(df, ["a", "b"], 0, 4, 4).collect()}
+    assert got == {("a", 1): 0, ("a", 2): 2, ("a", 3): 0, ("a", 4): 0, **{("b", b): 0 for b in range(1, 5)}}
+
+
+def test_slices_keep_null_apart(spark):
+    rows = [(None, "y", 1.0), ("NULL", "y", 0.0), (None, None, 1.0), ("x", None, 0.0)]
+    df = spark.createDataFrame(rows, "brand string, dept string, v double")
+    table = metrics.metrics_table(df, {"mean": F.avg("v")}, ["brand", "dept"])
+    assert {r["slice"] for r in table.collect()} == {
+        "brand IS NULL|dept=y", "brand=NULL|dept=y", "brand IS NULL|dept IS NULL", "brand=x|dept IS NULL"}
+    assert metrics.compare_metrics(table, table).filter("change = 0 OR value = 0").count() == 4
+    one = metrics.metrics_table(df, {"mean": F.avg("v")}, ["dept"])
+    assert {r["slice"]: r["value"] for r in one.collect()} == {"dept=y": 0.5, "dept IS NULL": 0.5}
+
+
+@pytest.mark.parametrize("indexed", [False, True])
+def test_bad_vectors_take_no_part(spark, indexed):
+    good = [(i, [math.cos(i), math.sin(i)]) for i in range(8)]
+    bad = [(20, None), (21, [float("nan"), 1.0]), (22, [float("inf"), 0.0]), (23, []), (24, [None, 1.0]), (25, [1.0]), (None, [1.0, 0.0])]
+    items = spark.createDataFrame(good + bad, "item_id long, embedding array<double>")
+    queries = items.withColumnRenamed("item_id", "query_id")
+    if indexed:
+        found = retrieval.pruned_top_k(queries, retrieval.build_index(items), 3)
+        assert retrieval.approx_top_k(queries, retrieval.build_index(items), 3, 1).filter("item_id > 7").count() == 0
+    else:
+        found = retrieval.top_k(queries, items, 3)
+    got = {}
+    for r in found.orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append(r["item_id"])
+    assert got == {q: sorted(range(8), key=lambda i: (-round(math.cos(q - i), 6), i))[:3] for q in range(8)}
+    empty = items.limit(0)
+    assert retrieval.top_k(queries, empty, 3).count() == 0
+    assert retrieval.pruned_top_k(queries, retrieval.build_index(empty), 3).count() == 0
+
+
+def test_scores_that_are_not_numbers_are_never_best():
+    scores = np.array([[np.nan, 1.0, 2.0, 3.0, -np.inf], [np.nan] * 5])
+    rows, cols = retrieval.best_columns(scores, 3)
+    assert (rows.tolist(), cols.tolist()) == ([0, 0, 0], [3, 2, 1])
 
 
 def test_schema_domains(spark):

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from revrec import schemas
 from revrec.plans import curate
+from revrec.operators import towers
 from revrec.sources import artifacts, shared, tables
 
 TEXTS = ['say "hi", twice', "line\nbreak", "back\\slash", "  blanks  ", "'", '""', "ünï ✓", "a,b", "\ttab", 'end"']
@@ -142,3 +143,43 @@ def test_materialised_parts_are_pruned(spark):
     scan = only._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in scan and "split" in scan.split("PartitionFilters: [")[1].split("]")[0]
     assert only.count() == 2
+
+
+def left_over(spark):
+    return set(os.listdir(shared.shared_folder(spark).removeprefix("file:")))
+
+
+def test_scope_drops_all_but_the_kept(spark):
+    before = left_over(spark)
+    with shared.scope(spark, keep=("result",)):
+        inner = shared.materialise(spark.range(5), "inner")
+        result = shared.materialise(inner.filter("id > 1"), "result")
+        part = shared.materialise(curated(spark), "part", ["split"])
+        shared.drop(part)
+    assert result.count() == 3
+    assert [name.rpartition("-")[0] for name in left_over(spark) - before] == ["result"]
+    shared.drop(result)
+    assert left_over(spark) == before
+
+
+def test_scopes_nest_and_end_after_errors(spark):
+    before = left_over(spark)
+    with pytest.raises(RuntimeError), shared.scope(spark):
+        with shared.scope(spark, keep=("up",)):
+            shared.materialise(spark.range(1), "up")
+        assert left_over(spark) != before
+        raise RuntimeError
+    assert left_over(spark) == before
+
+
+def test_dataset_and_training_leave_only_results(spark, folder):
+    before = left_over(spark)
+    curate.build_dataset(curated(spark), folder).collect()
+    curate.release_dataset(curated(spark), f"{folder}/released")
+    assert [n.rpartition("-")[0] for n in left_over(spark) - before] == ["row-counts"]
+    before = left_over(spark)
+    rows = spark.range(60).selectExpr(
+        "id AS review_id", "id % 7 AS customer_id_xf", "id % 5 AS product_id_xf", "1.0D AS retrieval_sample_weight")
+    customers, products = towers.train_towers(rows, "review_id", rank=4, epochs=3, size=8, batches_per_round=2)
+    assert customers.count() == 7 and products.count() == 5
+    assert [n.rpartition("-")[0] for n in left_over(spark) - before] == ["towers"]
