@@ -4,7 +4,7 @@ Every vector gets one long bit string per tree, from the signs of its products w
 (after the mean of all vectors is taken off). A tree is the sorted array of its strings. A query
 descends in every tree to the longest prefix that any entry shares with it, and all trees then ascend
 together, a bit at a time, until the entries below hold the wanted number of candidates. Those are
-compared by exact Euclidean distance.
+compared by exact Euclidean distance. More than k items are always among them, where there are so many.
 
 Items lie in blocks of bounded size by the digest of their id, each with a forest of its own; blocks of
 queries meet blocks of items, and k results per query leave a meeting. Where a block has fewer items
@@ -68,8 +68,9 @@ class Forest:
         b = np.column_stack([np.searchsorted(s, last[:, t], "right") for t, s in enumerate(self.sorted)])
         return a, b
 
-    def candidates(self, queries: np.ndarray, wanted: float) -> Iterator[np.ndarray]:
-        """Item places of each query: deepest level at which all trees together hold `wanted` entries."""
+    def candidates(self, queries: np.ndarray, wanted: float, least: int = 1) -> Iterator[np.ndarray]:
+        """Item places of each query: deepest level at which all trees together hold `wanted` entries
+        and one of them `least`, which are that many items."""
         strings = self.strings(queries)
         a, b = np.zeros((2, len(queries), self.trees), np.int64)
         waiting = np.arange(len(queries))
@@ -78,7 +79,8 @@ class Forest:
             if not len(waiting):
                 break
             low, high = self._span(strings[waiting], depth)
-            enough = ((high - low).sum(axis=1) >= wanted) | (depth == 0)
+            held = high - low
+            enough = (held.sum(axis=1) >= wanted) & (held.max(axis=1) >= least) | (depth == 0)
             a[waiting[enough]], b[waiting[enough]] = low[enough], high[enough]
             waiting = waiting[~enough]
         for low, high in zip(a, b):
@@ -103,8 +105,7 @@ def search(items: np.ndarray, item_ids: np.ndarray, queries: np.ndarray, query_i
     """(query id, item id, distance) of the k nearest candidates of each query in one block."""
     forest = Forest(items, mean, trees)
     out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    wanted = max(depth * len(items), k + 1)
-    for query, own, found in zip(queries, query_ids, forest.candidates(queries, wanted)):
+    for query, own, found in zip(queries, query_ids, forest.candidates(queries, depth * len(items), k + 1)):
         found = found[item_ids[found] != own]
         apart = np.sqrt(((items[found] - query) ** 2).sum(axis=1))
         best = np.lexsort((item_ids[found], apart))[:k]
