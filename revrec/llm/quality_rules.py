@@ -76,7 +76,10 @@ def base_figures(docs: DataFrame, text: str = "__r_text") -> DataFrame:
         "n_repeat_words": _covered(F.col("__r_places")),
     }
     base = F.struct(*[c.cast("bigint").alias(k) for k, c in counts.items()])
-    return out.withColumn("__r_base", base).drop("__r_words", "__r_lines", "__r_windows", "__r_places")
+    # Generated, not projected: else a filter on the figures is pushed below and its copy of the
+    # expressions works out the whole arrays again for each of their elements.
+    kept = [F.col(f"`{c}`") for c in docs.columns]
+    return out.select(*kept, F.explode(F.array(base)).alias("__r_base"))
 
 
 def _keyed(docs: DataFrame, text: str, host: str, key: str) -> DataFrame:
