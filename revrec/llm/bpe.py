@@ -21,20 +21,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revrec.llm.texts import PieceEncoder, documents, slices, whole, word_pieces
+from revrec.llm.texts import PieceEncoder, byte_symbols, documents, slices, whole, word_pieces, word_splitter
 
 ENCODED = "doc_id bigint, ids array<int>"
 DECODED = "doc_id bigint, ids array<int>, decoded string"
 
 
-def byte_symbols() -> list[str]:
-    """The printable stand-in of each byte in byte-level vocabularies: itself where it is printable
-    Latin-1, else the next free code point from 256 on."""
-    own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-    spare = iter(range(256, 512))
-    return [chr(b) if b in own else chr(next(spare)) for b in range(256)]
-
-
 class PairIndex:
     """Merges of a vocabulary, applied to many words at once."""
 
@@ -139,13 +131,10 @@ class Codec:
     """A byte-level BPE file with word ends: normal form, words, pair index; and the way back."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.index = PairIndex(spec)
-        library = Tokenizer.from_file(path)  # for its Unicode tables only
-        self.normal, self.before, self.spec = library.normalizer, library.pre_tokenizer, spec
+        self.split = word_splitter(path)  # the library's normal form and words; the merges are ours
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         cut = "|".join(re.escape(s) for s in sorted(self.special, key=len, reverse=True))
         self.specials = re.compile(f"({cut})") if cut else None
@@ -155,13 +144,11 @@ class Codec:
         self.encoder = PieceEncoder(word_pieces, self.encode_pieces)
 
     def words(self, text: str) -> list[bytes]:
-        """The words that the merges work on, as bytes."""
-        if self.normal is not None:
-            text = self.normal.normalize_str(text)
+        """The words that the merges work on, as bytes; no special string stands in `text`."""
         byte = self.byte
-        return [bytes(byte[c] for c in part) for part, _ in self.before.pre_tokenize_str(text)]
+        return [w.encode() if w.isascii() else bytes(byte[c] for c in w) for w in self.split(text)]
 
-    def encode_pieces(self, pieces: list[str]) -> list[np.ndarray]:
+    def encode_pieces(self, pieces: list[str]) -> list[bytes]:
         """Ids of each piece: its words go to one index for the whole batch, each distinct word once."""
         order: dict[bytes, int] = {}
         plans: list[list[int]] = []  # per piece: the number of a word, or -1 - id for a special string
@@ -174,14 +161,14 @@ class Codec:
                     plan += [order.setdefault(w, len(order)) for w in self.words(part)]
             plans.append(plan)
         sizes, ids = self.index.encode(list(order))
-        ids, ends = ids.astype(np.uint32), np.cumsum(sizes)
-        starts = (ends - sizes).tolist()
+        raw, ends = ids.astype("<u4").tobytes(), 4 * np.cumsum(sizes)
+        starts = (ends - 4 * sizes).tolist()
         ends = ends.tolist()
 
-        def of(k: int) -> np.ndarray:
-            return ids[starts[k]:ends[k]] if k >= 0 else np.array([-1 - k], np.uint32)
+        def of(k: int) -> bytes:
+            return raw[starts[k]:ends[k]] if k >= 0 else (-1 - k).to_bytes(4, "little")
 
-        return [of(p[0]).copy() if len(p) == 1 else np.concatenate([np.empty(0, np.uint32), *map(of, p)]) for p in plans]
+        return [of(p[0]) if len(p) == 1 else b"".join(map(of, p)) for p in plans]
 
     def decode(self, ids: list[int]) -> str:
         """Tokens with one space between them: files without a decoder of their own are joined like this."""
@@ -227,6 +214,26 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, DECODED)
 
 
+def round_trip(docs: DataFrame, path: str) -> DataFrame:
+    """(doc_id, ids, decoded) of every whole text, both ways in one task: half the workers and transfers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = codec(path)
+        for batch in batches:
+            for part in slices(batch):
+                offsets, ids = own.encoder.ids(whole(part.column("text")))
+                for at in range(0, len(part), 256):
+                    ends = offsets[at:at + 257]
+                    few = ids[ends[0]:ends[-1]]
+                    listed, cuts = few.tolist(), (ends - ends[0]).tolist()
+                    texts = [own.decode(listed[a:b]) for a, b in zip(cuts, cuts[1:])]
+                    lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(few.astype(np.int32)))
+                    columns = [part.column("doc_id").slice(at, 256), lists, pa.array(texts, pa.string())]
+                    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "decoded"])
+
+    return _slim(docs).mapInArrow(run, DECODED)
+
+
 def _slim(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
@@ -236,7 +243,7 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("word_bpe_49k.json")
-    done = decode(encode(documents(spark, sf_dir), path), path)
+    done = round_trip(documents(spark, sf_dir), path)
     return done.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -18,8 +19,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that a task holds as pieces at once; a longer text is a batch of its own.
 BATCH_BYTES = 8 << 20
-#: Distinct pieces whose ids a task remembers between batches, of those that a batch had more than once.
-CACHE_PIECES = 200_000
+#: Distinct pieces whose ids a worker remembers between batches: of those it met again, and of the others.
+CACHE_PIECES = 300_000
 
 # Code points that any of the tokenizers or str.isspace() counts as white space.
 _SPACES = r"\t-\r \x1c-\x1f\x85\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
@@ -73,14 +74,17 @@ def spaced_pieces(texts: pa.Array) -> pa.Array:
 
 
 class PieceEncoder:
-    """Encodes texts piece by piece; `encode` maps a list of new pieces to their id arrays.
+    """Encodes texts piece by piece; `encode` maps a list of new pieces to the bytes of their tokens.
 
-    The ids of pieces that a batch had more than once are kept, up to a bound.
+    A token is one number of `kind`, or `width` of them. Tokens are kept between batches, up to a bound
+    each for pieces that were met again and for those met once, which are dropped the sooner.
     """
 
-    def __init__(self, split: Callable[[pa.Array], pa.Array], encode: Callable[[list[str]], list[np.ndarray]],
-                 none: np.ndarray = np.empty(0, np.uint32)):
-        self.split, self.encode, self.none, self.known = split, encode, none, {}
+    def __init__(self, split: Callable[[pa.Array], pa.Array], encode: Callable[[list[str]], list[bytes]],
+                 kind: str = "<u4", width: int = 1):
+        self.split, self.encode, self.kind, self.width = split, encode, kind, width
+        self.known: dict[str, bytes] = {}
+        self.recent: dict[str, bytes] = {}
 
     def pieces(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
         """Offsets of each text into the pieces, the index of each piece, and the distinct pieces."""
@@ -89,15 +93,17 @@ class PieceEncoder:
         lengths = np.asarray(pc.list_value_length(lists), dtype=np.int64)
         return np.concatenate([[0], np.cumsum(lengths)]), np.asarray(flat.indices), flat.dictionary.to_pylist()
 
-    def parts(self, distinct: list[str], index: np.ndarray) -> list[np.ndarray]:
-        """Ids of every distinct piece."""
-        new = [p for p in distinct if p not in self.known]
+    def parts(self, distinct: list[str], index: np.ndarray) -> list[bytes]:
+        """Tokens of every distinct piece."""
+        known, recent = self.known, self.recent
+        new = [p for p in distinct if p not in known and p not in recent]
         made = dict(zip(new, self.encode(new)))
-        out = [self.known[p] if p in self.known else made[p] for p in distinct]
-        if len(self.known) > CACHE_PIECES:
-            self.known = {}
+        met = {p: recent.pop(p) for p in distinct if p in recent}
+        out = [known[p] if p in known else met[p] if p in met else made[p] for p in distinct]
         again = np.bincount(index, minlength=len(distinct)) > 1
-        self.known.update((p, made[p]) for p, more in zip(distinct, again.tolist()) if more and p in made)
+        met.update((p, made.pop(p)) for p, more in zip(distinct, again.tolist()) if more and p in made)
+        self.known = met if len(known) + len(met) > CACHE_PIECES else known | met
+        self.recent = made if len(recent) + len(made) > CACHE_PIECES else recent | made
         return out
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -106,23 +112,84 @@ class PieceEncoder:
         ends, ids = self.gather(self.parts(distinct, index), index)
         return ends[starts], ids
 
-    def gather(self, parts: list[np.ndarray], index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def gather(self, parts: list[bytes], index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Offsets of each piece into the tokens, and all tokens, from those of the distinct pieces."""
-        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-        pool = np.concatenate([*parts, self.none])
+        pool = np.frombuffer(b"".join(parts), self.kind)
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // (pool.itemsize * self.width)
+        if self.width > 1:
+            pool = pool.reshape(-1, self.width)
         first = np.cumsum(sizes) - sizes
         each = sizes[index]
         ends = np.concatenate([[0], np.cumsum(each)])
-        # Place of every id in the pool: the start of its piece plus its place in the piece.
+        # Place of every token in the pool: the start of its piece plus its place in the piece.
         places = np.repeat(first[index] - ends[:-1], each) + np.arange(ends[-1])
         return ends, pool[places]
 
 
 _encoders: dict[tuple, PieceEncoder] = {}
 
+# Latin letters that normal forms leave alone and that have one lower-case letter each.
+_LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+_SHORT = "'s|'t|'re|'ve|'m|'ll|'d"
+_COMMON = re.compile(f"[ \n]?[!-~{_LATIN}]+")
+_WORDS = re.compile(f"{_SHORT}|[{_LATIN}]+|[0-9]|[^\\s0-9{_LATIN}]+")
+_SPACED = re.compile(f"{_SHORT}| ?[{_LATIN}]+| ?[0-9]+| ?[^\\s0-9{_LATIN}]+|\\s+")
+
+
+def byte_symbols() -> list[str]:
+    """The printable stand-in of each byte in byte-level vocabularies: itself where it is printable
+    Latin-1, else the next free code point from 256 on."""
+    own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    spare = iter(range(256, 512))
+    return [chr(b) if b in own else chr(next(spare)) for b in range(256)]
+
+
+_STAND = dict(enumerate(byte_symbols()))
+
+
+def word_splitter(path: str) -> Callable[[str], list[str] | None]:
+    """From a piece to the words that the file's merges work on, as symbols of bytes.
+
+    Pieces of ASCII and common Latin letters are split by the file's pattern as it reads for them,
+    others by the library's own normal form and splitting. None where a special string may stand in
+    the piece: the whole library must take that.
+    """
+    from tokenizers import Tokenizer
+
+    tokenizer, split = Tokenizer.from_file(path), _splitter(path)
+    normal, before = tokenizer.normalizer, tokenizer.pre_tokenizer
+    special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+    mark = os.path.commonprefix(special) if special else None
+    pattern = {word_pieces: _WORDS, spaced_pieces: _SPACED}.get(split)
+    lower, spaced = split is word_pieces, split is spaced_pieces
+    space = _STAND[0x20]
+
+    def words(piece: str) -> list[str] | None:
+        # The most frequent kind first: letters alone, after a space where that is kept.
+        if spaced and piece.startswith(" "):
+            body = piece[1:]
+            if body.isascii() and body.isalpha():
+                return [space + body]
+        elif pattern and piece.isascii() and piece.isalpha():
+            return [piece.lower() if lower else piece]
+        if mark is not None and mark in piece:
+            return None
+        if pattern and _COMMON.fullmatch(piece):
+            found = pattern.findall(piece.lower() if lower else piece)
+            if lower and piece.isascii():
+                return found
+            return [w.encode().decode("latin-1").translate(_STAND) for w in found]
+        return [w for w, _ in before.pre_tokenize_str(normal.normalize_str(piece) if normal else piece)]
+
+    return words
+
 
 def library_encoder(path: str) -> PieceEncoder:
-    """The tokenizers library behind PieceEncoder, one per worker and file; special strings as the library takes them."""
+    """The tokenizers library behind PieceEncoder, one per worker and file; special strings as the library takes them.
+
+    Distinct pieces are short, so most of a full call would go to its frame: the library's steps
+    (normal form, splitting, merges) are called one by one.
+    """
     key = ("library", path)
     if key not in _encoders:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task's core only
@@ -131,12 +198,22 @@ def library_encoder(path: str) -> PieceEncoder:
         tokenizer = Tokenizer.from_file(path)
         tokenizer.no_truncation()
         tokenizer.no_padding()
+        words, merge = word_splitter(path), tokenizer.model.tokenize
 
         def encode(pieces: list[str]) -> list[np.ndarray]:
-            out = []
-            for at in range(0, len(pieces), 10_000):
-                coded = tokenizer.encode_batch_fast(pieces[at:at + 10_000], add_special_tokens=False)
-                out += [np.array(e.ids, np.uint32) for e in coded]
+            out, merged = [], {}
+            for piece in pieces:
+                parts = words(piece)
+                if parts is None:
+                    ids = tokenizer.encode(piece, add_special_tokens=False).ids
+                else:
+                    ids = []
+                    for w in parts:
+                        own = merged.get(w)
+                        if own is None:
+                            own = merged[w] = [t.id for t in merge(w)]
+                        ids += own
+                out.append(array("I", ids).tobytes())
             return out
 
         _encoders[key] = PieceEncoder(_splitter(path), encode)
@@ -161,13 +238,13 @@ def span_encoder(path: str) -> PieceEncoder:
             out = []
             for at in range(0, len(pieces), 10_000):
                 for e in tokenizer.encode_batch(pieces[at:at + 10_000], add_special_tokens=False):
-                    spans = np.array(e.offsets, np.int64).reshape(-1, 2)
-                    out.append(np.column_stack([np.array(e.ids, np.int64), spans]))
+                    spans = np.array(e.offsets, "<u4").reshape(-1, 2)
+                    out.append(np.column_stack([np.array(e.ids, "<u4"), spans]).tobytes())
             return out
 
         split = _splitter(path)
         cover = split if split is spaced_pieces else single_pieces
-        _encoders[key] = PieceEncoder(cover, encode, np.empty((0, 3), np.int64))
+        _encoders[key] = PieceEncoder(cover, encode, width=3)
     return _encoders[key]
 
 

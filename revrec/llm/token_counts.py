@@ -68,11 +68,11 @@ def section_counts(docs: DataFrame, path: str, sections: str | None = None, rule
         sizes = np.fromiter(map(len, distinct), np.int64, len(distinct))[index]
         at = np.concatenate([[0], np.cumsum(sizes)])
         ends, tokens = coder.gather(coder.parts(distinct, index), index)
-        tokens[:, 1:] += np.repeat(at[:-1], np.diff(ends))[:, None]
+        tokens = tokens[:, 1:] + np.repeat(at[:-1], np.diff(ends))[:, None]
         given = part.column("sections").to_pylist() if sections else [None] * len(texts)
         out = {k: [] for k in ("doc_id", "section", "name", "start", "end", "n_tokens", "n_crossing")}
         for i, (key, text) in enumerate(zip(part.column("doc_id").to_pylist(), texts.to_pylist())):
-            own = tokens[ends[starts[i]]:ends[starts[i + 1]], 1:] - at[starts[i]]
+            own = tokens[ends[starts[i]]:ends[starts[i + 1]]] - at[starts[i]]
             if given[i]:
                 low, high = (np.array([s[k] for s in given[i]], np.int64) for k in ("start", "end"))
                 names = [s["name"] for s in given[i]]

@@ -25,14 +25,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revrec.llm.texts import documents, library_encoder, slices, whole
+from revrec.llm.texts import BATCH_BYTES, documents, library_encoder, slices, whole
 from revrec.sources.shared import materialise, new_path
 
 BLOCK, LANES = 256, 64
 #: Share of a block's differences that its width must hold.
 PERCENTILE = 0.9
 #: Ids after which a task begins another file.
-FILE_IDS = 4 << 20
+FILE_IDS = 2 << 20
 MAGIC = b"PFORIDS1"
 _HEAD = struct.Struct("<8sQQQQ")  # magic; numbers of documents, ids, words, exceptions
 
@@ -169,7 +169,7 @@ def write(docs: DataFrame, path: str, end_id: int, folder: str, file_ids: int =
 
         waiting = 0
         for batch in batches:
-            for part in slices(batch, most=file_ids):
+            for part in slices(batch, most=min(BATCH_BYTES, 4 * file_ids)):
                 offsets, ids = coder.ids(whole(part.column("text")))
                 sizes = np.diff(offsets) + 1
                 ids = np.insert(ids, offsets[1:], end_id)
