@@ -174,15 +174,21 @@ class CellIndex:
 
 
 def fit_cells(items: DataFrame, cells: int, seed: int = 0) -> list[list[float]]:
-    """Centres of a k-means partition of the item vectors: `cells` x dimension numbers."""
+    """Centres of a k-means partition of the item vectors: `cells` x dimension numbers; of one, the mean."""
+    if cells == 1:
+        axes = items.select(F.posexplode(F.col("embedding").cast("array<double>")).alias("i", "x"))
+        return [[r["x"] for r in axes.groupBy("i").agg(F.avg("x").alias("x")).orderBy("i").collect()]]
     points = items.select(array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
     model = KMeans(k=cells, seed=seed, maxIter=10).fit(points)
     return [c.tolist() for c in model.clusterCenters()]
 
 
 def cells_for(items: int) -> int:
-    """Cells for so many items: their root, so that centres and a cell's items stay alike; bounded."""
-    return min(MAX_CELLS, max(1, round(items**0.5)))
+    """Cells for so many items: their root, so that centres and a cell's items stay alike; bounded.
+
+    Items of one block are multiplied at once anyway: one cell.
+    """
+    return 1 if items <= ITEM_BLOCK else min(MAX_CELLS, round(items**0.5))
 
 
 def build_index(items: DataFrame, cells: int | None = None, item_id: str = "item_id", seed: int = 0) -> CellIndex:
@@ -298,7 +304,7 @@ def pruned_top_k(queries: DataFrame, index: CellIndex, k: int = 10, probe: int =
     reaches the k-th score are searched. Where more than `most_open` of all pairs stay open the
     bound does not pay, and the items are searched whole; the result is the same.
     """
-    if not index.centres:
+    if len(index.centres) < 2:
         return top_k(queries, index.items, k, query_id)
     first = materialise(approx_top_k(queries, index, k, probe, query_id, query_block, item_block), "first")
     beat = materialise(

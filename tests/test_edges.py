@@ -326,7 +326,10 @@ def test_bad_vectors_take_no_part(spark, indexed):
     for r in found.orderBy("query_id", "rank").collect():
         got.setdefault(r["query_id"], []).append(r["item_id"])
     assert got == {q: sorted(range(8), key=lambda i: (-round(math.cos(q - i), 6), i))[:3] for q in range(8)}
-    empty = items.limit(0)
+    empty, one = items.limit(0), items.filter("item_id = 5")
+    assert retrieval.pruned_top_k(queries, retrieval.build_index(one), 3).count() == 8
+    assert retrieval.approx_top_k(queries, retrieval.build_index(one), 3).count() == 8
+    assert retrieval.pruned_top_k(queries, retrieval.build_index(items, 4), 3).exceptAll(found).count() == 0
     assert retrieval.top_k(queries, empty, 3).count() == 0
     assert retrieval.pruned_top_k(queries, retrieval.build_index(empty), 3).count() == 0
 
