@@ -35,8 +35,8 @@ from revrec.llm import arrays
 from revrec.llm.texts import documents, fold, slices, whole
 from revrec.sources.shared import materialise, new_path
 
-#: Tokens for each bucket of pairs, on average.
-BUCKET_TOKENS = 4 << 20
+#: Tokens for each bucket of pairs, on average, and buckets for each task that merges them.
+BUCKET_TOKENS, TASK_BUCKETS = 1 << 20, 4
 SMOOTH = 0.5
 _END, _BEGIN = b"", b" "  # no word can be either
 
@@ -258,7 +258,7 @@ def count_pairs(docs: DataFrame, words: Vocabulary, total: int, texts: int, fold
             yield from merged(bucket, keys, counts)
 
     runs = _hashes_of(docs).select("text").mapInArrow(emit, "bucket bigint, keys binary, counts binary")
-    dealt = runs.repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    dealt = runs.repartition(max(1, buckets // TASK_BUCKETS), "bucket").sortWithinPartitions("bucket")
     kinds = "id bigint, n1 bigint, n2 bigint, n3 bigint, ended bigint, spectrum bigint, part bigint, low bigint, rows bigint, path string"
     out = materialise(dealt.mapInArrow(merge, kinds), "pairs")
     files = sorted(tuple(r) for r in out.filter("path IS NOT NULL").select("part", "low", "rows", "path").collect())
