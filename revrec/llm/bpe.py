@@ -134,7 +134,7 @@ class Codec:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.index = PairIndex(spec)
-        self.split = word_splitter(path)  # the library's normal form and words; the merges are ours
+        self.split = word_splitter(path, plain=True)  # the library's normal form and words; the merges are ours
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         cut = "|".join(re.escape(s) for s in sorted(self.special, key=len, reverse=True))
         self.specials = re.compile(f"({cut})") if cut else None

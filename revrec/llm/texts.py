@@ -147,19 +147,20 @@ def byte_symbols() -> list[str]:
 _STAND = dict(enumerate(byte_symbols()))
 
 
-def word_splitter(path: str) -> Callable[[str], list[str] | None]:
+def word_splitter(path: str, plain: bool = False) -> Callable[[str], list[str] | None]:
     """From a piece to the words that the file's merges work on, as symbols of bytes.
 
     Pieces of ASCII and common Latin letters are split by the file's pattern as it reads for them,
     others by the library's own normal form and splitting. None where a special string may stand in
-    the piece: the whole library must take that.
+    the piece: the whole library must take that. With `plain` the caller has taken special strings out
+    and no piece gives None.
     """
     from tokenizers import Tokenizer
 
     tokenizer, split = Tokenizer.from_file(path), _splitter(path)
     normal, before = tokenizer.normalizer, tokenizer.pre_tokenizer
     special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-    mark = os.path.commonprefix(special) if special else None
+    mark = os.path.commonprefix(special) if special and not plain else None
     pattern = {word_pieces: _WORDS, spaced_pieces: _SPACED}.get(split)
     lower, spaced = split is word_pieces, split is spaced_pieces
     space = _STAND[0x20]

@@ -57,6 +57,14 @@ def test_pair_index_encodes_and_decodes_as_the_library(word, many):
         assert codec.decode(ids[a:b].tolist()) == word.decode(ids_of(word, t), skip_special_tokens=False)
 
 
+def test_marks_that_only_begin_like_a_special_string(spark, word):
+    texts_ = ["a <| b", "<|im_start|>x", "<|user|>", "x<|endoftext|><|y é<|", "<|<|endoftext|>|>", "<|EndOfText|> 日<|本"]
+    rows = list(enumerate(texts_))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {k: (ids_of(word, t), word.decode(ids_of(word, t), skip_special_tokens=False)) for k, t in rows}
+    assert {r["doc_id"]: (r["ids"], r["decoded"]) for r in bpe.round_trip(docs, WORD).collect()} == want
+
+
 def test_an_earlier_rank_that_appears_is_applied_first():
     # (ab, c) makes abc late, and (abc, d) is an earlier merge: it must come before the second (ab, c).
     symbols = bpe.byte_symbols()
