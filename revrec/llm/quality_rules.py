@@ -7,7 +7,8 @@ documents are those of different text: exact copies and repeated rows count once
 
 Rules: NULL text has no words and fails the base rule; NULL host is one host with the empty name; only
 rows equal in doc_id, text and host share a verdict; a host's limit never falls below `min_documents`;
-an empty table gives no rows.
+an empty table gives no rows. With `max_root` the limit is at most so many times the square root of the
+host's documents, so that it grows far slower than the host.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ SPACES, SPACE_RUN, SYMBOLS = " \t\n\x0b\x0c\r", "[\\x20\\x09-\\x0D]+", "[#*$%&|<
 MIN_WORDS, MAX_REPEAT = 50, 50
 #: A line may stand in so many distinct documents of a host, or in this share of them if that is more.
 MIN_DOCUMENTS, MAX_SHARE = 10, 0.1
+#: In the pipeline no more than this multiple of their square root; it meets the tenth at 100 documents.
+MAX_ROOT = 1.0
 #: Per cent of a document's words that may be removed.
 MAX_REMOVED = 50
 
@@ -90,7 +93,7 @@ def _keyed(docs: DataFrame, text: str, host: str, key: str) -> DataFrame:
     }).withColumn("__r_hash", F.xxhash64("__r_text"))
 
 
-def frequent_lines(docs: DataFrame, min_documents: int, max_share: float) -> tuple[DataFrame, DataFrame]:
+def frequent_lines(docs: DataFrame, min_documents: int, max_share: float, max_root: float | None = None) -> tuple[DataFrame, DataFrame]:
     """All lines with words of keyed documents, and the (host, line) pairs above the limits."""
     lines = (
         docs.select("__r_key", "__r_hash", "__r_host", F.posexplode(F.split("__r_text", "\n")).alias("__r_at", "__r_line"))
@@ -102,15 +105,18 @@ def frequent_lines(docs: DataFrame, min_documents: int, max_share: float) -> tup
         .groupBy("__r_host", "__r_lh").agg(F.count("*").alias("__r_docs")).filter(F.col("__r_docs") > min_documents)
     )
     hosts = docs.select("__r_host", "__r_hash").distinct().groupBy("__r_host").agg(F.count("*").alias("__r_all"))
-    return lines, counts.join(hosts, "__r_host").filter(F.col("__r_docs") > max_share * F.col("__r_all")).select("__r_host", "__r_lh")
+    limit = max_share * F.col("__r_all")
+    if max_root is not None:
+        limit = F.least(limit, max_root * F.sqrt("__r_all"))
+    return lines, counts.join(hosts, "__r_host").filter(F.col("__r_docs") > limit).select("__r_host", "__r_lh")
 
 
 def judge(docs: DataFrame, text: str = "text", host: str = "source", key: str = "doc_id", min_documents: int = MIN_DOCUMENTS,
-          max_share: float = MAX_SHARE, max_removed: int = MAX_REMOVED) -> DataFrame:
+          max_share: float = MAX_SHARE, max_removed: int = MAX_REMOVED, max_root: float | None = None) -> DataFrame:
     """Rows of `docs` with a struct `_rules`: the figures, n_removed words, the places of removed lines
     (`removed`, ascending), base_failed, depleted and kept."""
     keyed = _keyed(docs, text, host, key)
-    lines, frequent = frequent_lines(keyed.select("__r_key", "__r_hash", "__r_host", "__r_text"), min_documents, max_share)
+    lines, frequent = frequent_lines(keyed.select("__r_key", "__r_hash", "__r_host", "__r_text"), min_documents, max_share, max_root)
     removed = (
         lines.join(frequent, ["__r_host", "__r_lh"])
         .groupBy("__r_key", "__r_hash", "__r_host").agg(F.sort_array(F.collect_set(F.struct("__r_at", "__r_n"))).alias("__r_gone"))

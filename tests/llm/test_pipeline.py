@@ -37,6 +37,13 @@ def test_rules_stage_takes_effect(steps):
     assert all(r["n_chars"] == len(r["text"]) for r in steps[1].collect())
 
 
+def test_rules_stage_finds_a_line_on_a_large_host(spark):
+    rows = [(i, ("Common  Line here\n" if i < 40 else "") + " ".join(f"w{i}x{k}" for k in range(60)), "h") for i in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = {r["doc_id"]: r["text"] for r in corpus_pipeline.quality_rules_stage(spark, docs, SF).collect()}
+    assert len(kept) == 500 and not any("ommon" in t for t in kept.values())
+
+
 def test_classifier_stage_takes_effect(spark, steps):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     scores = quality_model.classify(steps[1], labels).collect()
