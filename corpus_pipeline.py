@@ -15,7 +15,7 @@ from revrec.sources.shared import materialise
 
 def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go; lines above the limits leave the others, and n_chars follows the text."""
-    kept = quality_rules.clean(docs, max_root=quality_rules.MAX_ROOT)
+    kept = quality_rules.clean(docs, max_root=quality_rules.MAX_ROOT, by_context=True)
     if "n_chars" not in docs.columns:
         return kept
     length = F.length("text").cast(docs.schema["n_chars"].dataType)

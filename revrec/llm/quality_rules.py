@@ -8,7 +8,8 @@ documents are those of different text: exact copies and repeated rows count once
 Rules: NULL text has no words and fails the base rule; NULL host is one host with the empty name; only
 rows equal in doc_id, text and host share a verdict; a host's limit never falls below `min_documents`;
 an empty table gives no rows. With `max_root` the limit is at most so many times the square root of the
-host's documents, so that it grows far slower than the host.
+host's documents, so that it grows far slower than the host. With `by_context` near copies of one document count once
+for the lines they share (see `_in_contexts`).
 """
 
 from __future__ import annotations
@@ -93,7 +94,8 @@ def _keyed(docs: DataFrame, text: str, host: str, key: str) -> DataFrame:
     }).withColumn("__r_hash", F.xxhash64("__r_text"))
 
 
-def frequent_lines(docs: DataFrame, min_documents: int, max_share: float, max_root: float | None = None) -> tuple[DataFrame, DataFrame]:
+def frequent_lines(docs: DataFrame, min_documents: int, max_share: float, max_root: float | None = None,
+                   by_context: bool = False, max_removed: int = MAX_REMOVED) -> tuple[DataFrame, DataFrame]:
     """All lines with words of keyed documents, and the (host, line) pairs above the limits."""
     lines = (
         docs.select("__r_key", "__r_hash", "__r_host", F.posexplode(F.split("__r_text", "\n")).alias("__r_at", "__r_line"))
@@ -108,15 +110,41 @@ def frequent_lines(docs: DataFrame, min_documents: int, max_share: float, max_ro
     limit = max_share * F.col("__r_all")
     if max_root is not None:
         limit = F.least(limit, max_root * F.sqrt("__r_all"))
-    return lines, counts.join(hosts, "__r_host").filter(F.col("__r_docs") > limit).select("__r_host", "__r_lh")
+    above = counts.join(hosts, "__r_host").filter(F.col("__r_docs") > limit).select("__r_host", "__r_lh", limit.alias("__r_limit"))
+    if by_context:
+        above = _in_contexts(docs, lines, above, min_documents, max_removed)
+    return lines, above.select("__r_host", "__r_lh")
+
+
+def _in_contexts(docs: DataFrame, lines: DataFrame, above: DataFrame, min_documents: int, max_removed: int) -> DataFrame:
+    """Those of the lines above the limits that are above them in distinct contexts.
+
+    A document that these lines would not deplete is a context of its own. The others, which are copies of
+    each other or of a template, go by the least digest of their lines above the limits: members of a group
+    that differ in c of the shared lines have c + 1 contexts at most, however many they are.
+    """
+    places = lines.join(above.select("__r_host", "__r_lh"), ["__r_host", "__r_lh"]).select("__r_host", "__r_hash", "__r_lh", "__r_at", "__r_n").distinct()
+    lost = places.groupBy("__r_host", "__r_hash").agg(F.sum("__r_n").alias("__r_lost"), F.min("__r_lh").alias("__r_least"))
+    sizes = docs.select("__r_host", "__r_hash", F.size(words_of(F.col("__r_text"))).alias("__r_words")).distinct()
+    depleted = (100 * F.col("__r_lost") > max_removed * F.col("__r_words"))
+    contexts = lost.join(sizes, ["__r_host", "__r_hash"]).select(
+        "__r_host", "__r_hash", F.when(depleted, F.col("__r_least")).otherwise(F.col("__r_hash")).alias("__r_context"))
+    counts = (
+        places.select("__r_host", "__r_hash", "__r_lh").distinct().join(contexts, ["__r_host", "__r_hash"])
+        .select("__r_host", "__r_lh", "__r_context").distinct()
+        .groupBy("__r_host", "__r_lh").agg(F.count("*").alias("__r_contexts"))
+    )
+    wide = (F.col("__r_contexts") > min_documents) & (F.col("__r_contexts") > F.col("__r_limit"))
+    return counts.join(above, ["__r_host", "__r_lh"]).filter(wide)
 
 
 def judge(docs: DataFrame, text: str = "text", host: str = "source", key: str = "doc_id", min_documents: int = MIN_DOCUMENTS,
-          max_share: float = MAX_SHARE, max_removed: int = MAX_REMOVED, max_root: float | None = None) -> DataFrame:
+          max_share: float = MAX_SHARE, max_removed: int = MAX_REMOVED, max_root: float | None = None,
+          by_context: bool = False) -> DataFrame:
     """Rows of `docs` with a struct `_rules`: the figures, n_removed words, the places of removed lines
     (`removed`, ascending), base_failed, depleted and kept."""
     keyed = _keyed(docs, text, host, key)
-    lines, frequent = frequent_lines(keyed.select("__r_key", "__r_hash", "__r_host", "__r_text"), min_documents, max_share, max_root)
+    lines, frequent = frequent_lines(keyed.select("__r_key", "__r_hash", "__r_host", "__r_text"), min_documents, max_share, max_root, by_context, max_removed)
     removed = (
         lines.join(frequent, ["__r_host", "__r_lh"])
         .groupBy("__r_key", "__r_hash", "__r_host").agg(F.sort_array(F.collect_set(F.struct("__r_at", "__r_n"))).alias("__r_gone"))

@@ -44,6 +44,32 @@ def test_rules_stage_finds_a_line_on_a_large_host(spark):
     assert len(kept) == 500 and not any("ommon" in t for t in kept.values())
 
 
+def test_one_of_a_group_of_near_copies_survives(spark):
+    def near(i, changed):
+        lines = [" ".join(f"s{n}w{k}" for k in range(20)) for n in range(8)]
+        lines[changed] = f"on day {i} " + " ".join(f"s{changed}w{k}" for k in range(17))
+        return "\n".join(lines)
+
+    def other(i):
+        return "Read more here\n" + "\n".join(" ".join(f"o{i}n{n}w{k}" for k in range(20)) for n in range(6))
+
+    rows = [(i, near(i, i % 3), "h") for i in range(60)] + [(100 + i, other(i), "h") for i in range(60)]
+    rows += [(200, "Read more here\nRead more here\n" + " ".join(f"z{k}" for k in range(4)), "h")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = {r["doc_id"]: r["text"] for r in corpus_pipeline.quality_rules_stage(spark, docs, SF).collect()}
+    assert set(kept) == {*range(60), *range(100, 160)}
+    assert kept[0] == near(0, 0) and not any("Read more" in t for t in kept.values())
+    after = {r["doc_id"] for r in corpus_pipeline.simhash_stage(spark, docs.filter("doc_id < 60"), SF).collect()}
+    assert 1 <= len(after) < 60
+
+
+def test_pages_of_a_template_that_others_hold_go(spark):
+    shared = " ".join(f"s{k}" for k in range(60))
+    rows = [(i, f"{shared}\n" + " ".join(f"d{i}w{k}" for k in range(30 if i < 30 else 90)), "h") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert {r["doc_id"] for r in corpus_pipeline.quality_rules_stage(spark, docs, SF).collect()} == set(range(30, 60))
+
+
 def test_classifier_stage_takes_effect(spark, steps):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     scores = quality_model.classify(steps[1], labels).collect()
