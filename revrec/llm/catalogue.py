@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from revrec.llm import (
-    bpe, collocations, language_model, licences, neighbours, packing, quality_model, quality_rules, simhash, token_counts, token_files,
+    bpe, collocations, decontamination, language_model, licences, neighbours, packing, quality_model, quality_rules, simhash, token_counts, token_files,
 )
 
 QUERIES = {
@@ -17,11 +17,13 @@ QUERIES = {
     "op8_simhash": simhash.op8_simhash,
     "op9_token_files": token_files.op9_token_files,
     "op10_language_model": language_model.op10_language_model,
+    "op12_decontamination": decontamination.op12_decontamination,
     "op13_collocations": collocations.op13_collocations,
 }
 
 # The others learn, tokenise, walk an automaton or follow links without end; tests/llm holds them to plain versions.
 ORACLES = {
     "op1_quality_rules": quality_rules.OP1_SQL,
+    "op12_decontamination": decontamination.OP12_SQL,
     "op13_collocations": collocations.OP13_SQL,
 }

@@ -10,6 +10,7 @@ import os
 import re
 from array import array
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +49,18 @@ def slices(batch: pa.RecordBatch, column: str = "text", most: int = BATCH_BYTES)
         at = stop
 
 
+@contextmanager
+def small_batches(spark: SparkSession, most: int = 4 << 20) -> Iterator[None]:
+    """Jobs that run inside hand their Python workers batches of about `most` bytes, in place of the session's 64 MB."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def whole(texts: pa.Array) -> pa.Array:
     """Texts as large strings, NULL as empty: offsets of a batch may pass 2 GB."""
     return pc.fill_null(texts.cast(pa.large_string()), "")
