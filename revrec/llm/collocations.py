@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revrec.llm.language_model import Vocabulary, write_vocabulary
-from revrec.llm.texts import documents, slices
+from revrec.llm.texts import documents, slices, small_batches
 from revrec.operators.ordering import top_n
 from revrec.sources.shared import materialise, new_path
 
@@ -36,6 +36,8 @@ MIN_COUNT = 100
 #: A phrase goes where a longer one has this percentage of its occurrences.
 WITHIN = 100
 TOP = 2000
+#: Bytes of text in a block; its arrays take some twenty times as many.
+BLOCK_BYTES = 2 << 20
 NO_LANG = "und"
 #: Runs of these lengths are counted together, each where the named shorter runs inside reached the limit.
 ROUNDS = ((1, 2), (3,), (4, 5))
@@ -82,7 +84,7 @@ class Block:
         names = sorted(set(self.langs))
         at = {name: i for i, name in enumerate(names)}
         self.names = names
-        self.lang = np.array([at[x] for x in self.langs], np.int64)[self.owners] if len(self.langs) else np.empty(0, np.int64)
+        self.lang = np.array([at[x] for x in self.langs], np.int32)[self.owners] if len(self.langs) else np.empty(0, np.int32)
         seeds = np.array([xxhash.xxh64_intdigest(n.encode(), 1) for n in names], np.uint64)
         self.seed = seeds[self.lang] if len(names) else np.empty(0, np.uint64)
         hashes = np.array([xxhash.xxh64_intdigest(w) for w in self.words.to_pylist()], np.uint64)
@@ -107,12 +109,13 @@ def block(texts: Sequence[bytes | None], langs: Sequence[str | None]) -> Block:
     marks = {w: i for i, w in enumerate(words.to_pylist()) if w in (b"", _BREAK, _NEXT)}
     breaks, nexts = codes == marks.get(_BREAK, -1), codes == marks.get(_NEXT, -1)
     real = ~(breaks | nexts) & (codes != marks.get(b"", -1))
-    return Block(codes[real], np.cumsum(breaks | nexts)[real], np.cumsum(nexts)[real], words, [x or NO_LANG for x in langs])
+    pieces, owners = (np.cumsum(x, dtype=np.int32)[real] for x in (breaks | nexts, nexts))
+    return Block(codes[real], pieces, owners, words, [NO_LANG if x is None else x for x in langs])
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, Block]]:
     for batch in batches:
-        for part in slices(batch):
+        for part in slices(batch, most=BLOCK_BYTES):
             yield part, block(part.column("text").cast(pa.large_binary()).to_pylist(), part.column("lang").to_pylist())
 
 
@@ -206,6 +209,12 @@ def _texts(docs: DataFrame, known: list[Vocabulary], longest: int) -> DataFrame:
 def frequent_phrases(docs: DataFrame, longest: int = LONGEST, min_count: int = MIN_COUNT) -> tuple[DataFrame, DataFrame]:
     """(lang, words, phrase, count, doc_id, at) of every run of 1 to `longest` words with `min_count` occurrences,
     with the pointer to one of them (its first word's place in that document), and (lang, n) with all words."""
+    spark = docs.sparkSession
+    with small_batches(spark):
+        return _frequent(docs, longest, min_count)
+
+
+def _frequent(docs: DataFrame, longest: int, min_count: int) -> tuple[DataFrame, DataFrame]:
     spark, known, totals = docs.sparkSession, [], None
     for orders in ROUNDS:
         orders = [n for n in orders if n <= longest]
