@@ -48,6 +48,8 @@ _BREAK, _NEXT = b"\n", b"."  # marks of a piece's and of a text's end; no transl
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 _PLAIN = bytes.maketrans(
     bytes(range(65, 91)) + b"\t" + _BREAKS, bytes(range(97, 123)) + b" " + _BREAK * len(_BREAKS))
+_APART = np.array([chr(b) in " \n." for b in range(256)])
+_SPACED = bytes.maketrans(_BREAK + _NEXT, b"  ")
 
 _powers: dict[int, np.ndarray] = {}
 
@@ -70,62 +72,73 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Block:
-    """The words of a block of texts: code, piece and text of each; the distinct words; the texts' languages."""
+    """The words of a block of texts, in order: piece, text and hash of each; the texts' languages.
+
+    With `coded` also the code of each word among the distinct `words`, for comparing words themselves.
+    """
 
-    codes: np.ndarray
     pieces: np.ndarray
     owners: np.ndarray
-    words: pa.Array
+    hashes: np.ndarray
     langs: list[str]
+    codes: np.ndarray | None = None
+    words: pa.Array | None = None
 
     def __post_init__(self):
         import xxhash
 
-        names = sorted(set(self.langs))
-        at = {name: i for i, name in enumerate(names)}
-        self.names = names
-        self.lang = np.array([at[x] for x in self.langs], np.int32)[self.owners] if len(self.langs) else np.empty(0, np.int32)
-        seeds = np.array([xxhash.xxh64_intdigest(n.encode(), 1) for n in names], np.uint64)
-        self.seed = seeds[self.lang] if len(names) else np.empty(0, np.uint64)
-        hashes = np.array([xxhash.xxh64_intdigest(w) for w in self.words.to_pylist()], np.uint64)
-        own = hashes[self.codes] if len(self.codes) else np.empty(0, np.uint64)
-        n = len(own)
-        self.prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum(own * _power(_INVERSE, n))])
+        self.names = sorted(set(self.langs))
+        at = {name: i for i, name in enumerate(self.names)}
+        self.lang = np.array([at[x] for x in self.langs], np.int32)[self.owners] if self.langs else np.empty(0, np.int32)
+        self.seeds = np.array([xxhash.xxh64_intdigest(n.encode(), 1) for n in self.names], np.uint64)
+        self.prefix = _prefix(self.hashes)
 
     def runs(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Whether a run of n words that begins at a word stays in its piece, and its fingerprint."""
-        count = max(0, len(self.codes) - n + 1)
+        count = max(0, len(self.hashes) - n + 1)
         inside = self.pieces[:count] == self.pieces[n - 1:n - 1 + count]
-        power = _power(_BASE, count + n - 1)[n - 1:]
-        value = (self.prefix[n:n + count] - self.prefix[:count]) * power
-        return inside, _mixed(value ^ (self.seed[:count] + np.uint64(n))).view(np.int64)
+        value = (self.prefix[n:n + count] - self.prefix[:count]) * _power(_BASE, count + n - 1)[n - 1:]
+        if len(self.seeds):
+            value ^= (self.seeds + np.uint64(n))[self.lang[:count]]
+        return inside, _mixed(value).view(np.int64)
 
 
-def block(texts: Sequence[bytes | None], langs: Sequence[str | None]) -> Block:
-    joined = _NEXT.join((t or b"").translate(_PLAIN) for t in texts)
-    spaced = joined.replace(_BREAK, b" \n ").replace(_NEXT, b" . ")
-    coded = pc.split_pattern(pa.array([spaced], pa.large_binary()), b" ").flatten().dictionary_encode()
-    codes, words = np.asarray(coded.indices), coded.dictionary.cast(pa.large_binary())
-    marks = {w: i for i, w in enumerate(words.to_pylist()) if w in (b"", _BREAK, _NEXT)}
-    breaks, nexts = codes == marks.get(_BREAK, -1), codes == marks.get(_NEXT, -1)
-    real = ~(breaks | nexts) & (codes != marks.get(b"", -1))
-    pieces, owners = (np.cumsum(x, dtype=np.int32)[real] for x in (breaks | nexts, nexts))
-    return Block(codes[real], pieces, owners, words, [NO_LANG if x is None else x for x in langs])
+def _prefix(values: np.ndarray) -> np.ndarray:
+    """Sums of values[j] / base^j over the first j: a run's polynomial is a difference times a power of the base."""
+    return np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * _power(_INVERSE, len(values)))])
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, Block]]:
+def block(texts: Sequence[bytes | None], langs: Sequence[str | None], coded: bool = False) -> Block:
+    joined = _NEXT.join((t or b"").translate(_PLAIN) for t in texts)
+    raw = np.frombuffer(joined, np.uint8)
+    apart = np.concatenate([[True], _APART[raw], [True]])
+    edges = np.flatnonzero(apart[1:] != apart[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    # Words have their polynomial from their bytes, which count from 1 so that no leading one is lost.
+    prefix = _prefix(raw.astype(np.uint64) + np.uint64(1))
+    hashes = _mixed((prefix[ends] - prefix[starts]) * _power(_BASE, len(raw) + 1)[ends - 1])
+    nexts = np.flatnonzero(raw == _NEXT[0])
+    breaks = np.flatnonzero((raw == _NEXT[0]) | (raw == _BREAK[0]))
+    own = Block(np.searchsorted(breaks, starts), np.searchsorted(nexts, starts), hashes, [NO_LANG if x is None else x for x in langs])
+    if coded:
+        plain = joined.translate(_SPACED)
+        words = pc.split_pattern(pa.array([plain], pa.large_binary()), b" ").flatten().dictionary_encode()
+        codes, own.words = np.asarray(words.indices), words.dictionary.cast(pa.large_binary())
+        empty = pc.index(own.words, pa.scalar(b"", pa.large_binary())).as_py()
+        own.codes = codes[codes != empty]
+    return own
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], coded: bool = False) -> Iterator[tuple[pa.RecordBatch, Block]]:
     for batch in batches:
         for part in slices(batch, most=BLOCK_BYTES):
-            yield part, block(part.column("text").cast(pa.large_binary()).to_pylist(), part.column("lang").to_pylist())
+            yield part, block(part.column("text").cast(pa.large_binary()).to_pylist(), part.column("lang").to_pylist(), coded)
 
 
-def _known(values: np.ndarray, held: list[Vocabulary]) -> np.ndarray:
-    """Which fingerprints one of the vocabularies holds."""
+def _known(values: np.ndarray, held: Vocabulary) -> np.ndarray:
+    """Which fingerprints the vocabulary holds."""
     distinct, place = np.unique(values, return_inverse=True)
-    found = np.zeros(len(distinct), bool)
-    for one in held:
-        found |= one.ids(distinct) >= 0
-    return found[place]
+    return (held.ids(distinct) >= 0)[place]
 
 
 def _slim(docs: DataFrame) -> DataFrame:
@@ -142,7 +155,7 @@ def _counted(docs: DataFrame, orders: Sequence[int], known: Vocabulary | None) -
             if known is not None:
                 inside, values = own.runs(shorter)
                 held = inside.copy()
-                held[inside] = _known(values[inside], [known])
+                held[inside] = _known(values[inside], known)
             else:
                 total = np.bincount(own.lang, minlength=len(own.names))
                 yield _batch(pa.nulls(len(total), pa.int64()), pa.array(own.names, pa.string()), pa.array(total))
@@ -163,35 +176,39 @@ def _counted(docs: DataFrame, orders: Sequence[int], known: Vocabulary | None) -
     return partial.groupBy("fp", "lang").agg(F.sum("n").alias("n"))
 
 
-def _first_places(own: Block, n: int, at: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First place and count of every distinct run among those at `at`, compared word by word and not by fingerprint."""
-    found, first, count = [], [], []
+def _first_places(own: Block, n: int, at: np.ndarray, values: np.ndarray, known: Vocabulary | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """First place and count of every distinct run among those at `at` whose fingerprint is known, compared word
+    by word and not by fingerprint."""
+    found, count = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     while len(at):
-        _, place, group, counts = np.unique(values, return_index=True, return_inverse=True, return_counts=True)
-        head = at[place][group]
+        distinct, group = np.unique(values, return_inverse=True)
+        held = np.ones(len(distinct), bool) if known is None else known.ids(distinct) >= 0
+        number, kept, known = np.cumsum(held) - 1, held[group], None
+        at, values, group = at[kept], values[kept], number[group[kept]]
+        first = np.empty(np.count_nonzero(held), np.int64)
+        first[group[::-1]] = at[::-1]
+        head = first[group]
         same = own.lang[at] == own.lang[head]
         for k in range(n):
             same &= own.codes[at + k] == own.codes[head + k]
-        counts = np.bincount(group[same], minlength=len(place))
-        found.append(at[place])
-        count.append(counts)
+        found.append(first)
+        count.append(np.bincount(group[same], minlength=len(first)))
         # Runs that only share the fingerprint: once more among themselves.
         at, values = at[~same], values[~same]
-    return (np.concatenate(found), np.concatenate(count)) if found else (np.empty(0, np.int64), np.empty(0, np.int64))
+    return np.concatenate(found), np.concatenate(count)
 
 
-def _texts(docs: DataFrame, known: list[Vocabulary], longest: int) -> DataFrame:
+def _texts(docs: DataFrame, known: dict[int, Vocabulary]) -> DataFrame:
     """(lang, words, phrase, n, doc_id, at): runs with a frequent fingerprint as text, with one occurrence."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, own in _blocks(batches):
+        for part, own in _blocks(batches, coded=True):
             starts = np.searchsorted(own.owners, np.arange(len(own.langs)))
             ids = part.column("doc_id")
-            for n in range(1, longest + 1):
+            for n, held in known.items():
                 inside, values = own.runs(n)
                 at = np.flatnonzero(inside)
-                at = at[_known(values[at], known)]
-                place, count = _first_places(own, n, at, values[at])
+                place, count = _first_places(own, n, at, values[at], held)
                 for a in range(0, len(place), 1 << 17):
                     some = place[a:a + (1 << 17)]
                     words = [own.words.take(pa.array(own.codes[some + k])) for k in range(n)]
@@ -209,27 +226,26 @@ def _texts(docs: DataFrame, known: list[Vocabulary], longest: int) -> DataFrame:
 def frequent_phrases(docs: DataFrame, longest: int = LONGEST, min_count: int = MIN_COUNT) -> tuple[DataFrame, DataFrame]:
     """(lang, words, phrase, count, doc_id, at) of every run of 1 to `longest` words with `min_count` occurrences,
     with the pointer to one of them (its first word's place in that document), and (lang, n) with all words."""
-    spark = docs.sparkSession
-    with small_batches(spark):
+    with small_batches(docs.sparkSession):
         return _frequent(docs, longest, min_count)
 
 
 def _frequent(docs: DataFrame, longest: int, min_count: int) -> tuple[DataFrame, DataFrame]:
-    spark, known, totals = docs.sparkSession, [], None
+    known: dict[int, Vocabulary] = {}
+    totals = last = None
     for orders in ROUNDS:
         orders = [n for n in orders if n <= longest]
-        if not orders:
+        if not orders or last is not None and not last.size:
             break
-        counts = _counted(docs, orders, known[-1] if known else None)
+        counts = _counted(docs, orders, last)
         if totals is None:
             counts = materialise(counts.filter((F.col("n") >= min_count) | F.col("lang").isNotNull()), "runs")
             totals = counts.filter("fp is null").select("lang", "n")
-        counts = counts.filter((F.col("n") >= min_count) & F.col("fp").isNotNull())
-        known.append(write_vocabulary(counts.select(F.col("fp").alias("hash")), new_path(spark, "frequent")))
-        if not known[-1].size:
-            break
+        frequent = counts.filter((F.col("n") >= min_count) & F.col("fp").isNotNull())
+        last = write_vocabulary(frequent.select(F.col("fp").alias("hash")), new_path(docs.sparkSession, "frequent"))
+        known |= dict.fromkeys(orders, last)
     exact = (
-        _texts(docs, known, longest).groupBy("lang", "words", "phrase")
+        _texts(docs, known).groupBy("lang", "words", "phrase")
         .agg(F.sum("n").alias("count"), F.first("doc_id").alias("doc_id"), F.first("at").alias("at"))
         .filter(F.col("count") >= min_count)
     )

@@ -80,7 +80,7 @@ def test_pointers_show_the_phrase(small):
 
 def test_equal_fingerprints_are_told_apart():
     """With every fingerprint the same, words alone decide."""
-    own = collocations.block([b"a b. a c. a b. b a", None, b"a b"], ["en", "en", None])
+    own = collocations.block([b"a b. a c. a b. b a", None, b"a b"], ["en", "en", None], coded=True)
     inside, _ = own.runs(2)
     at = np.flatnonzero(inside)
     place, count = collocations._first_places(own, 2, at, np.zeros(len(at), np.int64))
