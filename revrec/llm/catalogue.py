@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from revrec.llm import (
-    bpe, collocations, decontamination, language_model, licences, neighbours, packing, quality_model, quality_rules, simhash, token_counts, token_files,
+    alignment, bpe, collocations, decontamination, language_model, licences, neighbours, packing, quality_model, quality_rules, simhash, token_counts, token_files,
 )
 
 QUERIES = {
@@ -17,6 +17,7 @@ QUERIES = {
     "op8_simhash": simhash.op8_simhash,
     "op9_token_files": token_files.op9_token_files,
     "op10_language_model": language_model.op10_language_model,
+    "op11_alignment": alignment.op11_alignment,
     "op12_decontamination": decontamination.op12_decontamination,
     "op13_collocations": collocations.op13_collocations,
 }

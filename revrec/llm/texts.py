@@ -170,7 +170,7 @@ def word_splitter(path: str, plain: bool = False) -> Callable[[str], list[str] |
     """
     from tokenizers import Tokenizer
 
-    tokenizer, split = Tokenizer.from_file(path), _splitter(path)
+    tokenizer, split = Tokenizer.from_file(path), splitter(path)
     normal, before = tokenizer.normalizer, tokenizer.pre_tokenizer
     special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
     mark = os.path.commonprefix(special) if special and not plain else None
@@ -230,7 +230,7 @@ def library_encoder(path: str) -> PieceEncoder:
                 out.append(array("I", ids).tobytes())
             return out
 
-        _encoders[key] = PieceEncoder(_splitter(path), encode)
+        _encoders[key] = PieceEncoder(splitter(path), encode)
     return _encoders[key]
 
 
@@ -256,7 +256,7 @@ def span_encoder(path: str) -> PieceEncoder:
                     out.append(np.column_stack([np.array(e.ids, "<u4"), spans]).tobytes())
             return out
 
-        split = _splitter(path)
+        split = splitter(path)
         cover = split if split is spaced_pieces else single_pieces
         _encoders[key] = PieceEncoder(cover, encode, width=3)
     return _encoders[key]
@@ -267,7 +267,7 @@ def single_pieces(texts: pa.Array) -> pa.Array:
     return pa.array([[t] for t in texts.to_pylist()], pa.large_list(pa.large_string()))
 
 
-def _splitter(path: str) -> Callable[[pa.Array], pa.Array]:
+def splitter(path: str) -> Callable[[pa.Array], pa.Array]:
     """Only the two kinds of files whose pieces are known to be independent; else a text is one piece."""
     import json
 

@@ -1,0 +1,160 @@
+"""Alignment of two tokenizers against whole texts encoded by the libraries, and all overlaps tried."""
+
+import hashlib
+from collections import Counter, defaultdict
+
+import public_tokenizers
+import pyarrow as pa
+import pytest
+import sentencepiece
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from revrec.llm import alignment, texts
+
+A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+NAMES = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+
+
+@pytest.fixture(scope="module")
+def sides():
+    a = Tokenizer.from_file(A)
+    a.encode_special_tokens = True
+    return a, sentencepiece.SentencePieceProcessor(model_file=B)
+
+
+def spans(pieces):
+    out, at = [], 0
+    for p in pieces:
+        out.append((at, at + len(p)))
+        at += len(p)
+    return out
+
+
+def whole(sides, text):
+    """(ids of A, ids of B, spans of A, spans of B) of a whole text, empty ones where bytes differ."""
+    a, b = sides
+    if not text:
+        return [], [], [], []
+    byte_of = {s: i for i, s in enumerate(texts.byte_symbols())}
+    ids_a, ids_b = a.encode(" " + text, add_special_tokens=False).ids, b.encode(text)
+    of_a = [bytes(byte_of[c] for c in a.id_to_token(i)) for i in ids_a]
+    of_b = [bytes([int(b.id_to_piece(i)[3:5], 16)]) if b.is_byte(i) else b.id_to_piece(i).replace("▁", " ").encode() for i in ids_b]
+    if b"".join(of_a) != (" " + text).encode() or b"".join(of_b) != (" " + text).encode():
+        return [], [], [], []
+    return ids_a, ids_b, spans(of_a), spans(of_b)
+
+
+def plain(sides, rows):
+    own = [(doc_id, *whole(sides, text)) for doc_id, text in rows]
+    links = [[(a[i], b[j]) for i, (s, e) in enumerate(sa) for j, (t, f) in enumerate(sb) if s < f and t < e] if len(sa) < 400
+             else near(a, b, sa, sb) for _, a, b, sa, sb in own]
+    count = Counter(x for some in links for x in some)
+    best = defaultdict(int)
+    for (_, b), n in count.items():
+        best[b] = max(best[b], n)
+    out = []
+    for (doc_id, a, b, sa, sb), some in zip(own, links):
+        common = sorted({e for _, e in sa} & {e for _, e in sb})
+        parts = [([i for i, (_, e) in zip(a, sa) if x < e <= y], [i for i, (_, e) in zip(b, sb) if x < e <= y])
+                 for x, y in zip([0, *common], common)] if len(sa) < 400 else cut(a, b, sa, sb, common)
+        text = ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in parts)
+        out.append((doc_id, len(a), len(b), len(common), len(some), sum(count[x] == best[x[1]] for x in some),
+                    sum(count[x] for x in some), hashlib.sha256(text.encode()).hexdigest() if a else ""))
+    return sorted(out, key=repr)
+
+
+def near(a, b, sa, sb):
+    """All overlapping pairs of long texts, by one step through both."""
+    out, first = [], 0
+    for i, (s, e) in enumerate(sa):
+        while sb[first][1] <= s:
+            first += 1
+        j = first
+        while j < len(sb) and sb[j][0] < e:
+            out.append((a[i], b[j]))
+            j += 1
+    return out
+
+
+def cut(a, b, sa, sb, common):
+    of_a, of_b = {e: i for i, (_, e) in enumerate(sa, 1)}, {e: i for i, (_, e) in enumerate(sb, 1)}
+    out, i, j = [], 0, 0
+    for e in common:
+        out.append((a[i:of_a[e]], b[j:of_b[e]]))
+        i, j = of_a[e], of_b[e]
+    return out
+
+
+def found(docs):
+    blocks = alignment.align(docs, A, B)
+    rows = alignment.figures(blocks, alignment.write_links(alignment.link_counts(blocks))).select(*NAMES).collect()
+    return sorted((tuple(r) for r in rows), key=repr)
+
+
+EXTRA = ["a▁b", "a ▁ b", "\x00 x", "ﬁ ½ x", "  two  spaces ", "x\n\ny \n z", "　 　x", " ", "\n", "don't <s> <|endoftext|>", "日本 語", "a   b", "\x01 a b"]
+
+
+def test_odd_rows(spark, odd, odd_rows, sides):
+    extra = spark.createDataFrame([(100 + i, t) for i, t in enumerate(EXTRA)], "doc_id bigint, text string")
+    rows = odd_rows + [(100 + i, t) for i, t in enumerate(EXTRA)]
+    docs = odd.select("doc_id", "text", "n_words", "score").unionByName(extra, allowMissingColumns=True)
+    assert found(docs) == plain(sides, rows)
+
+
+def test_documents_and_a_hot_text(spark, small, small_rows, sides):
+    hot = [(10_000 + i, "The cat sat on the mat, unbelievably.") for i in range(len(small_rows) // 2)]
+    docs = small.select("doc_id", "text").unionByName(spark.createDataFrame(hot, "doc_id bigint, text string")).repartition(5)
+    assert found(docs) == plain(sides, small_rows + hot)
+
+
+def test_empty(none):
+    assert found(none) == []
+
+
+TEXTS = st.text(st.sampled_from("ab eéÉß\n\t\r\x1c\x85\xa0 <|>'s1½日😀_!.\x01▁"), max_size=40)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(TEXTS, min_size=1, max_size=6))
+def test_pieces_give_the_tokens_of_whole_texts(sides, many):
+    own = alignment.aligner(A, B)
+    lists = own.pieces(texts.whole(pa.array(many, pa.string()))).to_pylist()
+    for text, pieces in zip(many, lists):
+        assert "".join(pieces) == " " + text
+        made = own.all(list(dict.fromkeys(pieces)))
+        by = dict(zip(dict.fromkeys(pieces), made))
+        a, b, sa, sb = whole(sides, text)
+        if not text:
+            continue
+        if not a:
+            assert any(x.a < 0 for x in by.values())
+            continue
+        common = sorted({e for _, e in sa} & {e for _, e in sb})
+        assert ";".join(by[p].text for p in pieces) == ";".join(
+            ",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in cut(a, b, sa, sb, common))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(1, 4), min_size=1, max_size=12), st.lists(st.integers(1, 4), min_size=1, max_size=12))
+def test_links_are_all_overlaps(a, b):
+    a.append(max(0, sum(b) - sum(a)) + 1)
+    b.append(sum(a) - sum(b))
+    sa, sb = spans([" " * n for n in a]), spans([" " * n for n in b])
+    ends_a, ends_b = [e for _, e in sa], [e for _, e in sb]
+    links = [x for s, t in alignment.slices_of(ends_a, ends_b) for x in alignment.links_of(ends_a, ends_b, s, t)]
+    assert sorted(links) == [(i, j) for i, (s, e) in enumerate(sa) for j, (t, f) in enumerate(sb) if s < f and t < e]
+
+
+def test_groups_are_those_of_the_digest(odd, sides):
+    rows = alignment.groups(odd, A, B).collect()
+    by = defaultdict(list)
+    for r in rows:
+        by[r["doc_id"]].append((r["start"], r["end"], r["a"], r["b"]))
+    texts_of = {r["doc_id"]: r["text"] for r in odd.collect() if r["doc_id"] not in (1, None)}
+    for doc_id, text in texts_of.items():
+        a, b, sa, sb = whole(sides, text)
+        common = sorted({e for _, e in sa} & {e for _, e in sb})
+        parts = cut(a, b, sa, sb, common)
+        assert sorted(by[doc_id]) == [(x, y, *p) for x, y, p in zip([0, *common], common, parts)]
