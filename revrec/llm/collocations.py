@@ -36,8 +36,8 @@ MIN_COUNT = 100
 #: A phrase goes where a longer one has this percentage of its occurrences.
 WITHIN = 100
 TOP = 2000
-#: Bytes of text in a block; its arrays take some twenty times as many.
-BLOCK_BYTES = 2 << 20
+#: Bytes of text in a block; its arrays take some thirty times as many.
+BLOCK_BYTES = 1 << 20
 NO_LANG = "und"
 #: Runs of these lengths are counted together, each where the named shorter runs inside reached the limit.
 ROUNDS = ((1, 2), (3,), (4, 5))
@@ -133,6 +133,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], coded: bool = False) -> Iterator[
     for batch in batches:
         for part in slices(batch, most=BLOCK_BYTES):
             yield part, block(part.column("text").cast(pa.large_binary()).to_pylist(), part.column("lang").to_pylist(), coded)
+            pa.default_memory_pool().release_unused()
 
 
 def _known(values: np.ndarray, held: Vocabulary) -> np.ndarray:
