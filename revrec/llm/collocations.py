@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revrec.llm.language_model import Vocabulary, write_vocabulary
-from revrec.llm.texts import documents, slices, small_batches
+from revrec.llm.texts import documents, give_back, slices, small_batches
 from revrec.operators.ordering import top_n
 from revrec.sources.shared import materialise, new_path
 
@@ -133,7 +133,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], coded: bool = False) -> Iterator[
     for batch in batches:
         for part in slices(batch, most=BLOCK_BYTES):
             yield part, block(part.column("text").cast(pa.large_binary()).to_pylist(), part.column("lang").to_pylist(), coded)
-            pa.default_memory_pool().release_unused()
+            give_back()
 
 
 def _known(values: np.ndarray, held: Vocabulary) -> np.ndarray:

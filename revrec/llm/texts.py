@@ -6,6 +6,7 @@ batch is encoded once, and the ids are gathered back. The ids are those of the w
 
 from __future__ import annotations
 
+import ctypes
 import os
 import re
 from array import array
@@ -50,15 +51,35 @@ def slices(batch: pa.RecordBatch, column: str = "text", most: int = BATCH_BYTES)
 
 
 @contextmanager
-def small_batches(spark: SparkSession, most: int = 4 << 20) -> Iterator[None]:
-    """Jobs that run inside hand their Python workers batches of about `most` bytes, in place of the session's 64 MB."""
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, str(most))
+def small_batches(spark: SparkSession, most: int = 4 << 20, rows: int | None = None) -> Iterator[None]:
+    """Jobs that run inside hand their Python workers batches of about `most` bytes, in place of the session's 64 MB.
+
+    With `rows` the JVM also reads so few rows of Parquet at a time: for tables whose rows hold megabytes.
+    """
+    wanted = {"spark.sql.execution.arrow.maxBytesPerBatch": str(most)}
+    if rows:
+        wanted["spark.sql.parquet.columnarReaderBatchSize"] = str(rows)
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except (AttributeError, OSError):  # another C library
+    _trim = None
+
+
+def give_back() -> None:
+    """Returns memory that this worker has freed to the machine: executors share it with the JVM."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
 
 
 def whole(texts: pa.Array) -> pa.Array:

@@ -3,6 +3,7 @@
 import hashlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
@@ -88,9 +89,7 @@ def cut(a, b, sa, sb, common):
 
 
 def found(docs):
-    blocks = alignment.align(docs, A, B)
-    rows = alignment.figures(blocks, alignment.write_links(alignment.link_counts(blocks))).select(*NAMES).collect()
-    return sorted((tuple(r) for r in rows), key=repr)
+    return sorted((tuple(r) for r in alignment.linked(docs, A, B).select(*NAMES).collect()), key=repr)
 
 
 EXTRA = ["a▁b", "a ▁ b", "\x00 x", "ﬁ ½ x", "  two  spaces ", "x\n\ny \n z", "　 　x", " ", "\n", "don't <s> <|endoftext|>", "日本 語", "a   b", "\x01 a b"]
@@ -123,16 +122,16 @@ def test_pieces_give_the_tokens_of_whole_texts(sides, many):
     lists = own.pieces(texts.whole(pa.array(many, pa.string()))).to_pylist()
     for text, pieces in zip(many, lists):
         assert "".join(pieces) == " " + text
-        made = own.all(list(dict.fromkeys(pieces)))
-        by = dict(zip(dict.fromkeys(pieces), made))
+        distinct = list(dict.fromkeys(pieces))
+        by = dict(zip(distinct, own.all(distinct, np.ones(len(distinct), bool))))
         a, b, sa, sb = whole(sides, text)
         if not text:
             continue
         if not a:
-            assert any(x.a < 0 for x in by.values())
+            assert any(x[0] < 0 for x in by.values())
             continue
         common = sorted({e for _, e in sa} & {e for _, e in sb})
-        assert ";".join(by[p].text for p in pieces) == ";".join(
+        assert ";".join(by[p][4] for p in pieces) == ";".join(
             ",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in cut(a, b, sa, sb, common))
 
 
@@ -142,9 +141,11 @@ def test_links_are_all_overlaps(a, b):
     a.append(max(0, sum(b) - sum(a)) + 1)
     b.append(sum(a) - sum(b))
     sa, sb = spans([" " * n for n in a]), spans([" " * n for n in b])
-    ends_a, ends_b = [e for _, e in sa], [e for _, e in sb]
-    links = [x for s, t in alignment.slices_of(ends_a, ends_b) for x in alignment.links_of(ends_a, ends_b, s, t)]
-    assert sorted(links) == [(i, j) for i, (s, e) in enumerate(sa) for j, (t, f) in enumerate(sb) if s < f and t < e]
+    ends_a, ends_b = (np.array([e for _, e in x]) for x in (sa, sb))
+    common, up_a, up_b = alignment.common_ends(ends_a, ends_b)
+    assert ends_a[up_a - 1].tolist() == ends_b[up_b - 1].tolist() == common.tolist() == sorted({*ends_a.tolist()} & {*ends_b.tolist()})
+    links = np.column_stack(alignment.overlaps(ends_a, ends_b)).tolist()
+    assert sorted(map(tuple, links)) == [(i, j) for i, (s, e) in enumerate(sa) for j, (t, f) in enumerate(sb) if s < f and t < e]
 
 
 def test_groups_are_those_of_the_digest(odd, sides):
