@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +15,8 @@ from pyspark.sql.types import NumericType, StringType
 
 from revrec.functions.columns import nan_to_null
 from revrec.operators.histograms import bin_number
-from revrec.operators.ordering import rank_within, top_n
+from revrec.operators.ordering import top_n
+from revrec.operators.selection import exact_quantiles
 from revrec.sources.shared import materialise
 from revrec.sources.tables import union_splits
 
@@ -46,23 +48,6 @@ def _tall(wide: DataFrame, by: Sequence[str]) -> DataFrame:
     return wide.select(*by, "feature", F.inline(F.array(*cells)))
 
 
-def exact_quantiles(df: DataFrame, by: Sequence[str], features: Sequence[str], fractions: Sequence[float]) -> DataFrame:
-    """(by..., feature, n, cuts): the values at ranks ceil(fraction * n), the least value for 0.
-
-    Ranks come from one range partitioning of all values, so no task holds a whole group.
-    """
-    keys = [*by, "feature"]
-    cells = _long_form(df, by, features, "double").withColumn("value", nan_to_null(F.col("value"))).filter("value is not null")
-    ranked = materialise(rank_within(cells, keys, ["value"], "_rank"), "ranked")
-    sizes = materialise(ranked.groupBy(*keys).agg(F.max("_rank").alias("n")), "sizes")
-    wanted = F.array(*[F.greatest(F.lit(1), F.ceil(F.lit(f) * F.col("n"))).cast("bigint") for f in fractions])
-    places = sizes.select(*keys, "n", F.posexplode(wanted).alias("_i", "_rank"))
-    same = [F.col(f"r.{k}").eqNullSafe(F.col(f"p.{k}")) for k in (*keys, "_rank")]
-    found = ranked.alias("r").join(places.alias("p"), same).select(*[f"p.{k}" for k in keys], "p.n", "p._i", "r.value")
-    cuts = F.transform(F.array_sort(F.collect_list(F.struct("_i", "value"))), lambda x: x["value"])
-    return found.groupBy(*keys, "n").agg(cuts.alias("cuts"))
-
-
 def numeric_statistics(df: DataFrame, by: Sequence[str] = (), features: Sequence[str] | None = None,
                        accuracy: int = 10000, exact: bool = False) -> DataFrame:
     """(by..., feature, stat, value). The median is within 1/accuracy of the row count in rank, or `exact`."""
@@ -79,7 +64,7 @@ def numeric_statistics(df: DataFrame, by: Sequence[str] = (), features: Sequence
             F.stddev_pop(value).alias("std_dev"),
             F.count_if(value == 0).alias("num_zeros"),
             F.min(value).alias("min"),
-            F.percentile_approx(value, 0.5, accuracy).alias("median"),
+            (F.lit(None).cast("double") if exact else F.percentile_approx(value, 0.5, accuracy)).alias("median"),
             F.max(value).alias("max"),
         )
 
@@ -245,22 +230,37 @@ def _kinds(df: DataFrame, split_col: str | None) -> tuple[list[str], list[str],
 
 @dataclass(frozen=True)
 class Profile:
-    """Everything about the features of a table: figures, histograms of numbers, top values of strings."""
+    """Everything about the features of a table, each part worked out when it is first asked for."""
 
-    statistics: DataFrame
-    histograms: DataFrame | None
-    top_values: DataFrame | None
+    table: DataFrame
+    split_col: str | None = None
+    n: int = 20
+    bins: int = 10
+    accuracy: int = 10000
+    exact: bool = False
+
+    @cached_property
+    def statistics(self) -> DataFrame:
+        """Figures of all features."""
+        return feature_statistics(self.table, self.split_col, self.accuracy, self.exact)
+
+    @cached_property
+    def histograms(self) -> DataFrame | None:
+        """Histograms of numbers, None without any."""
+        by, numeric, _, _ = _kinds(self.table, self.split_col)
+        return numeric_histograms(self.table, by, numeric, self.bins, self.accuracy, self.exact) if numeric else None
+
+    @cached_property
+    def top_values(self) -> DataFrame | None:
+        """Top values of strings, None without any."""
+        by, _, strings, _ = _kinds(self.table, self.split_col)
+        return top_values(self.table, by, strings, self.n) if strings else None
 
 
 def profile(df: DataFrame, split_col: str | None = None, n: int = 20, bins: int = 10, accuracy: int = 10000,
             exact: bool = False) -> Profile:
     """All statistics of all columns, per split if one is named."""
-    by, numeric, strings, _ = _kinds(df, split_col)
-    return Profile(
-        feature_statistics(df, split_col, accuracy, exact),
-        numeric_histograms(df, by, numeric, bins, accuracy, exact) if numeric else None,
-        top_values(df, by, strings, n) if strings else None,
-    )
+    return Profile(df, split_col, n, bins, accuracy, exact)
 
 
 def infer_schema(df: DataFrame, stats: DataFrame | None = None, domain_limit: int = 50,
