@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from revrec.functions.columns import product_url, retrieval_weight, shift_index
 from revrec.functions.vectors import concat_vectors, l2_normalise
-from revrec.operators import histograms, joins, keyed, metrics, negatives, ordering, retrieval, statistics, vocabulary
+from revrec.operators import histograms, joins, keyed, metrics, negatives, ordering, retrieval, statistics, transformation, vocabulary
 from revrec.plans import curate as curation
 from revrec.plans import ratings as rating_plans
 from revrec.plans import recommend as rec
@@ -507,6 +507,48 @@ def transformed_examples(spark, sf):
     )
 
 
+_OOV = """(SELECT count(*) FROM {words}) + ('0x' || substr(md5({token}), 1, 15))::BIGINT % {slots}"""
+
+
+@query("WITH " + _TRANSFORMED + f""" SELECT review_id, coalesce(c.index, {_OOV.format(words="customers", token="customer_id", slots=3)}) AS customer_id_xf,
+  coalesce(p.index, {_OOV.format(words="items", token="product_id", slots=3)}) AS product_id_xf,
+  CAST(review_rating >= 4 AS INTEGER)::DOUBLE AS retrieval_sample_weight
+FROM curated LEFT JOIN customers c ON c.token = customer_id LEFT JOIN items p ON p.token = product_id""")
+def transformed_examples_oov(spark, sf):
+    examples = vocabulary.transform(
+        _stored(spark, sf),
+        lambda rows, analysed: vocabulary.preprocess(rows, analysed, keep=["review_id"], oov_buckets=3),
+        analyse=[TRAIN, VALIDATION], splits=[TRAIN, VALIDATION, TEST],
+    )
+    return examples.withColumn("retrieval_sample_weight", F.col("retrieval_sample_weight").cast("double"))
+
+
+_FITTED = {
+    "customer": transformation.Vocabulary("customer_id", oov_buckets=5),
+    "product": transformation.Vocabulary("product_id", min_count=2),
+    "rating_z": transformation.ZScore("review_rating"),
+    "rating_01": transformation.MinMax("review_rating"),
+    "review_bucket": transformation.Buckets("review_id", 8),
+}
+
+
+@query("WITH " + _TRANSFORMED + f""", learned AS (SELECT * FROM curated WHERE split IN ('train', 'validation')),
+figures AS (SELECT avg(review_rating) AS mean, stddev_pop(review_rating) AS dev, min(review_rating) AS lo, max(review_rating) AS hi,
+  list(review_id ORDER BY review_id) AS ids, count(*) AS n FROM learned),
+cuts AS (SELECT list(ids[(k * n + 7) // 8]) AS cuts FROM figures, range(1, 8) AS t(k))
+SELECT review_id, coalesce(c.index, {_OOV.format(words="customers", token="customer_id", slots=5)}) AS customer,
+  CASE WHEN p.count >= 2 THEN p.index ELSE -1 END AS product, round((review_rating - mean) / dev, 6) AS rating_z,
+  round((review_rating - lo) / (hi - lo), 6) AS rating_01, len(list_filter(cuts, lambda x: x <= review_id)) AS review_bucket
+FROM curated CROSS JOIN figures CROSS JOIN cuts
+LEFT JOIN customers c ON c.token = customer_id LEFT JOIN items p ON p.token = product_id WHERE split = 'test'""")
+def fitted_transform(spark, sf):
+    """Fitted on two splits, written, loaded, and applied to the third, which nobody analysed."""
+    curated, path = _stored(spark, sf), new_path(spark, "state")
+    transformation.fit(tables.select_splits(curated, [TRAIN, VALIDATION]), _FITTED).write(spark, path)
+    found = transformation.load(spark, path).apply(tables.select_splits(curated, [TEST]), keep=["review_id"])
+    return rounded(found, "rating_z", "rating_01").withColumn("review_bucket", F.col("review_bucket").cast("long"))
+
+
 @query("WITH " + _TRANSFORMED + """, examples AS (
   SELECT split, c.index AS customer_id_xf, p.index AS product_id_xf, CAST(review_rating >= 4 AS INTEGER)::DOUBLE AS retrieval_sample_weight
   FROM curated JOIN customers c ON c.token = customer_id JOIN items p ON p.token = product_id WHERE split <> 'test') """
