@@ -1,15 +1,16 @@
 """Quality rules: figures of each text, and lines that recur across a host's documents.
 
 Every line is normalised (ends trimmed, lower case, white space to one space) and hashed. A line that
-stands in more of a host's distinct documents than the limits allow is removed everywhere on that host;
-a document that loses more than half of its words with them is depleted and rejected. Distinct
-documents are those of different text: exact copies and repeated rows count once.
+stands in more of a host's distinct documents than the limit allows is removed everywhere on that host;
+a document that loses more than half of its words with them is depleted and rejected. The limit is a number
+of documents, the same on a host of any size. Distinct documents are those of different text, and near copies
+count as one: documents of which such lines make up four fifths (the similarity of near-duplicates) are told
+apart by the least digest of those lines only. So the pages of a template go, whose own words make up more
+than a fifth, while near copies stay for the near-duplicate stage.
 
 Rules: NULL text has no words and fails the base rule; NULL host is one host with the empty name; only
-rows equal in doc_id, text and host share a verdict; a host's limit never falls below `min_documents`;
-an empty table gives no rows. With `max_root` the limit is at most so many times the square root of the
-host's documents, so that it grows far slower than the host. With `by_context` near copies of one document count once
-for the lines they share (see `_in_contexts`).
+rows equal in doc_id, text and host share a verdict; an empty table gives no rows. Members of a group of near
+copies that differ in c of the shared lines count as c + 1 documents at most, however many they are.
 """
 
 from __future__ import annotations
@@ -18,13 +19,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revrec.llm.texts import documents
+from revrec.sources.shared import materialise
 
 SPACES, SPACE_RUN, SYMBOLS = " \t\n\x0b\x0c\r", "[\\x20\\x09-\\x0D]+", "[#*$%&|<>]"
 MIN_WORDS, MAX_REPEAT = 50, 50
-#: A line may stand in so many distinct documents of a host, or in this share of them if that is more.
-MIN_DOCUMENTS, MAX_SHARE = 10, 0.1
-#: In the pipeline no more than this multiple of their square root; it meets the tenth at 100 documents.
-MAX_ROOT = 1.0
+#: A line may stand in so many distinct documents of a host.
+MAX_DOCUMENTS = 10
+#: Per cent of a document's words in recurring lines from which on it is a near copy of others with them.
+NEAR_COPY = 80
 #: Per cent of a document's words that may be removed.
 MAX_REMOVED = 50
 
@@ -94,57 +96,49 @@ def _keyed(docs: DataFrame, text: str, host: str, key: str) -> DataFrame:
     }).withColumn("__r_hash", F.xxhash64("__r_text"))
 
 
-def frequent_lines(docs: DataFrame, min_documents: int, max_share: float, max_root: float | None = None,
-                   by_context: bool = False, max_removed: int = MAX_REMOVED) -> tuple[DataFrame, DataFrame]:
-    """All lines with words of keyed documents, and the (host, line) pairs above the limits."""
+def _line_digest(normal: Column) -> Column:
+    """60 bits of the MD5, which SQL has as well."""
+    return F.conv(F.substring(F.md5(normal.cast("binary")), 1, 15), 16, 10).cast("bigint")
+
+
+def lines_of(docs: DataFrame) -> DataFrame:
+    """All lines with words of keyed documents: place, number of words, digest. Written once, used three times."""
     lines = (
         docs.select("__r_key", "__r_hash", "__r_host", F.posexplode(F.split("__r_text", "\n")).alias("__r_at", "__r_line"))
         .withColumn("__r_normal", normal_line(F.col("__r_line"))).filter("__r_normal <> ''")
-        .select("__r_key", "__r_hash", "__r_host", "__r_at", F.size(F.split("__r_normal", " ")).alias("__r_n"), F.xxhash64("__r_normal").alias("__r_lh"))
-    )
-    counts = (
-        lines.select("__r_host", "__r_lh", "__r_hash").distinct()
-        .groupBy("__r_host", "__r_lh").agg(F.count("*").alias("__r_docs")).filter(F.col("__r_docs") > min_documents)
+        .select("__r_key", "__r_hash", "__r_host", "__r_at", F.size(F.split("__r_normal", " ")).alias("__r_n"), _line_digest(F.col("__r_normal")).alias("__r_lh"))
     )
-    hosts = docs.select("__r_host", "__r_hash").distinct().groupBy("__r_host").agg(F.count("*").alias("__r_all"))
-    limit = max_share * F.col("__r_all")
-    if max_root is not None:
-        limit = F.least(limit, max_root * F.sqrt("__r_all"))
-    above = counts.join(hosts, "__r_host").filter(F.col("__r_docs") > limit).select("__r_host", "__r_lh", limit.alias("__r_limit"))
-    if by_context:
-        above = _in_contexts(docs, lines, above, min_documents, max_removed)
-    return lines, above.select("__r_host", "__r_lh")
-
-
-def _in_contexts(docs: DataFrame, lines: DataFrame, above: DataFrame, min_documents: int, max_removed: int) -> DataFrame:
-    """Those of the lines above the limits that are above them in distinct contexts.
-
-    A document that these lines would not deplete is a context of its own. The others, which are copies of
-    each other or of a template, go by the least digest of their lines above the limits: members of a group
-    that differ in c of the shared lines have c + 1 contexts at most, however many they are.
-    """
-    places = lines.join(above.select("__r_host", "__r_lh"), ["__r_host", "__r_lh"]).select("__r_host", "__r_hash", "__r_lh", "__r_at", "__r_n").distinct()
-    lost = places.groupBy("__r_host", "__r_hash").agg(F.sum("__r_n").alias("__r_lost"), F.min("__r_lh").alias("__r_least"))
-    sizes = docs.select("__r_host", "__r_hash", F.size(words_of(F.col("__r_text"))).alias("__r_words")).distinct()
-    depleted = (100 * F.col("__r_lost") > max_removed * F.col("__r_words"))
-    contexts = lost.join(sizes, ["__r_host", "__r_hash"]).select(
-        "__r_host", "__r_hash", F.when(depleted, F.col("__r_least")).otherwise(F.col("__r_hash")).alias("__r_context"))
-    counts = (
-        places.select("__r_host", "__r_hash", "__r_lh").distinct().join(contexts, ["__r_host", "__r_hash"])
-        .select("__r_host", "__r_lh", "__r_context").distinct()
-        .groupBy("__r_host", "__r_lh").agg(F.count("*").alias("__r_contexts"))
+    return materialise(lines, "lines")
+
+
+def frequent_lines(lines: DataFrame, max_documents: int = MAX_DOCUMENTS, near_copy: int = NEAR_COPY) -> DataFrame:
+    """The (host, line) pairs in more than `max_documents` distinct documents, near copies counted as one."""
+    line = ["__r_host", "__r_lh"]
+    pairs = lines.select(*line, "__r_hash").distinct()
+    above = materialise(pairs.groupBy(*line).agg(F.count("*").alias("__r_c")).filter(F.col("__r_c") > max_documents).select(*line), "above")
+    flagged = lines.join(above.withColumn("__r_above", F.lit(True)), line, "left")
+    share = flagged.groupBy("__r_host", "__r_hash").agg(
+        F.sum("__r_n").alias("__r_words"),
+        F.sum(F.when(F.col("__r_above"), F.col("__r_n"))).alias("__r_lost"),
+        F.min(F.when(F.col("__r_above"), F.col("__r_lh"))).alias("__r_least"),
+    ).filter("__r_lost is not null")
+    near = 100 * F.col("__r_lost") >= near_copy * F.col("__r_words")
+    context = F.struct(near.alias("near"), F.when(near, F.col("__r_least")).otherwise(F.col("__r_hash")).alias("by"))
+    contexts = share.select("__r_host", "__r_hash", context.alias("__r_context"))
+    counted = (
+        pairs.join(above, line).join(contexts, ["__r_host", "__r_hash"])
+        .select(*line, "__r_context").distinct().groupBy(*line).agg(F.count("*").alias("__r_c"))
     )
-    wide = (F.col("__r_contexts") > min_documents) & (F.col("__r_contexts") > F.col("__r_limit"))
-    return counts.join(above, ["__r_host", "__r_lh"]).filter(wide)
+    return counted.filter(F.col("__r_c") > max_documents).select(*line)
 
 
-def judge(docs: DataFrame, text: str = "text", host: str = "source", key: str = "doc_id", min_documents: int = MIN_DOCUMENTS,
-          max_share: float = MAX_SHARE, max_removed: int = MAX_REMOVED, max_root: float | None = None,
-          by_context: bool = False) -> DataFrame:
+def judge(docs: DataFrame, text: str = "text", host: str = "source", key: str = "doc_id", max_documents: int = MAX_DOCUMENTS,
+          max_removed: int = MAX_REMOVED, near_copy: int = NEAR_COPY) -> DataFrame:
     """Rows of `docs` with a struct `_rules`: the figures, n_removed words, the places of removed lines
     (`removed`, ascending), base_failed, depleted and kept."""
     keyed = _keyed(docs, text, host, key)
-    lines, frequent = frequent_lines(keyed.select("__r_key", "__r_hash", "__r_host", "__r_text"), min_documents, max_share, max_root, by_context, max_removed)
+    lines = lines_of(keyed.select("__r_key", "__r_hash", "__r_host", "__r_text"))
+    frequent = frequent_lines(lines, max_documents, near_copy)
     removed = (
         lines.join(frequent, ["__r_host", "__r_lh"])
         .groupBy("__r_key", "__r_hash", "__r_host").agg(F.sort_array(F.collect_set(F.struct("__r_at", "__r_n"))).alias("__r_gone"))
@@ -209,11 +203,18 @@ WITH docs AS (
     FROM raw_lines
 ), dups AS (
     SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines FROM lines WHERE normal <> '' GROUP BY r
-), hosts AS (
-    SELECT host, count(DISTINCT text) AS n_all FROM docs GROUP BY host
+), recurring AS (
+    SELECT host, normal FROM lines WHERE normal <> '' GROUP BY host, normal HAVING count(DISTINCT text) > 10
+), shares AS (
+    SELECT host, text, sum(len(string_split(normal, ' '))) AS n, sum(len(string_split(normal, ' '))) FILTER (WHERE x.normal IS NOT NULL) AS lost,
+           min(('0x' || substr(md5(normal), 1, 15))::BIGINT) FILTER (WHERE x.normal IS NOT NULL) AS least
+    FROM lines l LEFT JOIN recurring x USING (host, normal) WHERE normal <> '' GROUP BY host, text, r
+), contexts AS (
+    SELECT DISTINCT host, text, CASE WHEN 100 * lost >= 80 * n THEN 'near ' || least ELSE 'own ' || text END AS context
+    FROM shares WHERE lost IS NOT NULL
 ), frequent AS (
-    SELECT host, normal FROM (SELECT host, normal, count(DISTINCT text) AS n FROM lines WHERE normal <> '' GROUP BY host, normal)
-    JOIN hosts USING (host) WHERE n > 10 AND n > 0.1 * n_all
+    SELECT host, normal FROM lines JOIN recurring USING (host, normal) JOIN contexts USING (host, text)
+    GROUP BY host, normal HAVING count(DISTINCT context) > 10
 ), gone AS (
     SELECT r, sum(len(string_split(normal, ' '))) AS n_removed FROM lines JOIN frequent USING (host, normal) GROUP BY r
 ), figures AS (
