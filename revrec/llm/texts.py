@@ -7,6 +7,7 @@ batch is encoded once, and the ids are gathered back. The ids are those of the w
 from __future__ import annotations
 
 import ctypes
+import gc
 import os
 import re
 from array import array
@@ -82,6 +83,24 @@ def give_back() -> None:
         _trim(0)
 
 
+Run = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def sparing(run: Run) -> Run:
+    """The same function of a partition's batches, without looking for cycles (there are none, and the many small
+    lists of tokens make that a tenth of the time), and with freed memory returned when it ends."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.disable()
+        try:
+            yield from run(batches)
+        finally:
+            gc.enable()
+            give_back()
+
+    return wrapped
+
+
 def whole(texts: pa.Array) -> pa.Array:
     """Texts as large strings, NULL as empty: offsets of a batch may pass 2 GB."""
     return pc.fill_null(texts.cast(pa.large_string()), "")
@@ -128,16 +147,18 @@ class PieceEncoder:
         return np.concatenate([[0], np.cumsum(lengths)]), np.asarray(flat.indices), flat.dictionary.to_pylist()
 
     def parts(self, distinct: list[str], index: np.ndarray) -> list[bytes]:
-        """Tokens of every distinct piece."""
-        known, recent = self.known, self.recent
-        new = [p for p in distinct if p not in known and p not in recent]
-        made = dict(zip(new, self.encode(new)))
-        met = {p: recent.pop(p) for p in distinct if p in recent}
-        out = [known[p] if p in known else met[p] if p in met else made[p] for p in distinct]
-        again = np.bincount(index, minlength=len(distinct)) > 1
-        met.update((p, made.pop(p)) for p, more in zip(distinct, again.tolist()) if more and p in made)
-        self.known = met if len(known) + len(met) > CACHE_PIECES else known | met
-        self.recent = made if len(recent) + len(made) > CACHE_PIECES else recent | made
+        """Tokens of every distinct piece. Kept are those that a batch holds twice, and of two batches all."""
+        out = list(map(self.known.get, distinct))
+        if self.recent:
+            out = [x if x is not None else self.recent.get(p) for p, x in zip(distinct, out)]
+        new = [i for i, x in enumerate(out) if x is None]
+        for i, x in zip(new, self.encode([distinct[i] for i in new])):
+            out[i] = x
+        again = (np.bincount(index, minlength=len(distinct)) > 1).tolist()
+        if len(self.known) > CACHE_PIECES:
+            self.known = {}
+        self.known.update((p, x) for p, x, more in zip(distinct, out, again) if more)
+        self.recent = {distinct[i]: out[i] for i in new[:CACHE_PIECES] if not again[i]}
         return out
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -235,20 +256,24 @@ def library_encoder(path: str) -> PieceEncoder:
         tokenizer.no_padding()
         words, merge = word_splitter(path), tokenizer.model.tokenize
 
-        def encode(pieces: list[str]) -> list[np.ndarray]:
-            out, merged = [], {}
+        def encode(pieces: list[str]) -> list[bytes]:
+            merged: dict[str, bytes] = {}
+
+            def of_word(w: str) -> bytes:
+                own = merged.get(w)
+                if own is None:
+                    own = merged[w] = array("I", [t.id for t in merge(w)]).tobytes()
+                return own
+
+            out = []
             for piece in pieces:
                 parts = words(piece)
                 if parts is None:
-                    ids = tokenizer.encode(piece, add_special_tokens=False).ids
+                    out.append(array("I", tokenizer.encode(piece, add_special_tokens=False).ids).tobytes())
+                elif len(parts) == 1:
+                    out.append(of_word(parts[0]))
                 else:
-                    ids = []
-                    for w in parts:
-                        own = merged.get(w)
-                        if own is None:
-                            own = merged[w] = [t.id for t in merge(w)]
-                        ids += own
-                out.append(array("I", ids).tobytes())
+                    out.append(b"".join(map(of_word, parts)))
             return out
 
         _encoders[key] = PieceEncoder(splitter(path), encode)

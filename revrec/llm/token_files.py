@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revrec.llm.texts import BATCH_BYTES, documents, library_encoder, slices, whole
+from revrec.llm.texts import documents, library_encoder, slices, small_batches, sparing, whole
 from revrec.sources.shared import materialise, new_path
 
 BLOCK, LANES = 256, 64
@@ -33,6 +33,12 @@ BLOCK, LANES = 256, 64
 PERCENTILE = 0.9
 #: Ids after which a task begins another file.
 FILE_IDS = 2 << 20
+#: Bytes of text that a worker holds as pieces at once; distinct pieces of larger slices are fewer.
+SLICE_BYTES = 16 << 20
+#: Rows of one doc_id that may stay in one range.
+SAME_ID = 1000
+#: Ids that a task reads back, in whole files.
+READ_IDS = 4 * FILE_IDS
 MAGIC = b"PFORIDS1"
 _HEAD = struct.Struct("<8sQQQQ")  # magic; numbers of documents, ids, words, exceptions
 
@@ -169,7 +175,7 @@ def write(docs: DataFrame, path: str, end_id: int, folder: str, file_ids: int =
 
         waiting = 0
         for batch in batches:
-            for part in slices(batch, most=min(BATCH_BYTES, 4 * file_ids)):
+            for part in slices(batch, most=min(SLICE_BYTES, 4 * file_ids)):
                 offsets, ids = coder.ids(whole(part.column("text")))
                 sizes = np.diff(offsets) + 1
                 ids = np.insert(ids, offsets[1:], end_id)
@@ -183,8 +189,12 @@ def write(docs: DataFrame, path: str, end_id: int, folder: str, file_ids: int =
 
     slim = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
-    ranged = slim.repartitionByRange(*order).sortWithinPartitions(*order, "text")
-    return materialise(ranged.mapInArrow(run, _FILES), "token-files")
+    # Ranges are drawn from a sample of the key. With the digest in it every text is read once more, so that is
+    # there only where one id has so many rows that they must be spread.
+    most = slim.groupBy("doc_id").count().agg(F.max("count")).first()[0] or 0
+    ranged = slim.repartitionByRange(*order[:1 + (most > SAME_ID)]).sortWithinPartitions(*order, "text")
+    with small_batches(docs.sparkSession, SLICE_BYTES):
+        return materialise(ranged.mapInArrow(sparing(run), _FILES), "token-files")
 
 
 def read(files: DataFrame) -> DataFrame:
@@ -214,8 +224,8 @@ def read(files: DataFrame) -> DataFrame:
                     ]
                     yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "start", "tokens"])
 
-    tasks = max(1, len(rows))
-    return placed.repartition(tasks, "path").mapInArrow(run, "doc_id bigint, start bigint, tokens binary")
+    tasks = max(1, -(-before[-1] // READ_IDS))
+    return placed.repartition(tasks, "path").mapInArrow(sparing(run), "doc_id bigint, start bigint, tokens binary")
 
 
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
