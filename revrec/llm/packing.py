@@ -1,11 +1,13 @@
 """Best-fit-decreasing packing of tokenised documents into sequences of a fixed capacity.
 
-Pieces are spread evenly over groups of bounded size; each group is packed by best-fit decreasing. A
+Pieces are spread evenly over groups of about 500 sequences; each group is packed by best-fit decreasing. A
 segment tree over the remaining capacities finds the tightest open sequence in logarithmic time per
 piece. A group's last sequences may stay open, one or two of hundreds, so grouping costs next to nothing.
+A task packs its groups one after the other, so its memory follows a group's size and not the table's.
 
 Rules: a NULL text is an empty one and holds the end id alone; repeated rows are packed as often as they
-stand there; a NULL length or one above the capacity is an error; an empty table gives no rows.
+stand there; a NULL length or one above the capacity is an error; an empty table gives no rows; columns
+named like the result's own (`sequence_id`, `offset`) are replaced.
 """
 
 from __future__ import annotations
@@ -16,16 +18,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revrec.llm.texts import documents, library_encoder, slices, whole
+from revrec.llm.texts import documents, library_encoder, slices, small_batches, sparing, whole
 from revrec.sources.shared import materialise
 
 CAPACITY = 4096
-#: Pieces that one task packs together.
-GROUP_ROWS = 8192
+#: Sequences' worth of tokens that are packed together, and pieces at most.
+GROUP_SEQUENCES, GROUP_ROWS = 512, 1 << 17
+#: Bytes of text that a worker holds as pieces at once.
+SLICE_BYTES = 8 << 20
 _PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 _BIN_BITS = 32
 
@@ -94,7 +97,7 @@ def pieces(docs: DataFrame, path: str, end_id: int, capacity: int = CAPACITY, wi
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = library_encoder(path)
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, most=SLICE_BYTES):
                 offsets, ids = coder.ids(whole(part.column("text")))
                 keys, out = part.column("doc_id").to_pylist(), []
                 for key, a, b in zip(keys, offsets[:-1].tolist(), offsets[1:].tolist()):
@@ -110,35 +113,50 @@ def pieces(docs: DataFrame, path: str, end_id: int, capacity: int = CAPACITY, wi
                 yield pa.RecordBatch.from_arrays(arrays, names[:len(arrays)])
 
     slim = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return slim.mapInArrow(run, _PIECES + (", ids array<int>" if with_ids else ""))
+    return slim.mapInArrow(sparing(run), _PIECES + (", ids array<int>" if with_ids else ""))
 
 
-def pack(lengths: DataFrame, length: str = "length", capacity: int = CAPACITY, group_rows: int = GROUP_ROWS) -> DataFrame:
+def pack(lengths: DataFrame, length: str = "length", capacity: int = CAPACITY, group_sequences: int = GROUP_SEQUENCES,
+         group_rows: int = GROUP_ROWS) -> DataFrame:
     """Adds `sequence_id` and `offset` to a written table of pieces.
 
     Rows are dealt out by their place in the table, so that a lost task is repeated with the same rows
     and no key can fill a group; only the columns given travel, so pass ids by a later join.
     """
-    groups = max(1, math.ceil(lengths.count() / group_rows))
+    lengths = lengths.drop("sequence_id", "offset")
+    rows, tokens = lengths.agg(F.count("*"), F.coalesce(F.sum(length), F.lit(0))).first()
+    groups = max(1, math.ceil(tokens / (capacity * group_sequences)), math.ceil(rows / group_rows))
     columns = [c for c in lengths.columns if c != length]
-    dealt = lengths.withColumn("_row", F.monotonically_increasing_id())
+    dealt = lengths.withColumn("__p_row", F.monotonically_increasing_id())
+    dealt = dealt.withColumn("__p_group", F.pmod(F.xxhash64("__p_row"), F.lit(groups)))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in lengths.schema)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = list(batches)
-        if not held:
-            return
+    def packed(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(held)
         sequences, offsets = best_fit(table.column(length).to_pylist(), capacity)
-        base = TaskContext.get().partitionId() << _BIN_BITS
-        out = table.drop_columns(["_row"])
+        base = table.column("__p_group")[0].as_py() << _BIN_BITS
+        out = table.drop_columns(["__p_row", "__p_group"])
         out = out.append_column("sequence_id", pa.array(np.array(sequences, np.int64) + base))
         yield from out.append_column("offset", pa.array(offsets, pa.int64())).to_batches()
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            group = np.asarray(batch.column("__p_group"))
+            cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(group)]
+            for a, b in zip(cuts, cuts[1:]):
+                if held and b > a and held[-1].column("__p_group")[0].as_py() != group[a]:
+                    yield from packed(held)
+                    held = []
+                if b > a:
+                    held.append(batch.slice(a, b - a))
+        if held:
+            yield from packed(held)
+
     return (
-        dealt.repartition(groups, "_row")
-        .sortWithinPartitions(F.col(length).desc(), *columns, "_row")
-        .mapInArrow(run, f"{schema}, sequence_id bigint, offset bigint")
+        dealt.repartition("__p_group")
+        .sortWithinPartitions("__p_group", F.col(length).desc(), *columns, "__p_row")
+        .mapInArrow(sparing(run), f"{schema}, sequence_id bigint, offset bigint")
     )
 
 
@@ -150,7 +168,9 @@ def sequences(packed: DataFrame) -> DataFrame:
 
 def pack_documents(docs: DataFrame, path: str, end_id: int = 1, capacity: int = CAPACITY) -> DataFrame:
     """Pieces of documents with their sequences. Tokens are made once: the pieces' table is written."""
-    return pack(materialise(pieces(docs, path, end_id, capacity), "pieces"), capacity=capacity)
+    with small_batches(docs.sparkSession, SLICE_BYTES):
+        made = materialise(pieces(docs, path, end_id, capacity), "pieces")
+    return pack(made, capacity=capacity)
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
