@@ -87,29 +87,39 @@ def _score_blocks(k: int):
     return score
 
 
-def _blocked_top_k(queries: DataFrame, items: DataFrame, k: int) -> DataFrame:
-    """Top k of (cell, query_id, embedding) against (cell, item_id, embedding) with the same cell.
-
-    Both sides carry `q_blocks` and `i_blocks`, the numbers of blocks that the cell is cut into.
-    """
+def _dealt(queries: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides by (cell, q_block, i_block), each sent once per block of the other."""
     first = F.lit(0).cast("long")
+    own = lambda df, id_col: [c for c in df.columns if c not in ("cell", "q_blocks", "i_blocks", id_col)]
     q = queries.select(
         "cell",
         F.pmod(F.xxhash64("query_id"), "q_blocks").alias("q_block"),
         F.explode(F.sequence(first, F.col("i_blocks") - 1)).alias("i_block"),
         "query_id",
-        "embedding",
+        *own(queries, "query_id"),
     )
     i = items.select(
         "cell",
         F.explode(F.sequence(first, F.col("q_blocks") - 1)).alias("q_block"),
         F.pmod(F.xxhash64("item_id"), "i_blocks").alias("i_block"),
         "item_id",
-        "embedding",
+        *own(items, "item_id"),
     )
+    return q, i
+
+
+def _blocked_top_k(queries: DataFrame, items: DataFrame, k: int) -> DataFrame:
+    """Top k of (cell, query_id, embedding) against (cell, item_id, embedding) with the same cell.
+
+    Both sides carry `q_blocks` and `i_blocks`, the numbers of blocks that the cell is cut into.
+    """
+    return _scored_top_k(*_dealt(queries, items), k)
+
+
+def _scored_top_k(q: DataFrame, i: DataFrame, k: int) -> DataFrame:
     schema = StructType([
-        StructField("query_id", queries.schema["query_id"].dataType),
-        StructField("item_id", items.schema["item_id"].dataType),
+        StructField("query_id", q.schema["query_id"].dataType),
+        StructField("item_id", i.schema["item_id"].dataType),
         StructField("score", DoubleType()),
     ])
     block = ["cell", "q_block", "i_block"]
@@ -123,12 +133,24 @@ def usable(vector: Column) -> Column:
     return F.coalesce((F.size(vector) > 0) & ~wrong, F.lit(False))
 
 
-def _named(df: DataFrame, id_col: str, name: str) -> DataFrame:
+def named_vectors(df: DataFrame, id_col: str, name: str) -> DataFrame:
     # New names for both columns, so that a table can be searched against itself.
     named = df.select(F.col(id_col).alias(name), F.col("embedding").alias("embedding"))
     return named.filter(F.col(name).isNotNull() & usable(F.col("embedding")))
 
 
+def by_length(df: DataFrame) -> DataFrame:
+    """One row: the length that most vectors have, the longer of equally many, and their number."""
+    sizes = df.groupBy(F.size("embedding").cast("long").alias("length")).agg(F.count("*").alias("rows"))
+    return sizes.orderBy(F.col("rows").desc(), F.col("length").desc()).limit(1)
+
+
+def one_length(df: DataFrame) -> DataFrame:
+    """The vectors of the length that most of them have."""
+    first = by_length(df).first()
+    return _of_length(df, F.lit(first["length"] if first else 0))
+
+
 def _of_length(df: DataFrame, length: Column) -> DataFrame:
     return df.filter(F.size("embedding") == length)
 
@@ -142,23 +164,20 @@ def top_k(queries: DataFrame, items: DataFrame, k: int = 10, query_id: str = "qu
     """Exact (query_id, item_id, score, rank) over (id, embedding) tables with unique ids.
 
     Rows without an id or with a NULL, empty or non-finite vector take no part, nor do vectors of
-    another length than the items' longest.
+    another length than most items have.
     """
-    q, i = _named(queries, query_id, "query_id"), _named(items, item_id, "item_id")
-    length = i.agg(F.max(F.size("embedding"))).scalar()
-    q, i = _of_length(q, length), _of_length(i, length)
-    rows = q.agg(F.count("*")).scalar()
+    side = lambda df, id_col, name: named_vectors(df, id_col, name).withColumn("cell", F.size("embedding").cast("long"))
+    q, i = side(queries, query_id, "query_id"), side(items, item_id, "item_id")
+    asked = q.groupBy("cell").agg(F.count("*").alias("_q"))
+    rows = by_length(i).select(F.col("length").alias("cell"), F.col("rows").alias("_i")).join(asked, "cell")
     if query_block is None:
         tasks = F.lit(queries.sparkSession.sparkContext.defaultParallelism)
-        q_blocks = F.greatest(_blocks(rows, QUERY_BLOCK), F.least(_blocks(rows, _SMALL_BLOCK), tasks))
+        q_blocks = F.greatest(_blocks(F.col("_q"), QUERY_BLOCK), F.least(_blocks(F.col("_q"), _SMALL_BLOCK), tasks))
     else:
-        q_blocks = _blocks(rows, query_block)
-    layout = {
-        "cell": F.lit(0),
-        "q_blocks": q_blocks,
-        "i_blocks": _blocks(i.agg(F.count("*")).scalar(), item_block),
-    }
-    return _blocked_top_k(q.withColumns(layout), i.withColumns(layout), k)
+        q_blocks = _blocks(F.col("_q"), query_block)
+    # Each side is counted once; the layout is one row, written so that both joins have it measured.
+    layout = materialise(rows.select("cell", q_blocks.alias("q_blocks"), _blocks(F.col("_i"), item_block).alias("i_blocks")), "layout")
+    return _blocked_top_k(q.join(layout, "cell"), i.join(layout, "cell"), k)
 
 
 @dataclass(frozen=True)
@@ -193,8 +212,7 @@ def cells_for(items: int) -> int:
 
 def build_index(items: DataFrame, cells: int | None = None, item_id: str = "item_id", seed: int = 0) -> CellIndex:
     """Index over k-means cells, by default as many as `cells_for` the items."""
-    named = _named(items, item_id, "item_id")
-    named = _of_length(named, named.agg(F.max(F.size("embedding"))).scalar())
+    named = one_length(named_vectors(items, item_id, "item_id"))
     count = named.count()
     if not count:
         return CellIndex([], [], materialise(named.select(F.lit(0).cast("long").alias("cell"), "item_id", "embedding"), "cells"))
@@ -203,8 +221,8 @@ def build_index(items: DataFrame, cells: int | None = None, item_id: str = "item
 
 
 def index_at(items: DataFrame, centres: list[list[float]], item_id: str = "item_id") -> CellIndex:
-    """Index over cells around given centres."""
-    named = _of_length(_named(items, item_id, "item_id"), F.lit(len(centres[0])))
+    """Index over cells around given centres; vectors of another length than theirs stay out."""
+    named = _of_length(named_vectors(items, item_id, "item_id"), F.lit(len(centres[0])))
     placed = materialise(nearest_cells(named, centres, 1).select("cell", "item_id", "embedding", "distance"), "cells")
     farthest = dict(placed.groupBy("cell").agg(F.max("distance")).collect())
     return CellIndex(centres, [farthest.get(c, -np.inf) for c in range(len(centres))], placed.drop("distance"))
@@ -276,14 +294,19 @@ def _promising_cells(df: DataFrame, index: CellIndex, probe: int) -> DataFrame:
     return _map_cells(df, index.centres, choose)
 
 
-def _search(probes: DataFrame, index: CellIndex, k: int, query_block: int, item_block: int) -> DataFrame:
-    """Top k over (query_id, embedding, cell) rows within their cells."""
+def search_layout(probes: DataFrame, items: DataFrame, query_block: int, item_block: int) -> tuple[DataFrame, DataFrame]:
+    """(query_id, ..., cell) and (item_id, ..., cell) rows dealt to blocks of the cells that both have."""
     # A popular cell is cut into more blocks. One row per cell, and the number of cells is given by
     # the index, whose centres every task holds anyway: small at any data size.
     q_sizes = probes.groupBy("cell").agg(_blocks(F.count("*"), query_block).alias("q_blocks"))
-    i_sizes = index.items.groupBy("cell").agg(_blocks(F.count("*"), item_block).alias("i_blocks"))
+    i_sizes = items.groupBy("cell").agg(_blocks(F.count("*"), item_block).alias("i_blocks"))
     layout = F.broadcast(q_sizes.join(i_sizes, "cell"))
-    return _blocked_top_k(probes.join(layout, "cell"), index.items.join(layout, "cell"), k)
+    return _dealt(probes.join(layout, "cell"), items.join(layout, "cell"))
+
+
+def _search(probes: DataFrame, index: CellIndex, k: int, query_block: int, item_block: int) -> DataFrame:
+    """Top k over (query_id, embedding, cell) rows within their cells."""
+    return _scored_top_k(*search_layout(probes, index.items, query_block, item_block), k)
 
 
 def approx_top_k(queries: DataFrame, index: CellIndex, k: int = 10, probe: int = 8, query_id: str = "query_id",
@@ -291,7 +314,7 @@ def approx_top_k(queries: DataFrame, index: CellIndex, k: int = 10, probe: int =
     """Top k among the items of the `probe` cells nearest to each query."""
     if not index.centres:
         return top_k(queries, index.items, k, query_id)
-    named = _of_length(_named(queries, query_id, "query_id"), F.lit(len(index.centres[0])))
+    named = _of_length(named_vectors(queries, query_id, "query_id"), F.lit(len(index.centres[0])))
     probes = nearest_cells(named, index.centres, probe).drop("distance")
     return _search(probes, index, k, query_block, item_block)
 
@@ -310,7 +333,7 @@ def pruned_top_k(queries: DataFrame, index: CellIndex, k: int = 10, probe: int =
     beat = materialise(
         first.groupBy("query_id").agg(F.count("*").alias("_n"), F.min("score").alias("_least")), "beat"
     )
-    named = _of_length(_named(queries, query_id, "query_id"), F.lit(len(index.centres[0])))
+    named = _of_length(named_vectors(queries, query_id, "query_id"), F.lit(len(index.centres[0])))
     open_queries = named.join(beat, "query_id", "left").withColumn(
         "threshold", F.when(F.col("_n") == k, F.col("_least")).otherwise(F.lit(float("-inf")))
     ).drop("_n", "_least")
@@ -340,7 +363,7 @@ def recall(approximate: DataFrame, exact: DataFrame) -> DataFrame:
 
 def pair_share(queries: DataFrame, index: CellIndex, probe: int, query_id: str = "query_id") -> DataFrame:
     """One row: the share of all (query, item) pairs that a search of `probe` cells scores."""
-    named = _named(queries, query_id, "query_id")
+    named = named_vectors(queries, query_id, "query_id")
     probed = nearest_cells(named, index.centres, probe).groupBy("cell").agg(F.count("*").alias("_q"))
     filled = index.items.groupBy("cell").agg(F.count("*").alias("_i"))
     everything = named.agg(F.count("*")).scalar().cast("double") * index.items.agg(F.count("*")).scalar()

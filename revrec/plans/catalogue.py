@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from revrec.functions.columns import product_url, retrieval_weight, shift_index
 from revrec.functions.vectors import concat_vectors, l2_normalise
-from revrec.operators import histograms, joins, keyed, metrics, negatives, ordering, retrieval, statistics, transformation, vocabulary
+from revrec.operators import compressed, histograms, joins, keyed, metrics, negatives, ordering, retrieval, statistics, transformation, vocabulary
 from revrec.plans import curate as curation
 from revrec.plans import ratings as rating_plans
 from revrec.plans import recommend as rec
@@ -654,6 +654,33 @@ def topk_approx_recall(spark, sf):
     return rounded(retrieval.recall(found, _top_k(spark, sf, 10)).withColumn("pair_share", share), "recall", "pair_share")
 
 
+_WORD = 0.125
+
+
+@query(with_(SCORES, f"""coded AS (SELECT vec_id, list_transform(CAST(embedding AS DOUBLE[]), lambda x: CASE WHEN x < 0 THEN -{_WORD} ELSE {_WORD} END) AS c
+  FROM embeddings),
+candidates AS (SELECT q.vec_id AS query_id, i.vec_id AS item_id FROM embeddings q, coded i
+  QUALIFY row_number() OVER (PARTITION BY q.vec_id ORDER BY round(list_inner_product(CAST(q.embedding AS DOUBLE[]), i.c), 6) DESC, i.vec_id) <= 60)""")
+       + """SELECT query_id, item_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, item_id) AS rank
+FROM candidates JOIN scores USING (query_id, item_id) QUALIFY rank <= 10""")
+def topk_compressed_fixed(spark, sf):
+    """Given codewords, so that SQL can follow: the signs of four components a part, around one centre at zero."""
+    vectors = testdata.vectors(spark, sf)
+    signs = [[_WORD if n >> k & 1 else -_WORD for k in range(4)] for n in range(16)]
+    index = compressed.compress_at(vectors, [[0.0] * 64], [signs] * 16, "vec_id")
+    return rounded(compressed.compressed_top_k(vectors, index, 10, 1, 60, "vec_id"), "score")
+
+
+@query()
+def topk_compressed(spark, sf):
+    """Learned codewords: recall at 10 of 100 re-ranked candidates, and the bytes read as a share of all vectors'."""
+    vectors = testdata.vectors(spark, sf)
+    index = compressed.compress(vectors, 4, item_id="vec_id")
+    found = compressed.compressed_top_k(vectors, index, 10, 4, 100, "vec_id")
+    share = compressed.bytes_share(index, vectors.count(), 100)
+    return retrieval.recall(found, _top_k(spark, sf, 10)).withColumn("bytes_share", F.lit(share))
+
+
 @query(with_(SCORES) + """SELECT query_id, item_id, score FROM scores
 QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, item_id) <= 3""")
 def score_pairs(spark, sf):
