@@ -166,6 +166,67 @@ def test_licence_edges(spark, odd, none, odd_rows):
     assert licences.scan(none).count() == 0
 
 
+def plain_matches(template, words, least):
+    """All matches (file start, template start, length) that go on neither to the left nor to the right."""
+    out = set()
+    for i in range(len(words)):
+        for j in range(len(template)):
+            n = 0
+            while i + n < len(words) and j + n < len(template) and words[i + n] == template[j + n]:
+                n += 1
+            if n >= least and (i == 0 or j == 0 or words[i - 1] != template[j - 1]):
+                out.add((i, j, n))
+    return sorted(out)
+
+
+def plain_best(segments, least, gap):
+    """Best (value, words) over all choices of chains, by trying every one."""
+    def go(k, last, value, covered):
+        best = (value, covered)
+        for i in range(k, len(segments)):
+            f, t, n = segments[i]
+            if last is None or last[0] + last[2] <= f:
+                best = max(best, go(i + 1, segments[i], value + n - least, covered + n))
+            if last is not None:
+                g, u, m = last
+                if g < f and u < t and g + m < f + n and u + m < t + n and f - g - m <= gap and t - u - m <= gap:
+                    gain = n - max(0, g + m - f, u + m - t)
+                    best = max(best, go(i + 1, segments[i], value + gain, covered + gain))
+        return best
+    return go(0, None, 0, 0)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from("abc"), min_size=2, max_size=9), min_size=1, max_size=4), st.lists(st.sampled_from("abcd"), max_size=14))
+def test_licence_chains_are_the_best_of_all(templates, words):
+    least, gap = 2, 2
+    own = licences.Scanner([], [" ".join(t) for t in templates], min_segment=least, max_gap=gap)
+    found = own.scan(" ".join(words).encode())
+    for k, template in enumerate(templates):
+        spans = [s for s in found.spans if s[0] == k]
+        assert (sum(s[1] - least for s in spans), sum(s[1] for s in spans)) == plain_best(plain_matches(template, words, least), least, gap)
+        assert all(a[3] <= b[2] for a, b in zip(spans, spans[1:])) and all(0 < s[1] <= s[3] - s[2] for s in spans)
+    # Winners share no word; every other span shares one with a winner that covers as much or more.
+    won = [s for s, w in zip(found.spans, found.wins) if w]
+    meets = lambda a, b: a[2] < b[3] and b[2] < a[3]
+    assert not any(meets(a, b) for i, a in enumerate(won) for b in won[:i])
+    assert all(w or any(meets(s, o) and o[1] >= s[1] for o in won) for s, w in zip(found.spans, found.wins))
+
+
+def test_licences_that_quote_each_other(spark):
+    by = dict(licences.TEMPLATES)
+    rows = [
+        (1, "This work is licensed under a Creative Commons Attribution ShareAlike 4.0"),
+        (2, by["isc"] + " own words" * 30 + " " + by["isc"]), (3, by["lgpl"]), (4, by["agpl"]),
+    ]
+    found = {r["doc_id"]: r for r in licences.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    spans = {(s["label"], s["wins"]) for s in found[1]["spans"]}
+    assert ("cc-by", False) in spans and ("cc-by-sa", True) in spans
+    assert [s["share"] for s in found[2]["spans"] if s["label"] == "isc"] == [1.0, 1.0]
+    for key, label in ((3, "lgpl"), (4, "agpl")):
+        assert {s["label"] for s in found[key]["spans"] if s["wins"] and s["share"] >= licences.MIN_COVER} == {label}
+
+
 def test_licence_texts_are_found_with_changes(spark):
     by = dict(licences.TEMPLATES)
     changed = by["bsd"].replace("source and binary", "SOURCE, and (binary)").replace("the following disclaimer", "this long other disclaimer", 1)
