@@ -1,27 +1,31 @@
-"""Interpolated modified Kneser-Ney model of word pairs, counted in Spark, scored from mapped arrays.
+"""Interpolated modified Kneser-Ney model of n-grams, counted in Spark, scored from mapped arrays.
 
 1. Words are counted per batch and summed by their 64-bit hash. The hashes are ranged, sorted and written
-   as arrays; a word's id is its place in them.
-2. Pairs are counted per batch as id1 * size + id2 and dealt to buckets by the first word, frequent
-   first words to several. A bucket merges the sorted runs, and writes its pairs and counts as arrays.
-   It passes on, per word, how many pairs begin with it (with count 1, 2, 3 and more) and end in it.
-3. These statistics are laid out by word id. Workers map all arrays and look up sorted batches of pairs.
-
-    p(w|h) = max(c(hw) - D(c), 0) / c(h.) + (D1 n1(h) + D2 n2(h) + D3 n3(h)) / c(h.) * p(w)
+   as arrays; a word's id is its place in them. A text is preceded by n - 1 begins and followed by an end.
+2. n-grams are counted per batch and dealt to buckets by their inner words (pairs by the first word), those
+   of frequent words to several. A bucket merges its runs and writes the n-grams' 64-bit hashes, sorted,
+   and counts as arrays. It passes on what it knows of grams one word shorter: how many n-grams end in one
+   (its count in the lower order), and of those that begin with it their number by count (1, 2, 3 and more)
+   and their sum. Such facts are dealt and merged in the same way, down to words.
+3. The facts on words are laid out by word id. Workers map all arrays and look up sorted batches of grams.
+
+    p(w|h) = max(c(hw) - D(c), 0) / c(h.) + (D1 n1(h) + D2 n2(h) + D3 n3(h)) / c(h.) * p(w|h')
     p(w) = max(t(w) - E(t), 0) / T + (E1 t1 + E2 t2 + E3 t3) / T / (V + 1)
 
-with t(w) the number of distinct words before w; a word not seen in training has the last term alone.
-Over the V words and the unknown one the probabilities of a history sum to 1.
+with h' the history less its first word, c the count in the highest order and in a lower one the number of
+distinct words before, t(w) the number of distinct words before w; D differ by order. A history not seen
+leaves p(w|h'); a word not seen in training has the last term alone. Over the V words and the unknown one
+the probabilities of a history sum to 1. Grams whose 64-bit hashes agree are taken for one.
 
 Rules: NULL text is empty and is the end alone; the fold of a NULL doc_id is that of an empty id; with
 no training text every word is unknown (p = 1) and the base divides by its smoothed total; repeated
-rows count and are scored as often as they stand there; extra columns are ignored.
+rows count and are scored as often as they stand there; extra columns are ignored; an order below 2 is an error.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,10 +36,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revrec.llm import arrays
-from revrec.llm.texts import documents, fold, slices, whole
+from revrec.llm.texts import documents, fold, slices, small_batches, whole
 from revrec.sources.shared import materialise, new_path
 
-#: Tokens for each bucket of pairs, on average, and buckets for each task that merges them.
+#: Words of a gram, its last word included.
+ORDER = 3
+#: Tokens for each bucket of grams, on average, and buckets for each task that merges them.
 BUCKET_TOKENS, TASK_BUCKETS = 1 << 20, 4
 SMOOTH = 0.5
 _END, _BEGIN = b"", b" "  # no word can be either
@@ -146,13 +152,39 @@ def write_vocabulary(counts: DataFrame, folder: str) -> Vocabulary:
     return Vocabulary(_written(ranged.mapInArrow(run, arrays.FILES)))
 
 
-def _buckets_of(first: np.ndarray, second: np.ndarray, counts: np.ndarray, buckets: int, share: float) -> np.ndarray:
-    """Bucket of each pair: by the first word; one that begins many pairs has several, by the second."""
-    spread = np.maximum(1, np.ceil(counts / share)).astype(np.uint64)
-    with np.errstate(over="ignore"):
-        salt = (second.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) % spread
-        mixed = (first.astype(np.uint64) + salt * np.uint64(0xD6E8FEB86659FD93)) * np.uint64(0x9E3779B97F4A7C15)
-    return ((mixed >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64)
+def gram_keys(columns: Sequence[np.ndarray]) -> np.ndarray:
+    """64-bit hash of each gram, given its words' ids column by column."""
+    keys = np.zeros(len(columns[0]), np.uint64)
+    for ids in columns:
+        keys ^= ids.astype(np.uint64) + np.uint64(1)
+        for factor in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93):
+            keys *= np.uint64(factor)
+            keys ^= keys >> np.uint64(32)
+    return keys
+
+
+@dataclass
+class Dealer:
+    """Deals grams to buckets, so that a bucket has about as many tokens on any input."""
+
+    words: Vocabulary
+    texts: int
+    buckets: int
+    share: float
+
+    def often(self, ids: np.ndarray) -> np.ndarray:
+        """Tokens of each word; the begin, whose id follows the last word's, stands before every text."""
+        begin = ids == self.words.size
+        return np.where(begin, self.texts, self.words.take("n", "<i8", np.where(begin, -1, ids)))
+
+    def __call__(self, columns: Sequence[np.ndarray]) -> np.ndarray:
+        """Bucket of each gram: by its inner words, so that what it tells of both its shorter grams meets
+        others that do. Where these are frequent, by one more word too."""
+        inner, other = (columns[1:-1], columns[0]) if len(columns) > 2 else (columns[:1], columns[1])
+        counts = np.min([self.often(c) for c in inner], axis=0)
+        spread = np.maximum(1, np.ceil(counts / self.share)).astype(np.uint64)
+        salt = (gram_keys([other]) >> np.uint64(33)) % spread
+        return ((gram_keys([*inner, salt]) >> np.uint64(33)) % np.uint64(self.buckets)).astype(np.int64)
 
 
 @dataclass
@@ -160,21 +192,16 @@ class Model:
     """What workers need: lists of files and a few numbers."""
 
     words: Vocabulary
+    dealer: Dealer
     stats: list[tuple]
-    pairs: dict[int, tuple]
-    buckets: int
-    share: float
+    grams: dict[tuple[int, int], tuple]  # by order and bucket: widths, rows, path
+    order: int
     tokens: int
-    texts: int
     types: int
-    discounts: tuple[float, float, float]
+    discounts: dict[int, tuple[float, float, float]]
     ends: tuple[float, float, float]
     rest: float
 
-    @property
-    def size(self) -> int:
-        return self.words.size + 1  # the last id is the begin of a text
-
 
 def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
     """Modified Kneser-Ney discounts from the numbers of counts 1 to 4; half where they can't be told."""
@@ -185,111 +212,161 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
     return tuple(min(max(d, 0.0), float(k)) for k, d in enumerate(own, 1))
 
 
-def _pairs(part: pa.RecordBatch, words: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Ends of the texts, index of each token, ids of the distinct ones, and id of each token's history."""
+def _windows(part: pa.RecordBatch, words: Vocabulary, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Ends of the texts, index of each token, ids of the distinct ones and of the begin, and for each token
+    the indexes of the words before it, farthest first, and its own."""
     ends, index, hashes = tokens(whole(part.column("text")))
-    ids = words.ids(hashes)
-    own = ids[index]
-    before = np.roll(own, 1)
-    starts = np.concatenate([[0], ends[:-1]])
-    before[starts] = words.size
-    return ends, index, ids, before
-
-
-def count_pairs(docs: DataFrame, words: Vocabulary, total: int, texts: int, folder: str) -> tuple[DataFrame, list[tuple], int, float]:
-    """Writes the pairs' arrays by bucket; gives the words' statistics, the files, and how pairs are dealt."""
-    size = words.size + 1
-    if size >= 3_000_000_000:
-        raise ValueError("pairs of this many words do not fit into 64 bits")
-    buckets = max(1, math.ceil(total / BUCKET_TOKENS))
-    share = max(1.0, total / buckets / 4)
+    ids = np.append(words.ids(hashes), words.size)
+    sizes = np.diff(ends, prepend=0)
+    place = np.arange(len(index)) - np.repeat(ends - sizes, sizes)
+    columns = [index]
+    for back in range(1, order):
+        earlier = np.roll(index, back)
+        earlier[place < back] = len(hashes)
+        columns.append(earlier)
+    return ends, index, ids, columns[::-1]
 
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch):
-                _, index, ids, before = _pairs(part, words)
-                keys, counts = np.unique(before * size + ids[index], return_counts=True)
-                first, second = np.divmod(keys, size)
-                often = np.where(first == size - 1, texts, words.take("n", "<i8", np.where(first == size - 1, -1, first)))
-                bucket = _buckets_of(first, second, often, buckets, share)
-                order = np.argsort(bucket, kind="stable")
-                cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-                rows = [(k, order[a:b]) for k, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())) if b > a]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([k for k, _ in rows], pa.int64()),
-                    pa.array([keys[o].astype("<i8").tobytes() for _, o in rows], pa.binary()),
-                    pa.array([counts[o].astype("<u4").tobytes() for _, o in rows], pa.binary()),
-                ], ["bucket", "keys", "counts"])
-
-    def merged(bucket: int, keys: list[bytes], counts: list[bytes]) -> Iterator[pa.RecordBatch]:
-        all_keys = np.frombuffer(b"".join(keys), "<i8")
-        own, at = np.unique(all_keys, return_inverse=True)
-        n = np.bincount(at, weights=np.frombuffer(b"".join(counts), "<u4")).astype("<i8")
-        listed = arrays.save(folder, bucket, {"key": own, "n": n})
-        first, second = np.divmod(own, size)
-        begins, at = np.unique(first, return_inverse=True)
-        by = [np.bincount(at, weights=w).astype(np.int64) for w in (n == 1, n == 2, n >= 3)]
-        after, times = np.unique(second, return_counts=True)
-        none_first, none_second = np.zeros(len(after), np.int64), np.zeros(len(begins), np.int64)
-        sides = [
-            [begins, *by, none_second, np.zeros(len(begins), np.int64)],
-            [after, none_first, none_first, none_first, times, none_first],
-        ]
-        spectrum = np.array([(n == k).sum() for k in (1, 2, 3, 4)], np.int64)
-        sides.append([np.arange(-4, 0), np.zeros(4, np.int64), np.zeros(4, np.int64), np.zeros(4, np.int64), np.zeros(4, np.int64), spectrum[::-1]])
-        for side in sides:
-            columns = [pa.array(np.asarray(v, np.int64)) for v in side]
-            empty = [pa.nulls(len(side[0]), t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.string())]
-            yield pa.RecordBatch.from_arrays(columns + empty, _STATS)
-        nulls = [pa.nulls(1, pa.int64())] * 6
-        yield pa.RecordBatch.from_arrays(nulls + list(listed.columns), _STATS)
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bucket, keys, counts = None, [], []
-        for batch in batches:
-            for b, k, c in zip(batch.column("bucket").to_pylist(), batch.column("keys").to_pylist(), batch.column("counts").to_pylist()):
-                if b != bucket and keys:
-                    yield from merged(bucket, keys, counts)
-                    keys, counts = [], []
-                bucket = b
-                keys.append(k)
-                counts.append(c)
-        if keys:
-            yield from merged(bucket, keys, counts)
 
-    runs = _hashes_of(docs).select("text").mapInArrow(emit, "bucket bigint, keys binary, counts binary")
-    dealt = runs.repartition(max(1, buckets // TASK_BUCKETS), "bucket").sortWithinPartitions("bucket")
-    kinds = "id bigint, n1 bigint, n2 bigint, n3 bigint, ended bigint, spectrum bigint, part bigint, low bigint, rows bigint, path string"
-    out = materialise(dealt.mapInArrow(merge, kinds), "pairs")
-    files = sorted(tuple(r) for r in out.filter("path IS NOT NULL").select("part", "low", "rows", "path").collect())
-    return out.filter("id IS NOT NULL"), files, buckets, share
+def _pack(values: np.ndarray) -> bytes:
+    """Values of at least 0 in the least width that holds them, after a byte that tells it."""
+    width = _width(values)
+    return bytes([width]) + values.astype(f"<u{width}").tobytes()
+
+
+def _unpack(blobs: list[bytes]) -> np.ndarray:
+    return np.concatenate([np.frombuffer(b, f"<u{b[0]}", offset=1).astype(np.int64) for b in blobs])
+
+
+def _width(values: np.ndarray) -> int:
+    most = int(values.max(initial=0))
+    return next(w for w in (1, 2, 4, 8) if most < 1 << 8 * w)
+
+
+#: What a bucket's arrays hold beside the hashes; the highest order has the count alone.
+_FACTS = ("count", "n1", "n2", "n3", "total")
+_SCHEMA = pa.schema(
+    [("bucket", pa.int64()), ("columns", pa.list_(pa.binary())), ("id", pa.int64())]
+    + [(n, pa.int64()) for n in (*_FACTS, "spectrum", "degree", "part", "low", "rows")] + [("path", pa.string())]
+)
+_KINDS = "bucket bigint, columns array<binary>, id bigint, " + ", ".join(
+    f"{n} bigint" for n in (*_FACTS, "spectrum", "degree", "part", "low", "rows")) + ", path string"
+
 
+def _rows(size: int, /, **columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(size, f.type) for f in _SCHEMA], schema=_SCHEMA)
 
-_STATS = ["id", "n1", "n2", "n3", "ended", "spectrum", "part", "low", "rows", "path"]
 
+def _runs(columns: Sequence[np.ndarray], facts: Sequence[np.ndarray], dealer: Dealer) -> pa.RecordBatch:
+    """One row per bucket with its grams' words and facts."""
+    bucket = dealer(columns)
+    order = np.argsort(bucket, kind="stable")
+    dealt = bucket[order]
+    starts = np.flatnonzero(np.diff(dealt, prepend=-1))
+    parts = [order[a:b] for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(order)])]
+    return _rows(len(parts), bucket=dealt[starts], columns=[[_pack(c[o]) for c in (*columns, *facts)] for o in parts])
 
-def train(docs: DataFrame) -> Model:
+
+def _summed(columns: Sequence[np.ndarray], facts: Sequence[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
+    """Hashes of the distinct grams in order, their words and the sums of their facts."""
+    keys, first, at = np.unique(gram_keys(columns), return_index=True, return_inverse=True)
+    # Sums of doubles are exact below 2^53.
+    return keys, [c[first] for c in columns], [np.bincount(at, weights=v, minlength=len(keys)).astype(np.int64) for v in facts]
+
+
+def count_grams(docs: DataFrame, dealer: Dealer, order: int, folder: str) -> DataFrame:
+    """Writes the grams' arrays by order and bucket; gives facts by word id, spectra and lists of the files."""
+    words = dealer.words
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                _, _, ids, columns = _windows(part, words, order)
+                keys, first, counts = np.unique(gram_keys([ids[c] for c in columns]), return_index=True, return_counts=True)
+                if len(keys):
+                    yield _runs([ids[c[first]] for c in columns], [counts], dealer)
+
+    def merged(degree: int, bucket: int, rows: list[list[bytes]]) -> Iterator[pa.RecordBatch]:
+        columns = [_unpack(list(blobs)) for blobs in zip(*rows)]
+        rows.clear()
+        keys, ids, facts = _summed(columns[:degree], columns[degree:])
+        del columns
+        widths = [_width(f) for f in facts]
+        held = {"key": keys.astype("<u8")} | {n: f.astype(f"<u{w}") for n, f, w in zip(_FACTS, facts, widths)}
+        listed = arrays.save(f"{folder}/{degree}", bucket, held)
+        # Rows that the next merge only hands on have a bucket below 0, spread over its tasks.
+        yield _rows(1, bucket=[-1 - bucket], degree=[degree], part=[bucket], low=[sum(w << 4 * k for k, w in enumerate(widths))],
+                    rows=[len(keys)], path=listed.column("path"))
+        count = facts[0]
+        yield _rows(4, bucket=[-1 - bucket] * 4, degree=[degree] * 4, low=[1, 2, 3, 4], spectrum=[int((count == k).sum()) for k in (1, 2, 3, 4)])
+        # A gram that was never counted itself (of begins alone) tells nothing of shorter ones.
+        seen = count > 0
+        ids, count = [c[seen] for c in ids], count[seen]
+        none, one = np.zeros(len(count), np.int64), np.ones(len(count), np.int64)
+        begins = [none, count == 1, count == 2, count >= 3, count]
+        lower = [np.concatenate(c) for c in zip(ids[:-1], ids[1:])]
+        about = [np.concatenate([b, e]) for b, e in zip(begins, [one, none, none, none, none])]
+        if not len(count):
+            return
+        _, shorter, sums = _summed(lower, about)
+        if degree > 2:
+            yield _runs(shorter, sums, dealer)
+        else:
+            yield _rows(len(shorter[0]), id=shorter[0], **dict(zip(_FACTS, sums)))
+
+    def merge(degree: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            bucket, rows = None, []
+            for batch in batches:
+                beside = pc.is_null(batch.column("columns"))
+                if pc.any(beside).as_py():
+                    yield batch.filter(beside).cast(_SCHEMA)
+                batch = batch.filter(pc.invert(beside))
+                for k, own in enumerate(batch.column("bucket").to_pylist()):
+                    if own != bucket and rows:
+                        yield from merged(degree, bucket, rows)
+                    bucket = own
+                    rows.append(batch.column("columns")[k].as_py())
+            if rows:
+                yield from merged(degree, bucket, rows)
+
+        return run
+
+    tasks = max(1, dealer.buckets // TASK_BUCKETS)
+    out = _hashes_of(docs).select("text").mapInArrow(emit, _KINDS)
+    for degree in range(order, 1, -1):
+        out = out.repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(merge(degree), _KINDS)
+    with small_batches(docs.sparkSession):
+        return materialise(out, "grams")
+
+
+def train(docs: DataFrame, order: int = ORDER) -> Model:
     """Counts all of `docs` and writes the model's arrays to the shared folder."""
+    if order < 2:
+        raise ValueError("a model needs an order of 2 at least")
     spark = docs.sparkSession
     counts = materialise(count_words(docs), "words")
     total = counts.agg(F.sum("n")).first()[0] or 0
     end = counts.filter(F.col("hash") == _hash(_END)).first()
-    texts = end["n"] if end else 0
     words = write_vocabulary(counts, new_path(spark, "vocabulary"))
-    raw, files, buckets, share = count_pairs(docs, words, total, texts, new_path(spark, "pairs"))
-    sums = [F.sum(c).alias(c) for c in ("n1", "n2", "n3", "ended", "spectrum")]
-    stats = materialise(raw.groupBy("id").agg(*sums), "statistics")
-    spectrum = {r["id"]: r["spectrum"] for r in stats.filter("id < 0").collect()}
-    ended = F.col("ended")
-    t = stats.filter("id >= 0").agg(
+    buckets = max(1, math.ceil(total / BUCKET_TOKENS))
+    dealer = Dealer(words, end["n"] if end else 0, buckets, max(1.0, total / buckets / 4))
+    raw = count_grams(docs, dealer, order, new_path(spark, "grams-by-bucket"))
+    files = raw.filter("path IS NOT NULL").select("degree", "part", "low", "rows", "path").collect()
+    seen = raw.filter("spectrum IS NOT NULL").groupBy("degree", "low").agg(F.sum("spectrum").alias("n")).collect()
+    spectrum = {(r["degree"], r["low"]): r["n"] for r in seen}
+    stats = materialise(raw.filter("id IS NOT NULL").groupBy("id").agg(*[F.sum(c).alias(c) for c in _FACTS]), "statistics")
+    ended = F.col("count")
+    t = stats.agg(
         F.sum(ended).alias("all"), *[F.sum((ended == k).cast("long")).alias(f"t{k}") for k in (1, 2, 3, 4)],
         F.sum((ended >= 3).cast("long")).alias("more"),
     ).first()
-    d = discounts(*[spectrum.get(-k, 0) for k in (1, 2, 3, 4)])
+    d = {k: discounts(*[spectrum.get((k, j), 0) for j in (1, 2, 3, 4)]) for k in range(2, order + 1)}
     e = discounts(*[t[f"t{k}"] or 0 for k in (1, 2, 3, 4)])
     rest = e[0] * (t["t1"] or 0) + e[1] * (t["t2"] or 0) + e[2] * (t["more"] or 0)
-    laid = _write_stats(stats.filter("id >= 0"), words, new_path(spark, "by-word"))
-    return Model(words, laid, {f[0]: f for f in files}, buckets, share, total, texts, t["all"] or 0, d, e, rest)
+    laid = _write_stats(stats, words, new_path(spark, "by-word"))
+    grams = {(f["degree"], f["part"]): (f["low"], f["rows"], f["path"]) for f in files}
+    return Model(words, dealer, laid, grams, order, total, t["all"] or 0, d, e, rest)
 
 
 def _write_stats(stats: DataFrame, words: Vocabulary, folder: str) -> list[tuple]:
@@ -302,13 +379,12 @@ def _write_stats(stats: DataFrame, words: Vocabulary, folder: str) -> list[tuple
     base = words.base
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ("n1", "n2", "n3", "ended")
-        owner, ids, *rest = arrays.columns(batches, "owner", "id", *names)
+        owner, ids, *rest = arrays.columns(batches, "owner", "id", *_FACTS)
         for k in np.unique(owner).tolist():
             own = owner == k
             size = spread[k + 1] - spread[k] if len(spread) > 1 else 1
             columns = {}
-            for name, values in zip(names, rest):
+            for name, values in zip(_FACTS, rest):
                 columns[name] = np.zeros(size, "<i8")
                 columns[name][ids[own] - base[k]] = values[own]
             yield arrays.save(folder, k, columns)
@@ -319,58 +395,69 @@ def _write_stats(stats: DataFrame, words: Vocabulary, folder: str) -> list[tuple
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, n_tokens, n_known, base_score, score): base 10 logarithms of whole texts."""
-    size = model.size
     files = {f[0]: f for f in model.stats}
 
-    def by_id(name: str, ids: np.ndarray) -> np.ndarray:
-        """A statistic of each id; the begin stands behind the last word."""
-        out, words = np.zeros(len(ids), "<i8"), model.words
+    def by_id(names: Sequence[str], ids: np.ndarray) -> list[np.ndarray]:
+        """Facts on each word, 0 where the id is -1; the begin stands behind the last word."""
+        out, words = [np.zeros(len(ids), np.int64) for _ in names], model.words
         at = np.minimum(np.searchsorted(words.base, ids, "right") - 1, max(0, len(words.files) - 1))
         for k in np.unique(at[ids >= 0]).tolist():
             if k in files:
                 own = np.flatnonzero((at == k) & (ids >= 0))
-                out[own] = _map(files[k][3], name, "<i8", files[k][2])[ids[own] - words.base[k]]
+                for values, name in zip(out, names):
+                    values[own] = _map(files[k][3], name, "<i8", files[k][2])[ids[own] - words.base[k]]
         return out
 
-    def pair_counts(keys: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.ndarray:
-        often = np.where(first == size - 1, model.texts, model.words.take("n", "<i8", np.where(first == size - 1, -1, first)))
-        bucket = _buckets_of(first, second, often, model.buckets, model.share)
-        out = np.zeros(len(keys), np.int64)
-        order = np.argsort(bucket, kind="stable")  # keys stay sorted within a bucket
-        cuts = np.searchsorted(bucket[order], np.arange(model.buckets + 1))
-        for k, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
-            if b > a and k in model.pairs:
-                _, _, rows, path = model.pairs[k]
-                held, n = _map(path, "key", "<i8", rows), _map(path, "n", "<i8", rows)
-                own = order[a:b]
-                place = np.minimum(np.searchsorted(held, keys[own]), rows - 1)
-                out[own] = np.where(held[place] == keys[own], n[place], 0)
+    def facts(names: Sequence[str], columns: Sequence[np.ndarray]) -> list[np.ndarray]:
+        """Facts on distinct grams of known words, 0 where a gram was not seen."""
+        if len(columns) == 1:
+            return by_id(names, columns[0])
+        keys, bucket = gram_keys(columns), model.dealer(columns)
+        out = [np.zeros(len(keys), np.int64) for _ in names]
+        order = np.lexsort((keys, bucket))
+        dealt = bucket[order]
+        starts = np.flatnonzero(np.diff(dealt, prepend=-1))
+        for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(order)]):
+            listed = model.grams.get((len(columns), int(dealt[a])))
+            if listed is None:
+                continue
+            low, rows, path = listed
+            held, own = _map(path, "key", "<u8", rows), order[a:b]
+            place = np.minimum(np.searchsorted(held, keys[own]), rows - 1)
+            found = held[place] == keys[own]
+            for values, name in zip(out, names):
+                width = low >> 4 * _FACTS.index(name) & 15
+                values[own] = np.where(found, _map(path, name, f"<u{width}", rows)[place], 0)
         return out
 
+    def of_places(names: Sequence[str], columns: Sequence[np.ndarray]) -> list[np.ndarray]:
+        """Facts on the gram of each place; every distinct one is looked up once."""
+        _, first, at = np.unique(gram_keys(columns), return_index=True, return_inverse=True)
+        return [values[at] for values in facts(names, [c[first] for c in columns])]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
                 yield _scored(part)
 
     def _scored(part: pa.RecordBatch) -> pa.RecordBatch:
-        ends, index, ids, before = _pairs(part, model.words)
-        counts = model.words.take("n", "<i8", ids)
+        ends, index, ids, windows = _windows(part, model.words, model.order)
+        counts = model.words.take("n", "<i8", ids[:-1])
         base = np.log10((counts + SMOOTH) / (model.tokens + SMOOTH * (model.words.size + 1)))
-        lower = _lower(by_id("ended", ids), model)
-        here = ids[index]
-        logs = np.log10(lower)[index]
-        known = np.flatnonzero(before >= 0)
-        keys, at = np.unique(before[known] * (size + 1) + here[known] + 1, return_inverse=True)
-        first, second = np.divmod(keys, size + 1)
-        second -= 1
-        c = np.where(second >= 0, pair_counts(first * size + np.maximum(second, 0), first, np.maximum(second, 0)), 0)
-        total = np.where(first == size - 1, model.texts, model.words.take("n", "<i8", np.where(first == size - 1, -1, first)))
-        d1, d2, d3 = model.discounts
-        held = d1 * by_id("n1", first) + d2 * by_id("n2", first) + d3 * by_id("n3", first)
-        value = _lower(by_id("ended", second), model)
-        cut = np.select([c == 0, c == 1, c == 2], [0.0, d1, d2], d3)
-        p = np.where(total > 0, (c - cut + held * value) / np.maximum(total, 1), value)
-        logs[known] = np.log10(p)[at]
+        p = _lower(by_id(["count"], ids[:-1])[0], model)[index]
+        # Places whose history is known so far back; it is longer by a word with every order.
+        known = np.arange(len(index))
+        for degree in range(2, model.order + 1):
+            known = known[ids[windows[-degree][known]] >= 0]
+            own = [ids[w[known]] for w in windows[-degree:]]
+            n1, n2, n3, total = of_places(_FACTS[1:], own[:-1])
+            c, real = np.zeros(len(known), np.int64), np.flatnonzero(own[-1] >= 0)
+            c[real] = of_places(["count"], [o[real] for o in own])[0]
+            d1, d2, d3 = model.discounts[degree]
+            cut = np.select([c == 0, c == 1, c == 2], [0.0, d1, d2], d3)
+            lower = p[known]
+            p[known] = np.where(total > 0, (c - cut + (d1 * n1 + d2 * n2 + d3 * n3) * lower) / np.maximum(total, 1), lower)
+        logs = np.log10(p)
         starts = np.concatenate([[0], ends[:-1]])
         some = len(ends) > 0
 

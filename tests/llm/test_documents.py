@@ -355,37 +355,39 @@ def test_components_of_a_long_chain(spark):
 
 # ---------------------------------------------------------------- language model
 
-def plain_model(rows):
+def plain_model(rows, order=3):
     words = lambda t: re.findall("[^\x20\x09-\x0d]+", t.translate(ASCII_LOWER)) + [""]
+    begins = (" ",) * (order - 1)
+    windows = lambda own: list(zip(*[[*begins, *own][k:] for k in range(order)]))
     train = [words(t) for k, t in rows if zlib.crc32(("" if k is None else str(k)).encode()) % 5 != 1]
-    counts, pairs, total = Counter(w for t in train for w in t), Counter(), Counter()
-    for t in train:
-        for h, w in zip([" ", *t], t):
-            pairs[h, w] += 1
-            total[h] += 1
-    ended = Counter(w for _, w in pairs)
-    spectrum, lower = Counter(pairs.values()), Counter(ended.values())
-    d = language_model.discounts(*[spectrum[k] for k in (1, 2, 3, 4)])
-    e = language_model.discounts(*[lower[k] for k in (1, 2, 3, 4)])
-    begins: dict = {}
-    for (h, _), n in pairs.items():
-        begins.setdefault(h, [0, 0, 0])[min(n, 3) - 1] += 1
-    n, v, types = sum(counts.values()), len(counts), len(pairs)
-    rest = sum(e[min(c, 3) - 1] for c in ended.values())
-    cut = lambda c, by: c - (by[min(c, 3) - 1] if c else 0)
-
-    def p1(w):
-        return (cut(ended[w], e) + rest / (v + 1)) / types if types else 1.0
-
-    def p(h, w):
-        if not total[h]:
-            return p1(w)
-        return (cut(pairs[h, w], d) + sum(x * b for x, b in zip(d, begins[h])) * p1(w)) / total[h]
+    counts = Counter(w for t in train for w in t)
+    # Counts of grams by order: as they stand in the highest, by distinct words before in the others.
+    grams = {order: Counter(g for t in train for g in windows(t))}
+    for k in range(order, 1, -1):
+        grams[k - 1] = Counter(g[1:] for g in grams[k])
+    cuts = {k: language_model.discounts(*[Counter(g.values())[j] for j in (1, 2, 3, 4)]) for k, g in grams.items()}
+    after: dict = {}
+    for g in grams.values():
+        for gram, c in g.items():
+            after.setdefault(gram[:-1], []).append(c)
+    n, v = sum(counts.values()), len(counts)
+    cut = lambda c, by: by[min(c, 3) - 1] if c else 0
+
+    def p(history, w):
+        k = len(history) + 1
+        own = after.get(history, [])
+        if not history and not own:
+            return 1.0
+        shorter = p(history[1:], w) if history else 1 / (v + 1)
+        if not own:
+            return shorter
+        c = grams[k][(*history, w)]
+        return (c - cut(c, cuts[k]) + sum(cut(x, cuts[k]) for x in own) * shorter) / sum(own)
 
     def scored(text):
         own = words(text)
         base = sum(math.log10((counts[w] + 0.5) / (n + 0.5 * (v + 1))) for w in own)
-        return len(own), sum(w in counts for w in own), base, sum(math.log10(p(h, w)) for h, w in zip([" ", *own], own))
+        return len(own), sum(w in counts for w in own), base, sum(math.log10(p(g[:-1], g[-1])) for g in windows(own))
 
     return n, counts, p, scored
 
@@ -411,11 +413,12 @@ def test_model_beats_the_base_on_held_out_texts(spark):
     assert sum(r["score"] for r in held) > 0.9 * sum(r["base_score"] for r in held)
 
 
-def test_model_edges(spark, odd, none, odd_rows, monkeypatch):
+@pytest.mark.parametrize("order", [2, 3, 5])
+def test_model_edges(spark, odd, none, odd_rows, monkeypatch, order):
     monkeypatch.setattr(language_model, "BUCKET_TOKENS", 500)  # many buckets, frequent words in several
     trained = [(k, t) for k, t in odd_rows if zlib.crc32(("" if k is None else str(k)).encode()) % 5 != 1]
-    model = language_model.train(odd.filter(~language_model.held_out(F.col("doc_id"))))
-    n, _, _, scored = plain_model(odd_rows)
+    model = language_model.train(odd.filter(~language_model.held_out(F.col("doc_id"))), order)
+    n, _, _, scored = plain_model(odd_rows, order)
     assert model.tokens == n and trained
     rows = language_model.score(odd, model).collect()
     same_scores([tuple(r) for r in rows], [(k, *scored(t)) for k, t in odd_rows])
@@ -429,7 +432,8 @@ def test_nothing_learnt(odd, none):
 
 def test_probabilities_sum_to_one(small_rows):
     _, counts, p, _ = plain_model(small_rows[:30])
-    for h in [" ", *list(counts)[:5], "neverseen"]:
+    some = [" ", *list(counts)[:3], "neverseen"]
+    for h in [(a, b) for a in some for b in some]:
         assert sum(p(h, w) for w in counts) + p(h, "neverseen") == pytest.approx(1)
 
 
