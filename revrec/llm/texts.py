@@ -102,8 +102,20 @@ def sparing(run: Run) -> Run:
 
 
 def whole(texts: pa.Array) -> pa.Array:
-    """Texts as large strings, NULL as empty: offsets of a batch may pass 2 GB."""
-    return pc.fill_null(texts.cast(pa.large_string()), "")
+    """Texts as large strings, NULL as empty: offsets of a batch may pass 2 GB.
+
+    A part of a batch gets offsets and bytes of its own: some kernels (`ascii_lower`) take an array
+    without an offset for one that begins with its buffer, and give other texts.
+    """
+    out = pc.fill_null(texts.cast(pa.large_string()), "")
+    if not len(out):
+        return out
+    _, offsets, data = out.buffers()
+    ends = np.frombuffer(offsets, np.int64)[out.offset:out.offset + len(out) + 1]
+    if data is None or (out.offset == 0 and ends[0] == 0):
+        return out
+    own = data.slice(int(ends[0]), int(ends[-1] - ends[0]))
+    return pa.LargeStringArray.from_buffers(len(out), pa.py_buffer(ends - ends[0]), own)
 
 
 def word_pieces(texts: pa.Array) -> pa.Array:

@@ -7,13 +7,14 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from revrec.llm import language_model, licences, quality_model, quality_rules, simhash
+from revrec.llm import language_model, licences, quality_model, quality_rules, simhash, texts
 
 SF = "/root/testdata/sf0.001"
 ASCII_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -425,6 +426,32 @@ def test_model_edges(spark, odd, none, odd_rows, monkeypatch, order):
     assert language_model.score(none, model).count() == 0
 
 
+@pytest.mark.parametrize("kind", [pa.string(), pa.large_string()])
+def test_parts_of_a_batch_are_whole(kind):
+    """Every part gives its own words, wherever it begins; all but the first once lost theirs."""
+    rows = [f"Text {i} OF Words{i % 7}" for i in range(40)]
+    for held in (rows, [None, *rows], [*rows, "", None]):
+        batch = pa.record_batch([pa.array(held, kind)], ["text"])
+        for first in range(len(held)):
+            part = batch.slice(first, 9).column("text")
+            want = [t or "" for t in held[first:first + 9]]
+            assert texts.whole(part).to_pylist() == want
+            ends, index, hashes = language_model.tokens(texts.whole(part))
+            words = [language_model._hash(w.encode()) for t in want for w in [*t.lower().split(), ""]]
+            assert hashes[index].tolist() == words and ends.tolist() == np.cumsum([len(t.split()) + 1 for t in want]).tolist()
+
+
+def test_scores_of_many_slices_in_a_batch(spark):
+    """Texts of 20 MB in one batch, several slices of it: the same scores as in any other order."""
+    rows = [(i, " ".join(f"W{(i * 7919 + k * k) % 5003}" for k in range(200_000))) for i in range(18)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    model = language_model.train(docs, 2)
+    assert model.tokens == 18 * 200_001 and model.words.size == len({w.lower() for _, t in rows for w in t.split()}) + 1
+    scores = [sorted(map(tuple, language_model.score(d, model).collect())) for d in (docs, docs.repartition(9))]
+    assert all(r[1:3] == (200_001, 200_001) for r in scores[0])
+    assert [r[3:] for r in scores[0]] == [pytest.approx(r[3:], rel=1e-9) for r in scores[1]]
+
+
 def test_nothing_learnt(odd, none):
     rows = language_model.score(odd, language_model.train(none)).collect()
     assert all(r["score"] == 0 and r["n_known"] == 0 and r["base_score"] == 0 for r in rows)
