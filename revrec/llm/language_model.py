@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from revrec.llm import arrays
 from revrec.llm.texts import documents, fold, slices, small_batches, whole
-from revrec.sources.shared import materialise, new_path
+from revrec.sources.shared import drop, materialise, new_path
 
 #: Words of a gram, its last word included.
 ORDER = 3
@@ -227,14 +227,23 @@ def _windows(part: pa.RecordBatch, words: Vocabulary, order: int) -> tuple[np.nd
     return ends, index, ids, columns[::-1]
 
 
+_ZSTD = pa.Codec("zstd", 1)
+
+
 def _pack(values: np.ndarray) -> bytes:
-    """Values of at least 0 in the least width that holds them, after a byte that tells it."""
+    """Values of at least 0, byte by byte of the least width that holds them, compressed; behind the width and their number."""
     width = _width(values)
-    return bytes([width]) + values.astype(f"<u{width}").tobytes()
+    planes = np.ascontiguousarray(values.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T)
+    return bytes([width]) + len(values).to_bytes(8, "little") + _ZSTD.compress(planes.tobytes(), asbytes=True)
 
 
 def _unpack(blobs: list[bytes]) -> np.ndarray:
-    return np.concatenate([np.frombuffer(b, f"<u{b[0]}", offset=1).astype(np.int64) for b in blobs])
+    out = []
+    for blob in blobs:
+        width, size = blob[0], int.from_bytes(blob[1:9], "little")
+        planes = np.frombuffer(_ZSTD.decompress(blob[9:], width * size, asbytes=True), np.uint8).reshape(width, size)
+        out.append(np.ascontiguousarray(planes.T).view(f"<u{width}").ravel().astype(np.int64))
+    return np.concatenate(out)
 
 
 def _width(values: np.ndarray) -> int:
@@ -258,9 +267,9 @@ def _rows(size: int, /, **columns) -> pa.RecordBatch:
 
 
 def _runs(columns: Sequence[np.ndarray], facts: Sequence[np.ndarray], dealer: Dealer) -> pa.RecordBatch:
-    """One row per bucket with its grams' words and facts."""
+    """One row per bucket with its grams' words and facts, in order of their inner word, which packs it best."""
     bucket = dealer(columns)
-    order = np.argsort(bucket, kind="stable")
+    order = np.lexsort((columns[(len(columns) - 1) // 2], bucket))
     dealt = bucket[order]
     starts = np.flatnonzero(np.diff(dealt, prepend=-1))
     parts = [order[a:b] for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(order)])]
@@ -274,6 +283,17 @@ def _summed(columns: Sequence[np.ndarray], facts: Sequence[np.ndarray]) -> tuple
     return keys, [c[first] for c in columns], [np.bincount(at, weights=v, minlength=len(keys)).astype(np.int64) for v in facts]
 
 
+def _saved(folder: str, part: int, facts: dict[str, np.ndarray], others: dict[str, np.ndarray] | None = None) -> pa.RecordBatch:
+    """Writes facts in the least width each; the row that lists the file tells the widths, four bits each."""
+    widths = {n: _width(v) for n, v in facts.items()}
+    held = {n: v.astype(f"<u{widths[n]}") for n, v in facts.items()}
+    return arrays.save(folder, part, (others or {}) | held, sum(w << 4 * _FACTS.index(n) for n, w in widths.items()))
+
+
+def _fact(path: str, name: str, low: int, rows: int) -> np.ndarray:
+    return _map(path, name, f"<u{low >> 4 * _FACTS.index(name) & 15}", rows)
+
+
 def count_grams(docs: DataFrame, dealer: Dealer, order: int, folder: str) -> DataFrame:
     """Writes the grams' arrays by order and bucket; gives facts by word id, spectra and lists of the files."""
     words = dealer.words
@@ -291,11 +311,9 @@ def count_grams(docs: DataFrame, dealer: Dealer, order: int, folder: str) -> Dat
         rows.clear()
         keys, ids, facts = _summed(columns[:degree], columns[degree:])
         del columns
-        widths = [_width(f) for f in facts]
-        held = {"key": keys.astype("<u8")} | {n: f.astype(f"<u{w}") for n, f, w in zip(_FACTS, facts, widths)}
-        listed = arrays.save(f"{folder}/{degree}", bucket, held)
+        listed = _saved(f"{folder}/{degree}", bucket, dict(zip(_FACTS, facts)), {"key": keys.astype("<u8")})
         # Rows that the next merge only hands on have a bucket below 0, spread over its tasks.
-        yield _rows(1, bucket=[-1 - bucket], degree=[degree], part=[bucket], low=[sum(w << 4 * k for k, w in enumerate(widths))],
+        yield _rows(1, bucket=[-1 - bucket], degree=[degree], part=[bucket], low=listed.column("low"),
                     rows=[len(keys)], path=listed.column("path"))
         count = facts[0]
         yield _rows(4, bucket=[-1 - bucket] * 4, degree=[degree] * 4, low=[1, 2, 3, 4], spectrum=[int((count == k).sum()) for k in (1, 2, 3, 4)])
@@ -349,6 +367,7 @@ def train(docs: DataFrame, order: int = ORDER) -> Model:
     total = counts.agg(F.sum("n")).first()[0] or 0
     end = counts.filter(F.col("hash") == _hash(_END)).first()
     words = write_vocabulary(counts, new_path(spark, "vocabulary"))
+    drop(counts)
     buckets = max(1, math.ceil(total / BUCKET_TOKENS))
     dealer = Dealer(words, end["n"] if end else 0, buckets, max(1.0, total / buckets / 4))
     raw = count_grams(docs, dealer, order, new_path(spark, "grams-by-bucket"))
@@ -356,6 +375,7 @@ def train(docs: DataFrame, order: int = ORDER) -> Model:
     seen = raw.filter("spectrum IS NOT NULL").groupBy("degree", "low").agg(F.sum("spectrum").alias("n")).collect()
     spectrum = {(r["degree"], r["low"]): r["n"] for r in seen}
     stats = materialise(raw.filter("id IS NOT NULL").groupBy("id").agg(*[F.sum(c).alias(c) for c in _FACTS]), "statistics")
+    drop(raw)
     ended = F.col("count")
     t = stats.agg(
         F.sum(ended).alias("all"), *[F.sum((ended == k).cast("long")).alias(f"t{k}") for k in (1, 2, 3, 4)],
@@ -365,6 +385,7 @@ def train(docs: DataFrame, order: int = ORDER) -> Model:
     e = discounts(*[t[f"t{k}"] or 0 for k in (1, 2, 3, 4)])
     rest = e[0] * (t["t1"] or 0) + e[1] * (t["t2"] or 0) + e[2] * (t["more"] or 0)
     laid = _write_stats(stats, words, new_path(spark, "by-word"))
+    drop(stats)
     grams = {(f["degree"], f["part"]): (f["low"], f["rows"], f["path"]) for f in files}
     return Model(words, dealer, laid, grams, order, total, t["all"] or 0, d, e, rest)
 
@@ -387,7 +408,7 @@ def _write_stats(stats: DataFrame, words: Vocabulary, folder: str) -> list[tuple
             for name, values in zip(_FACTS, rest):
                 columns[name] = np.zeros(size, "<i8")
                 columns[name][ids[own] - base[k]] = values[own]
-            yield arrays.save(folder, k, columns)
+            yield _saved(folder, k, columns)
 
     placed = stats.withColumn("owner", part.cast("bigint")).repartition(tasks, "owner")
     return _written(placed.mapInArrow(run, arrays.FILES))
@@ -405,7 +426,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             if k in files:
                 own = np.flatnonzero((at == k) & (ids >= 0))
                 for values, name in zip(out, names):
-                    values[own] = _map(files[k][3], name, "<i8", files[k][2])[ids[own] - words.base[k]]
+                    values[own] = _fact(files[k][3], name, files[k][1], files[k][2])[ids[own] - words.base[k]]
         return out
 
     def facts(names: Sequence[str], columns: Sequence[np.ndarray]) -> list[np.ndarray]:
@@ -426,8 +447,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             place = np.minimum(np.searchsorted(held, keys[own]), rows - 1)
             found = held[place] == keys[own]
             for values, name in zip(out, names):
-                width = low >> 4 * _FACTS.index(name) & 15
-                values[own] = np.where(found, _map(path, name, f"<u{width}", rows)[place], 0)
+                values[own] = np.where(found, _fact(path, name, low, rows)[place], 0)
         return out
 
     def of_places(names: Sequence[str], columns: Sequence[np.ndarray]) -> list[np.ndarray]:
