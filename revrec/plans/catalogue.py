@@ -250,6 +250,17 @@ def latest_reviews(spark, sf):
     return _latest_reviews(spark, sf)
 
 
+@query(with_(LATEST) + "SELECT * FROM latest")
+def latest_reviews_merged(spark, sf):
+    """All revisions in three batches, of which the later ones hold older revisions too."""
+    revisions = testdata.revisions(spark, sf)
+    state = curation.review_state(new_path(spark, "review-state"), testdata.TIEBREAK)
+    for batch in range(3):
+        own = revisions.filter(F.pmod(F.xxhash64("uuid", "updated_at"), F.lit(3)) == batch)
+        curation.merge_revisions(state, own, testdata.FIRST_DAY, testdata.LAST_DAY)
+    return curation.current_reviews(spark, state)
+
+
 @query(with_(PRODUCTS) + "SELECT * FROM products")
 def latest_products(spark, sf):
     return curation.latest_products(testdata.product_docs(spark, sf), testdata.DEPARTMENTS)

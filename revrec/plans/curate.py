@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revrec.functions.columns import date_between, product_key, pseudonym, split_label
 from revrec.operators.joins import attach_products
 from revrec.operators.keyed import distinct_keys, explode_variants, extract_dimension, having_isin, latest_per_key
+from revrec.operators.latest_state import LatestState
 from revrec.operators.ordering import rank_within, shuffle_rows, top_n
 from revrec.schemas import (
     CUSTOMER_ID,
@@ -58,11 +59,20 @@ def latest_reviews(revisions: DataFrame, first_day: str = FIRST_DAY, last_day: s
     The filters come before the choice: a review whose newest revision was rejected lives on in an
     older accepted one.
     """
+    wanted = _accepted_revisions(revisions, first_day, last_day, accepted, tiebreak)
+    return _as_reviews(latest_per_key(wanted, ["uuid"], "updated_at", tiebreak))
+
+
+def _accepted_revisions(revisions: DataFrame, first_day: str, last_day: str, accepted: int, tiebreak: Sequence[str]) -> DataFrame:
     wanted = revisions.filter(
         (F.col("moderation_state_id") == accepted) & date_between("updated_at", first_day, last_day)
     )
     columns = ["uuid", "customer_id", "tsin_id", "rating", "body", "updated_at", *tiebreak]
-    return latest_per_key(wanted.select(*dict.fromkeys(columns)), ["uuid"], "updated_at", tiebreak).select(
+    return wanted.select(*dict.fromkeys(columns))
+
+
+def _as_reviews(latest: DataFrame) -> DataFrame:
+    return latest.select(
         F.col("uuid").alias(REVIEW_ID),
         F.col("rating").alias(REVIEW_RATING),
         F.col("body").alias(REVIEW_TEXT),
@@ -72,6 +82,25 @@ def latest_reviews(revisions: DataFrame, first_day: str = FIRST_DAY, last_day: s
     )
 
 
+def review_state(base: str, tiebreak: Sequence[str] = (), buckets: int = 64) -> LatestState:
+    """A kept-up state of the newest accepted revisions, for `merge_revisions` and `current_reviews`."""
+    return LatestState(base, ("uuid",), "updated_at", tuple(tiebreak), buckets)
+
+
+def merge_revisions(state: LatestState, revisions: DataFrame, first_day: str = FIRST_DAY, last_day: str = LAST_DAY,
+                    accepted: int = ACCEPTED) -> int:
+    """Takes a batch of revisions into the state without reading earlier ones again.
+
+    Rejected revisions never enter, so they do not displace an accepted one, whichever came first.
+    """
+    return state.merge(_accepted_revisions(revisions, first_day, last_day, accepted, state.tiebreak))
+
+
+def current_reviews(spark: SparkSession, state: LatestState, version: int | None = None) -> DataFrame:
+    """`latest_reviews` of all revisions merged so far."""
+    return _as_reviews(state.read(spark, version))
+
+
 def variant_documents(docs: DataFrame) -> DataFrame:
     """One row per variant and product document, with the nested attributes brought up."""
     names = F.col("extended.hierarchy.merchandising.forest.names")

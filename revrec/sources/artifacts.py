@@ -101,6 +101,11 @@ def verify_version(spark: SparkSession, base: str, version: int) -> bool:
     return record is not None and _digest(spark.read.parquet(record["path"])) == (record["rows"], record["digest"])
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that no version names."""
+    _Store(spark, path).delete(path)
+
+
 _COMMITS = "_commits"
 _RECORD = "version bigint, path string, rows bigint, digest string"
 
