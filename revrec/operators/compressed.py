@@ -20,7 +20,8 @@ from pyspark.sql.types import BinaryType, DoubleType, StructField, StructType
 from revrec.functions.vectors import dot
 from revrec.operators.ordering import sample_n, top_n
 from revrec.operators.retrieval import (
-    ITEM_BLOCK, QUERY_BLOCK, SCORE_DIGITS, best_columns, cells_for, fit_cells, matrix, named_vectors, nearest_cells, one_length, search_layout,
+    ITEM_BLOCK, QUERY_BLOCK, SCORE_DIGITS, best_pairs, cells_for, fit_cells, found_pairs, matrix, named_vectors, nearest_cells, one_length,
+    search_layout,
 )
 from revrec.sources.shared import materialise
 
@@ -29,6 +30,8 @@ PARTS, WORDS = 16, 256
 #: Items that codewords are learned from, and rounds of learning.
 SAMPLE, ROUNDS = 20_000, 12
 _CELLS = 4_000_000
+#: Rows of a part of each side: many codes weigh little, and each part gives every query its best candidates.
+QUERY_PART, CODES_PART = 16384, 1 << 20
 
 
 @dataclass(frozen=True)
@@ -127,29 +130,31 @@ def compress_at(items: DataFrame, centres: Sequence[Sequence[float]], books: Seq
     return CompressedIndex([list(c) for c in centres], books, codes, vectors)
 
 
-def _scored(index: CompressedIndex, keep: int):
-    """Best `keep` items of a block for each of its queries, by tables of inner products."""
+def _scored(index: CompressedIndex, keep: int, query_block: int, item_block: int):
+    """Best `keep` items of a part for each of its queries.
+
+    A block of items is its cell's centre and their codewords, side by side: its inner products with the
+    queries are the centre's plus the tables' entries, all parts of a vector at once.
+    """
     centres, books, starts = np.asarray(index.centres), index.books, index.starts
 
     def score(key: tuple[pa.Scalar, ...], queries: pa.Table, items: pa.Table) -> pa.Table:
-        found: list[list[np.ndarray]] = [[np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0)]]
-        items = items.sort_by("item_id")
+        items = items.sort_by("item_id").combine_chunks()
+        found = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
         if queries.num_rows and items.num_rows:
             left = matrix(queries["embedding"], queries.num_rows)
-            codes = np.frombuffer(b"".join(items["codes"].to_pylist()), np.uint8).reshape(items.num_rows, len(books))
-            base = left @ centres[key[0].as_py()]
-            step = max(1, _CELLS // items.num_rows)
-            for at in range(0, queries.num_rows, step):
-                own = left[at:at + step]
-                scores = np.repeat(base[at:at + step, None], items.num_rows, axis=1)
+            codes = np.frombuffer(b"".join(c.cast(pa.binary(len(books))).buffers()[1] for c in items["codes"].chunks), np.uint8)
+            codes, centre = codes[:items.num_rows * len(books)].reshape(-1, len(books)), centres[key[0].as_py()]
+
+            def decoded(a: int, b: int) -> np.ndarray:
+                vectors = np.empty((b - a, len(centre)))
                 for k, words in enumerate(books):
-                    scores += (own[:, starts[k]:starts[k + 1]] @ words.T)[:, codes[:, k]]
-                scores = np.round(scores, SCORE_DIGITS)
-                rows, cols = best_columns(scores, keep)
-                for out, x in zip(found, (rows + at, cols, scores[rows, cols])):
-                    out.append(x)
-        rows, cols, scores = (np.concatenate(x) for x in found)
-        return pa.table({"query_id": queries["query_id"].take(pa.array(rows)), "item_id": items["item_id"].take(pa.array(cols)), "score": pa.array(scores)})
+                    own = slice(starts[k], starts[k + 1])
+                    vectors[:, own] = (centre[own] + words)[codes[a:b, k]]
+                return vectors
+
+            found = best_pairs(left, items.num_rows, decoded, keep, query_block, item_block)
+        return found_pairs(queries, items, *found)
 
     return score
 
@@ -159,10 +164,10 @@ def candidates(queries: DataFrame, index: CompressedIndex, keep: int, probe: int
     """(query_id, item_id, score, rank): the best `keep` items of each query by their codes, in its `probe` nearest cells."""
     named = named_vectors(queries, query_id, "query_id").filter(F.size("embedding") == len(index.centres[0]))
     probes = nearest_cells(named, index.centres, probe).drop("distance")
-    q, i = search_layout(probes, index.codes, query_block, item_block)
+    q, i = search_layout(probes, index.codes, QUERY_PART, CODES_PART)
     schema = StructType([q.schema["query_id"], i.schema["item_id"], StructField("score", DoubleType())])
-    block = ["cell", "q_block", "i_block"]
-    found = q.groupBy(*block).cogroup(i.groupBy(*block)).applyInArrow(_scored(index, keep), schema)
+    part = ["cell", "q_part", "i_part"]
+    found = q.groupBy(*part).cogroup(i.groupBy(*part)).applyInArrow(_scored(index, keep, query_block, item_block), schema)
     return top_n(found, ["query_id"], [F.col("score").desc(), F.col("item_id").asc()], keep)
 
 
