@@ -95,3 +95,16 @@ def test_codes_of_a_slice_are_its_own(spark):
     rows, cols = retrieval.best_columns(scores, 12)
     found = compressed.candidates(frame(spark, queries, "query_id"), index, 12, 1, query_block=3, item_block=11)
     assert {(r["query_id"], r["item_id"]) for r in found.collect()} == set(zip(rows.tolist(), cols.tolist()))
+
+
+def test_centres_are_learned_from_a_bounded_share(spark, monkeypatch):
+    """k-means over the items grew with their number times the cells'; every item is still indexed, and found."""
+    monkeypatch.setattr(retrieval, "ITEM_BLOCK", 100)
+    monkeypatch.setattr(retrieval, "LEARNERS", 20)
+    draw, seen, fit = np.random.default_rng(7), [], retrieval.fit_cells
+    monkeypatch.setattr(retrieval, "fit_cells", lambda items, cells, seed=0: seen.append(items.count()) or fit(items, cells, seed))
+    items, queries = frame(spark, draw.normal(size=(1000, 3))), frame(spark, draw.normal(size=(10, 3)), "query_id")
+    index = retrieval.build_index(items, 8)
+    assert 110 <= seen[0] <= 210 and index.items.count() == 1000
+    exact = sorted(map(tuple, retrieval.top_k(queries, items, 4).collect()))
+    assert sorted(map(tuple, retrieval.pruned_top_k(queries, index, 4, 1).collect())) == exact
