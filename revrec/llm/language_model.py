@@ -6,7 +6,8 @@
    of frequent words to several. A bucket merges its runs and writes the n-grams' 64-bit hashes, sorted,
    and counts as arrays. It passes on what it knows of grams one word shorter: how many n-grams end in one
    (its count in the lower order), and of those that begin with it their number by count (1, 2, 3 and more)
-   and their sum. Such facts are dealt and merged in the same way, down to words.
+   and their sum. Such facts are dealt and merged in the same way, down to words: written once by turns of
+   buckets, and a turn is deleted when it has been merged, as are the files of a shuffle when its job ends.
 3. The facts on words are laid out by word id. Workers map all arrays and look up sorted batches of grams.
 
     p(w|h) = max(c(hw) - D(c), 0) / c(h.) + (D1 n1(h) + D2 n2(h) + D3 n3(h)) / c(h.) * p(w|h')
@@ -27,6 +28,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -37,12 +39,14 @@ from pyspark.sql import functions as F
 
 from revrec.llm import arrays
 from revrec.llm.texts import documents, fold, slices, small_batches, whole
-from revrec.sources.shared import drop, materialise, new_path
+from revrec.sources.shared import drop, drop_part, materialise, new_path, swept
 
 #: Words of a gram, its last word included.
 ORDER = 3
 #: Tokens for each bucket of grams, on average, and buckets for each task that merges them.
 BUCKET_TOKENS, TASK_BUCKETS = 1 << 20, 4
+#: Turns in which the buckets of shorter grams are merged, so that a share of their runs is on disk twice; buckets of a turn at least.
+TURNS, TURN_BUCKETS = 4, 4 * TASK_BUCKETS
 SMOOTH = 0.5
 _END, _BEGIN = b"", b" "  # no word can be either
 
@@ -312,11 +316,9 @@ def count_grams(docs: DataFrame, dealer: Dealer, order: int, folder: str) -> Dat
         keys, ids, facts = _summed(columns[:degree], columns[degree:])
         del columns
         listed = _saved(f"{folder}/{degree}", bucket, dict(zip(_FACTS, facts)), {"key": keys.astype("<u8")})
-        # Rows that the next merge only hands on have a bucket below 0, spread over its tasks.
-        yield _rows(1, bucket=[-1 - bucket], degree=[degree], part=[bucket], low=listed.column("low"),
-                    rows=[len(keys)], path=listed.column("path"))
+        yield _rows(1, degree=[degree], part=[bucket], low=listed.column("low"), rows=[len(keys)], path=listed.column("path"))
         count = facts[0]
-        yield _rows(4, bucket=[-1 - bucket] * 4, degree=[degree] * 4, low=[1, 2, 3, 4], spectrum=[int((count == k).sum()) for k in (1, 2, 3, 4)])
+        yield _rows(4, degree=[degree] * 4, low=[1, 2, 3, 4], spectrum=[int((count == k).sum()) for k in (1, 2, 3, 4)])
         # A gram that was never counted itself (of begins alone) tells nothing of shorter ones.
         seen = count > 0
         ids, count = [c[seen] for c in ids], count[seen]
@@ -336,10 +338,6 @@ def count_grams(docs: DataFrame, dealer: Dealer, order: int, folder: str) -> Dat
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             bucket, rows = None, []
             for batch in batches:
-                beside = pc.is_null(batch.column("columns"))
-                if pc.any(beside).as_py():
-                    yield batch.filter(beside).cast(_SCHEMA)
-                batch = batch.filter(pc.invert(beside))
                 for k, own in enumerate(batch.column("bucket").to_pylist()):
                     if own != bucket and rows:
                         yield from merged(degree, bucket, rows)
@@ -350,18 +348,38 @@ def count_grams(docs: DataFrame, dealer: Dealer, order: int, folder: str) -> Dat
 
         return run
 
-    tasks = max(1, dealer.buckets // TASK_BUCKETS)
-    out = _hashes_of(docs).select("text").mapInArrow(emit, _KINDS)
-    for degree in range(order, 1, -1):
-        out = out.repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(merge(degree), _KINDS)
+    turns = max(1, min(TURNS, dealer.buckets // TURN_BUCKETS))
+    kept = F.col("columns").isNull()
+    turn = F.when(kept, -1).otherwise(F.pmod("bucket", F.lit(turns))).cast("int")
+
+    def written(degree: int, runs: DataFrame, share: int) -> DataFrame:
+        tasks = max(1, dealer.buckets // (TASK_BUCKETS * share))
+        out = runs.repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(merge(degree), _KINDS)
+        return materialise(out.withColumn("turn", turn), "grams", ["turn"])
+
     with small_batches(docs.sparkSession):
-        return materialise(out, "grams")
+        tables = [written(order, _hashes_of(docs).select("text").mapInArrow(emit, _KINDS), 1)]
+        last = tables
+        for degree in range(order - 1, 1, -1):
+            merging, last = last, []
+            for k in range(turns):
+                own = F.col("turn") == k
+                last.append(written(degree, reduce(DataFrame.unionByName, [t.filter(own) for t in merging]).drop("turn"), turns))
+                for table in merging:
+                    drop_part(table, f"turn={k}")
+            tables += last
+    return reduce(DataFrame.unionByName, [t.filter("turn = -1") for t in tables])
 
 
 def train(docs: DataFrame, order: int = ORDER) -> Model:
     """Counts all of `docs` and writes the model's arrays to the shared folder."""
     if order < 2:
         raise ValueError("a model needs an order of 2 at least")
+    with swept(docs.sparkSession):
+        return _trained(docs, order)
+
+
+def _trained(docs: DataFrame, order: int) -> Model:
     spark = docs.sparkSession
     counts = materialise(count_words(docs), "words")
     total = counts.agg(F.sum("n")).first()[0] or 0
