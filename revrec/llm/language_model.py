@@ -26,6 +26,7 @@ rows count and are scored as often as they stand there; extra columns are ignore
 from __future__ import annotations
 
 import math
+import mmap
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -38,7 +39,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revrec.llm import arrays
-from revrec.llm.texts import documents, fold, slices, small_batches, whole
+from revrec.llm.texts import documents, fold, slices, small_batches, sparing, whole
 from revrec.sources.shared import drop, drop_part, materialise, new_path, swept
 
 #: Words of a gram, its last word included.
@@ -47,6 +48,8 @@ ORDER = 3
 BUCKET_TOKENS, TASK_BUCKETS = 1 << 20, 4
 #: Turns in which the buckets of shorter grams are merged, so that a share of their runs is on disk twice; buckets of a turn at least.
 TURNS, TURN_BUCKETS = 4, 4 * TASK_BUCKETS
+#: Bytes of text that are scored at once: about 600,000 places with their grams' facts.
+SCORED_BYTES = 4 << 20
 SMOOTH = 0.5
 _END, _BEGIN = b"", b" "  # no word can be either
 
@@ -58,17 +61,28 @@ def _hash(word: bytes) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
+def _hashes(words: pa.Array) -> np.ndarray:
+    """`_hash` of each word."""
+    import xxhash
+
+    words = words.cast(pa.large_binary())
+    _, offsets, data = words.buffers()
+    ends = np.frombuffer(offsets, np.int64)[words.offset:words.offset + len(words) + 1].tolist()
+    held = memoryview(data or b"")
+    return np.fromiter((xxhash.xxh64_intdigest(held[a:b]) for a, b in zip(ends, ends[1:])), np.uint64, len(words)).view(np.int64)
+
+
 def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ends of the texts in the tokens, index of every token (end included), hashes of the distinct ones."""
     lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
     flat = lists.flatten()
     coded = flat.dictionary_encode()
-    words = coded.dictionary.cast(pa.large_binary()).to_pylist()
-    hashes = np.array([*map(_hash, words), _hash(_END)], np.int64)
+    words = coded.dictionary
+    hashes = np.append(_hashes(words), np.int64(_hash(_END)))
     index = np.asarray(coded.indices, dtype=np.int64)
     sizes = np.asarray(pc.list_value_length(lists), dtype=np.int64)
     # White space at the edges of a text leaves empty words.
-    real = np.array([bool(w) for w in words] + [True])[index] if len(index) else np.empty(0, bool)
+    real = (np.asarray(pc.binary_length(words)) > 0)[index] if len(index) else np.empty(0, bool)
     owner = np.repeat(np.arange(len(sizes)), sizes)[real]
     sizes = np.bincount(owner, minlength=len(sizes))
     ends = np.cumsum(sizes)
@@ -90,10 +104,47 @@ def count_words(docs: DataFrame) -> DataFrame:
                 counts = np.bincount(index, minlength=len(hashes))
                 yield pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(counts)], ["hash", "n"])
 
-    partial = _hashes_of(docs).select("text").mapInArrow(run, "hash bigint, n bigint")
+    partial = _hashes_of(docs).select("text").mapInArrow(sparing(run), "hash bigint, n bigint")
     return partial.groupBy("hash").agg(F.sum("n").alias("n"))
 
 
+def _order(keys: np.ndarray) -> np.ndarray:
+    """Places of unsigned keys in their order: sorted by the upper bits with the place as lower ones, which takes a
+    fraction of the time; the few neighbours that differ in lower bits alone change places."""
+    shift = np.uint64(len(keys).bit_length())
+    packed = keys >> shift << shift | np.arange(len(keys), dtype=np.uint64)
+    packed.sort()
+    order = (packed & ((np.uint64(1) << shift) - np.uint64(1))).astype(np.int64)
+    for _ in range(4):
+        held = keys[order]
+        wrong = np.flatnonzero(held[1:] < held[:-1])
+        if not len(wrong):
+            return order
+        if (np.diff(wrong) == 1).any():
+            break
+        order[wrong], order[wrong + 1] = order[wrong + 1], order[wrong]
+    return np.argsort(keys)
+
+
+def _grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the keys in their order, the distinct ones, and where each begins in that order."""
+    order = _order(keys)
+    held = keys[order]
+    starts = np.flatnonzero(np.append(True, held[1:] != held[:-1])) if len(keys) else order
+    return order, held[starts], starts
+
+
+def _places(parts: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each number of a part, 0 at least, with its places in order; numbers below 0 have none."""
+    small = parts.astype(np.uint16) if parts.max(initial=0) < 1 << 16 and parts.min(initial=0) >= 0 else parts
+    order = np.argsort(small, kind="stable")
+    held = parts[order]
+    starts = np.flatnonzero(np.diff(held, prepend=-2))
+    for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(order)]):
+        if held[a] >= 0:
+            yield int(held[a]), order[a:b]
+
+
 class Vocabulary:
     """Sorted hashes with counts, in files by range; a word's id is its place."""
 
@@ -119,8 +170,7 @@ class Vocabulary:
         """A column's values by id, 0 where the id is -1."""
         out = np.zeros(len(ids), kind)
         at = np.searchsorted(self.base, ids, "right") - 1
-        for k in np.unique(at[ids >= 0]).tolist():
-            own = np.flatnonzero((at == k) & (ids >= 0))
+        for k, own in _places(at):
             held = _map((files or self.files)[k][3], name, kind, self.files[k][2])
             out[own] = held[ids[own] - self.base[k]]
         return out
@@ -138,6 +188,13 @@ def _map(path: str, name: str, kind: str, rows: int) -> np.ndarray:
     return _open[key]
 
 
+def _release() -> None:
+    """Pages of the mapped files that this worker has looked at leave its memory; the machine's cache keeps them."""
+    for held in _open.values():
+        if isinstance(held, np.memmap):
+            held._mmap.madvise(mmap.MADV_DONTNEED)
+
+
 def _written(files: DataFrame) -> list[tuple]:
     """Rows of a table of files, in order: one row per file."""
     return sorted(tuple(r) for r in materialise(files, "files").collect())
@@ -273,18 +330,16 @@ def _rows(size: int, /, **columns) -> pa.RecordBatch:
 def _runs(columns: Sequence[np.ndarray], facts: Sequence[np.ndarray], dealer: Dealer) -> pa.RecordBatch:
     """One row per bucket with its grams' words and facts, in order of their inner word, which packs it best."""
     bucket = dealer(columns)
-    order = np.lexsort((columns[(len(columns) - 1) // 2], bucket))
-    dealt = bucket[order]
-    starts = np.flatnonzero(np.diff(dealt, prepend=-1))
-    parts = [order[a:b] for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(order)])]
-    return _rows(len(parts), bucket=dealt[starts], columns=[[_pack(c[o]) for c in (*columns, *facts)] for o in parts])
+    order = np.argsort(columns[(len(columns) - 1) // 2])
+    parts = [(k, order[own]) for k, own in _places(bucket[order])]
+    return _rows(len(parts), bucket=[k for k, _ in parts], columns=[[_pack(c[o]) for c in (*columns, *facts)] for _, o in parts])
 
 
 def _summed(columns: Sequence[np.ndarray], facts: Sequence[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
     """Hashes of the distinct grams in order, their words and the sums of their facts."""
-    keys, first, at = np.unique(gram_keys(columns), return_index=True, return_inverse=True)
-    # Sums of doubles are exact below 2^53.
-    return keys, [c[first] for c in columns], [np.bincount(at, weights=v, minlength=len(keys)).astype(np.int64) for v in facts]
+    order, keys, starts = _grouped(gram_keys(columns))
+    first = order[starts]
+    return keys, [c[first] for c in columns], [np.add.reduceat(v[order], starts) if len(keys) else v for v in facts]
 
 
 def _saved(folder: str, part: int, facts: dict[str, np.ndarray], others: dict[str, np.ndarray] | None = None) -> pa.RecordBatch:
@@ -306,9 +361,10 @@ def count_grams(docs: DataFrame, dealer: Dealer, order: int, folder: str) -> Dat
         for batch in batches:
             for part in slices(batch):
                 _, _, ids, columns = _windows(part, words, order)
-                keys, first, counts = np.unique(gram_keys([ids[c] for c in columns]), return_index=True, return_counts=True)
-                if len(keys):
-                    yield _runs([ids[c[first]] for c in columns], [counts], dealer)
+                places, _, starts = _grouped(gram_keys([ids[c] for c in columns]))
+                if len(starts):
+                    first = places[starts]
+                    yield _runs([ids[c[first]] for c in columns], [np.diff(starts, append=len(places))], dealer)
 
     def merged(degree: int, bucket: int, rows: list[list[bytes]]) -> Iterator[pa.RecordBatch]:
         columns = [_unpack(list(blobs)) for blobs in zip(*rows)]
@@ -349,16 +405,16 @@ def count_grams(docs: DataFrame, dealer: Dealer, order: int, folder: str) -> Dat
         return run
 
     turns = max(1, min(TURNS, dealer.buckets // TURN_BUCKETS))
-    kept = F.col("columns").isNull()
-    turn = F.when(kept, -1).otherwise(F.pmod("bucket", F.lit(turns))).cast("int")
+    # Parts below 0 stay: lists and spectra, few rows, and facts by word.
+    turn = F.when(F.col("id").isNotNull(), -2).when(F.col("columns").isNull(), -1).otherwise(F.pmod("bucket", F.lit(turns))).cast("int")
 
     def written(degree: int, runs: DataFrame, share: int) -> DataFrame:
         tasks = max(1, dealer.buckets // (TASK_BUCKETS * share))
-        out = runs.repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(merge(degree), _KINDS)
+        out = runs.repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(sparing(merge(degree)), _KINDS)
         return materialise(out.withColumn("turn", turn), "grams", ["turn"])
 
     with small_batches(docs.sparkSession):
-        tables = [written(order, _hashes_of(docs).select("text").mapInArrow(emit, _KINDS), 1)]
+        tables = [written(order, _hashes_of(docs).select("text").mapInArrow(sparing(emit), _KINDS), 1)]
         last = tables
         for degree in range(order - 1, 1, -1):
             merging, last = last, []
@@ -368,7 +424,7 @@ def count_grams(docs: DataFrame, dealer: Dealer, order: int, folder: str) -> Dat
                 for table in merging:
                     drop_part(table, f"turn={k}")
             tables += last
-    return reduce(DataFrame.unionByName, [t.filter("turn = -1") for t in tables])
+    return reduce(DataFrame.unionByName, [t.filter("turn < 0") for t in tables])
 
 
 def train(docs: DataFrame, order: int = ORDER) -> Model:
@@ -389,10 +445,10 @@ def _trained(docs: DataFrame, order: int) -> Model:
     buckets = max(1, math.ceil(total / BUCKET_TOKENS))
     dealer = Dealer(words, end["n"] if end else 0, buckets, max(1.0, total / buckets / 4))
     raw = count_grams(docs, dealer, order, new_path(spark, "grams-by-bucket"))
-    files = raw.filter("path IS NOT NULL").select("degree", "part", "low", "rows", "path").collect()
-    seen = raw.filter("spectrum IS NOT NULL").groupBy("degree", "low").agg(F.sum("spectrum").alias("n")).collect()
+    files = raw.filter("turn = -1 AND path IS NOT NULL").select("degree", "part", "low", "rows", "path").collect()
+    seen = raw.filter("turn = -1 AND spectrum IS NOT NULL").groupBy("degree", "low").agg(F.sum("spectrum").alias("n")).collect()
     spectrum = {(r["degree"], r["low"]): r["n"] for r in seen}
-    stats = materialise(raw.filter("id IS NOT NULL").groupBy("id").agg(*[F.sum(c).alias(c) for c in _FACTS]), "statistics")
+    stats = materialise(raw.filter("turn = -2").groupBy("id").agg(*[F.sum(c).alias(c) for c in _FACTS]), "statistics")
     drop(raw)
     ended = F.col("count")
     t = stats.agg(
@@ -440,28 +496,22 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         """Facts on each word, 0 where the id is -1; the begin stands behind the last word."""
         out, words = [np.zeros(len(ids), np.int64) for _ in names], model.words
         at = np.minimum(np.searchsorted(words.base, ids, "right") - 1, max(0, len(words.files) - 1))
-        for k in np.unique(at[ids >= 0]).tolist():
+        for k, own in _places(np.where(ids >= 0, at, -1)):
             if k in files:
-                own = np.flatnonzero((at == k) & (ids >= 0))
                 for values, name in zip(out, names):
                     values[own] = _fact(files[k][3], name, files[k][1], files[k][2])[ids[own] - words.base[k]]
         return out
 
-    def facts(names: Sequence[str], columns: Sequence[np.ndarray]) -> list[np.ndarray]:
-        """Facts on distinct grams of known words, 0 where a gram was not seen."""
-        if len(columns) == 1:
-            return by_id(names, columns[0])
-        keys, bucket = gram_keys(columns), model.dealer(columns)
+    def facts(names: Sequence[str], keys: np.ndarray, columns: Sequence[np.ndarray]) -> list[np.ndarray]:
+        """Facts on distinct grams of known words in order of their keys, 0 where a gram was not seen."""
+        # Keys ascend, and stay so within a bucket.
         out = [np.zeros(len(keys), np.int64) for _ in names]
-        order = np.lexsort((keys, bucket))
-        dealt = bucket[order]
-        starts = np.flatnonzero(np.diff(dealt, prepend=-1))
-        for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(order)]):
-            listed = model.grams.get((len(columns), int(dealt[a])))
+        for bucket, own in _places(model.dealer(columns)):
+            listed = model.grams.get((len(columns), bucket))
             if listed is None:
                 continue
             low, rows, path = listed
-            held, own = _map(path, "key", "<u8", rows), order[a:b]
+            held = _map(path, "key", "<u8", rows)
             place = np.minimum(np.searchsorted(held, keys[own]), rows - 1)
             found = held[place] == keys[own]
             for values, name in zip(out, names):
@@ -470,13 +520,16 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def of_places(names: Sequence[str], columns: Sequence[np.ndarray]) -> list[np.ndarray]:
         """Facts on the gram of each place; every distinct one is looked up once."""
-        _, first, at = np.unique(gram_keys(columns), return_index=True, return_inverse=True)
-        return [values[at] for values in facts(names, [c[first] for c in columns])]
+        order, keys, starts = _grouped(gram_keys(columns))
+        at = np.empty(len(order), np.int64)
+        at[order] = np.repeat(np.arange(len(starts)), np.diff(starts, append=len(order)))
+        return [values[at] for values in facts(names, keys, [c[order[starts]] for c in columns])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, most=SCORED_BYTES):
                 yield _scored(part)
+                _release()
 
     def _scored(part: pa.RecordBatch) -> pa.RecordBatch:
         ends, index, ids, windows = _windows(part, model.words, model.order)
@@ -488,7 +541,10 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         for degree in range(2, model.order + 1):
             known = known[ids[windows[-degree][known]] >= 0]
             own = [ids[w[known]] for w in windows[-degree:]]
-            n1, n2, n3, total = of_places(_FACTS[1:], own[:-1])
+            if degree == 2:
+                n1, n2, n3, total = (values[windows[-2][known]] for values in by_id(_FACTS[1:], ids))
+            else:
+                n1, n2, n3, total = of_places(_FACTS[1:], own[:-1])
             c, real = np.zeros(len(known), np.int64), np.flatnonzero(own[-1] >= 0)
             c[real] = of_places(["count"], [o[real] for o in own])[0]
             d1, d2, d3 = model.discounts[degree]
@@ -507,7 +563,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             [part.column("doc_id"), pa.array(ends - starts), pa.array(per_text(found)), pa.array(per_text(base[index])), pa.array(per_text(logs))],
             ["doc_id", "n_tokens", "n_known", "base_score", "score"])
 
-    return _hashes_of(docs).mapInArrow(run, "doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double")
+    return _hashes_of(docs).mapInArrow(sparing(run), "doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double")
 
 
 def _lower(ended: np.ndarray, model: Model) -> np.ndarray:

@@ -1,7 +1,9 @@
 """Quality rules, licence scan, SimHash, language model and classifier against plain versions."""
 
 import math
+import os
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -15,6 +17,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from revrec.llm import language_model, licences, quality_model, quality_rules, simhash, texts
+from revrec.sources.shared import drop_part
 
 SF = "/root/testdata/sf0.001"
 ASCII_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -513,3 +516,34 @@ def test_risk_stays_non_negative_for_separable_data():
     bad = rng.normal(-2, 1, (100, len(quality_model.FIGURES)))
     model = quality_model.PositiveUnlabelled(0.8).fit(good[:100], np.vstack([good[100:], bad]))
     assert (model.score(good) > 0.5).mean() > 0.98 and (model.score(bad) < 0.5).mean() > 0.9
+
+
+@pytest.mark.parametrize("top", [3, 1 << 12, 1 << 63])
+def test_keys_in_order(top):
+    """Keys that agree in their upper bits and repeat are sorted and grouped like any others."""
+    draw = np.random.default_rng(top % 97)
+    for n in (0, 1, 2, 1000, 50_000):
+        keys = draw.integers(0, top, n, dtype=np.uint64)
+        order, held, starts = language_model._grouped(keys)
+        distinct, counts = np.unique(keys, return_counts=True)
+        assert keys[order].tolist() == np.sort(keys).tolist() and sorted(order.tolist()) == list(range(n))
+        assert held.tolist() == distinct.tolist() and np.diff(starts, append=n).tolist() == counts.tolist()
+
+
+def test_training_leaves_no_runs(spark, odd, monkeypatch):
+    """Files of shuffles and merged runs are deleted during training; they once stayed until the driver collected garbage."""
+    monkeypatch.setattr(language_model, "BUCKET_TOKENS", 2_000)
+    monkeypatch.setattr(language_model, "TURN_BUCKETS", 1)
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: {f for f in blocks.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in f}
+    before, runs = shuffled(), []
+    monkeypatch.setattr(language_model, "drop_part", lambda df, part: (runs.append((part, df.inputFiles())), drop_part(df, part)))
+    model = language_model.train(odd, 3)
+    for _ in range(100):
+        left = shuffled() - before
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left and model.tokens and len(runs) == language_model.TURNS
+    merged = [f.removeprefix("file://").removeprefix("file:") for part, files in runs for f in files if f"/{part}/" in f]
+    assert merged and not any(os.path.exists(f) for f in merged)
