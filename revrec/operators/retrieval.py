@@ -119,34 +119,54 @@ class _Best:
         self.unit = (left / self.lengths[:, None]).astype(np.float32)
         self.floor = np.full(len(left), -np.inf)
         self.parts, self.waiting = [_NO_PAIRS], 0
-
-    def see(self, at: int, right: np.ndarray, unit: np.ndarray, longest: float, cells: np.ndarray, marks: np.ndarray) -> None:
-        """Columns from `at` on; `unit` is `right` over `longest` in single precision."""
-        left, rows = self.left, None
-        near, good = (x[: len(left) * len(right)].reshape(len(left), -1) for x in (cells, marks))
-        # No product of two unit vectors is further than this from its value in single precision.
-        slack = (left.shape[1] + 8) * 2.0**-23
+        self.open, self.asked = [], 0
+
+    def begin(self, at: int, right: np.ndarray, longest: float) -> None:
+        """Columns from `at` on are those of `right`, whose longest is `longest`."""
+        self.at, self.right, self.longest, self.low = at, right, longest, None
+
+    def see(self, a: int, unit: np.ndarray, cells: np.ndarray, marks: np.ndarray) -> None:
+        """A block of columns, from `a` in `right` on; `unit` is it over `longest` in single precision."""
+        near, good = (x[: len(self.left) * len(unit)].reshape(len(self.left), -1) for x in (cells, marks))
+        if self.low is None:
+            # No product of two unit vectors is further than this from its value in single precision.
+            slack = (self.left.shape[1] + 8) * 2.0**-23
+            self.low = (self.floor / (self.lengths * self.longest) - slack).astype(np.float32)[:, None]
+            self.sound = np.isfinite(self.longest) and np.isfinite(self.lengths).all()
         # A column comes after those seen, so it has to be better than a full row's last; most are not, by far.
-        with np.errstate(over="ignore", invalid="ignore"):
-            low = (self.floor / (self.lengths * longest) - slack).astype(np.float32)
-            np.matmul(self.unit, unit.T, out=near)
-            np.greater_equal(near, low[:, None], out=good)
-        if np.isfinite(longest) and np.isfinite(self.lengths).all() and np.count_nonzero(good) <= _DENSE * near.size:
-            rows, cols = np.divmod(_marked(marks, near.size), near.shape[1])
-            scores = _pair_scores(left, right, rows, cols)
-            better = np.isfinite(scores) & (scores > self.floor[rows])
-            rows, cols, scores = rows[better], cols[better], scores[better]
-        if rows is None:
-            exact = np.round(left @ right.T, SCORE_DIGITS)
+        np.matmul(self.unit, unit.T, out=near)
+        np.greater_equal(near, self.low, out=good)
+        found = np.count_nonzero(good)
+        if self.sound and found <= _DENSE * near.size:
+            if found:
+                rows, cols = np.divmod(_marked(marks, near.size), near.shape[1])
+                self.open.append((rows, cols + a))
+                self.asked += found
+                if 2 * self.asked >= self.k * len(self.left):
+                    self.settle()
+        else:
+            self.settle()
+            exact = np.round(self.left @ self.right[a : a + len(unit)].T, SCORE_DIGITS)
             rows, cols = best_columns(exact, self.k)
-            scores = exact[rows, cols]
-        self.parts.append((rows, cols + at, scores))
+            self._add(rows, cols + a, exact[rows, cols])
+
+    def settle(self) -> None:
+        """Scores the open pairs; they wait for those of other blocks, so that few are not scored by themselves."""
+        if self.open:
+            rows, cols = (np.concatenate(x) for x in zip(*self.open))
+            self.open, self.asked = [], 0
+            scores = _pair_scores(self.left, self.right, rows, cols)
+            better = np.isfinite(scores) & (scores > self.floor[rows])
+            self._add(rows[better], cols[better], scores[better])
+
+    def _add(self, rows: np.ndarray, cols: np.ndarray, scores: np.ndarray) -> None:
+        self.parts.append((rows, cols + self.at, scores))
         self.waiting += len(rows)
-        if 2 * self.waiting >= self.k * len(left):
+        if 2 * self.waiting >= self.k * len(self.left):
             self.found()
 
     def found(self) -> tuple[np.ndarray, ...]:
-        self.parts, self.waiting = [_merged(self.parts, self.k, self.floor)], 0
+        self.parts, self.waiting, self.low = [_merged(self.parts, self.k, self.floor)], 0, None
         return self.parts[0]
 
 
@@ -166,9 +186,11 @@ def best_pairs(left: np.ndarray, width: int, part: Callable[[int, int], np.ndarr
         longest = _lengths(right).max()
         with np.errstate(over="ignore", invalid="ignore"):
             unit = (right / longest).astype(np.float32)
-        for own in rows:
-            for a in range(0, len(right), wide):
-                own.see(at + a, right[a : a + wide], unit[a : a + wide], longest, cells, marks)
+            for own in rows:
+                own.begin(at, right, longest)
+                for a in range(0, len(right), wide):
+                    own.see(a, unit[a : a + wide], cells, marks)
+                own.settle()
     found = [(own[0] + n * high, *own[1:]) for n, own in enumerate(x.found() for x in rows)]
     return tuple(np.concatenate(x) for x in zip(_NO_PAIRS, *found))
 

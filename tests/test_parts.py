@@ -108,3 +108,17 @@ def test_centres_are_learned_from_a_bounded_share(spark, monkeypatch):
     assert 110 <= seen[0] <= 210 and index.items.count() == 1000
     exact = sorted(map(tuple, retrieval.top_k(queries, items, 4).collect()))
     assert sorted(map(tuple, retrieval.pruned_top_k(queries, index, 4, 1).collect())) == exact
+
+
+def test_open_pairs_of_blocks_are_scored_together(monkeypatch):
+    """Small blocks once scored their few open pairs each by itself, which took most of the time; the best are the same."""
+    draw, calls, scored = np.random.default_rng(5), [], retrieval._pair_scores
+    left, right = draw.normal(size=(64, 16)), draw.normal(size=(6000, 16))
+    right[3000:3100] = right[:100]  # ties over blocks
+    monkeypatch.setattr(retrieval, "_pair_scores", lambda *a: (calls.append(1), scored(*a))[1])
+    rows, cols, scores = retrieval.best_pairs(left, len(right), lambda a, b: right[a:b], 5, 64, 32)
+    every = np.round(left @ right.T, retrieval.SCORE_DIGITS)
+    best = np.lexsort((np.broadcast_to(np.arange(6000), every.shape), -every))[:, :5]
+    assert cols.tolist() == best.ravel().tolist() and rows.tolist() == np.repeat(np.arange(64), 5).tolist()
+    assert scores.tolist() == np.take_along_axis(every, best, 1).ravel().tolist()
+    assert 0 < len(calls) < 6000 // 32 / 4
