@@ -238,11 +238,13 @@ class Dealer:
         begin = ids == self.words.size
         return np.where(begin, self.texts, self.words.take("n", "<i8", np.where(begin, -1, ids)))
 
-    def __call__(self, columns: Sequence[np.ndarray]) -> np.ndarray:
+    def __call__(self, columns: Sequence[np.ndarray], often: Sequence[np.ndarray] | None = None) -> np.ndarray:
         """Bucket of each gram: by its inner words, so that what it tells of both its shorter grams meets
-        others that do. Where these are frequent, by one more word too."""
-        inner, other = (columns[1:-1], columns[0]) if len(columns) > 2 else (columns[:1], columns[1])
-        counts = np.min([self.often(c) for c in inner], axis=0)
+        others that do. Where these are frequent, by one more word too. `often` is that of every word, where
+        the caller has it."""
+        inner, other = (slice(1, -1), columns[0]) if len(columns) > 2 else (slice(0, 1), columns[1])
+        counts = np.min(often[inner] if often else [self.often(c) for c in columns[inner]], axis=0)
+        inner = columns[inner]
         spread = np.maximum(1, np.ceil(counts / self.share)).astype(np.uint64)
         salt = (gram_keys([other]) >> np.uint64(33)) % spread
         return ((gram_keys([*inner, salt]) >> np.uint64(33)) % np.uint64(self.buckets)).astype(np.int64)
@@ -327,9 +329,10 @@ def _rows(size: int, /, **columns) -> pa.RecordBatch:
         [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(size, f.type) for f in _SCHEMA], schema=_SCHEMA)
 
 
-def _runs(columns: Sequence[np.ndarray], facts: Sequence[np.ndarray], dealer: Dealer) -> pa.RecordBatch:
+def _runs(columns: Sequence[np.ndarray], facts: Sequence[np.ndarray], dealer: Dealer,
+          often: Sequence[np.ndarray] | None = None) -> pa.RecordBatch:
     """One row per bucket with its grams' words and facts, in order of their inner word, which packs it best."""
-    bucket = dealer(columns)
+    bucket = dealer(columns, often)
     order = np.argsort(columns[(len(columns) - 1) // 2])
     parts = [(k, order[own]) for k, own in _places(bucket[order])]
     return _rows(len(parts), bucket=[k for k, _ in parts], columns=[[_pack(c[o]) for c in (*columns, *facts)] for _, o in parts])
@@ -363,8 +366,9 @@ def count_grams(docs: DataFrame, dealer: Dealer, order: int, folder: str) -> Dat
                 _, _, ids, columns = _windows(part, words, order)
                 places, _, starts = _grouped(gram_keys([ids[c] for c in columns]))
                 if len(starts):
-                    first = places[starts]
-                    yield _runs([ids[c[first]] for c in columns], [np.diff(starts, append=len(places))], dealer)
+                    first, often = places[starts], dealer.often(ids)
+                    distinct = [c[first] for c in columns]
+                    yield _runs([ids[c] for c in distinct], [np.diff(starts, append=len(places))], dealer, [often[c] for c in distinct])
 
     def merged(degree: int, bucket: int, rows: list[list[bytes]]) -> Iterator[pa.RecordBatch]:
         columns = [_unpack(list(blobs)) for blobs in zip(*rows)]
@@ -502,28 +506,31 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                     values[own] = _fact(files[k][3], name, files[k][1], files[k][2])[ids[own] - words.base[k]]
         return out
 
-    def facts(names: Sequence[str], keys: np.ndarray, columns: Sequence[np.ndarray]) -> list[np.ndarray]:
+    def facts(names: Sequence[str], keys: np.ndarray, columns: Sequence[np.ndarray], often: Sequence[np.ndarray]) -> list[np.ndarray]:
         """Facts on distinct grams of known words in order of their keys, 0 where a gram was not seen."""
         # Keys ascend, and stay so within a bucket.
         out = [np.zeros(len(keys), np.int64) for _ in names]
-        for bucket, own in _places(model.dealer(columns)):
+        for bucket, own in _places(model.dealer(columns, often)):
             listed = model.grams.get((len(columns), bucket))
             if listed is None:
                 continue
             low, rows, path = listed
             held = _map(path, "key", "<u8", rows)
-            place = np.minimum(np.searchsorted(held, keys[own]), rows - 1)
-            found = held[place] == keys[own]
+            wanted = keys[own]
+            place = np.minimum(np.searchsorted(held, wanted), rows - 1)
+            found = held[place] == wanted
+            own, place = own[found], place[found]
             for values, name in zip(out, names):
-                values[own] = np.where(found, _fact(path, name, low, rows)[place], 0)
+                values[own] = _fact(path, name, low, rows)[place]
         return out
 
-    def of_places(names: Sequence[str], columns: Sequence[np.ndarray]) -> list[np.ndarray]:
-        """Facts on the gram of each place; every distinct one is looked up once."""
-        order, keys, starts = _grouped(gram_keys(columns))
+    def of_places(names: Sequence[str], columns: Sequence[np.ndarray], ids: np.ndarray, often: np.ndarray) -> list[np.ndarray]:
+        """Facts on the gram of each place, given its words' indexes in `ids`; every distinct one is looked up once."""
+        order, keys, starts = _grouped(gram_keys([ids[c] for c in columns]))
         at = np.empty(len(order), np.int64)
         at[order] = np.repeat(np.arange(len(starts)), np.diff(starts, append=len(order)))
-        return [values[at] for values in facts(names, keys, [c[order[starts]] for c in columns])]
+        distinct = [c[order[starts]] for c in columns]
+        return [values[at] for values in facts(names, keys, [ids[c] for c in distinct], [often[c] for c in distinct])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -536,24 +543,28 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         counts = model.words.take("n", "<i8", ids[:-1])
         base = np.log10((counts + SMOOTH) / (model.tokens + SMOOTH * (model.words.size + 1)))
         p = _lower(by_id(["count"], ids[:-1])[0], model)[index]
+        starts = np.concatenate([[0], ends[:-1]])
+        some = len(ends) > 0
+        often, begin = np.append(counts, model.dealer.texts), np.array([len(ids) - 1])
         # Places whose history is known so far back; it is longer by a word with every order.
-        known = np.arange(len(index))
+        known, word = np.arange(len(index)), ids[index] >= 0
+        history = [values[windows[-2]] for values in by_id(_FACTS[1:], ids)]
         for degree in range(2, model.order + 1):
             known = known[ids[windows[-degree][known]] >= 0]
-            own = [ids[w[known]] for w in windows[-degree:]]
-            if degree == 2:
-                n1, n2, n3, total = (values[windows[-2][known]] for values in by_id(_FACTS[1:], ids))
-            else:
-                n1, n2, n3, total = of_places(_FACTS[1:], own[:-1])
-            c, real = np.zeros(len(known), np.int64), np.flatnonzero(own[-1] >= 0)
-            c[real] = of_places(["count"], [o[real] for o in own])[0]
-            d1, d2, d3 = model.discounts[degree]
-            cut = np.select([c == 0, c == 1, c == 2], [0.0, d1, d2], d3)
-            lower = p[known]
-            p[known] = np.where(total > 0, (c - cut + (d1 * n1 + d2 * n2 + d3 * n3) * lower) / np.maximum(total, 1), lower)
+            real = known[word[known]]
+            names = _FACTS if degree < model.order else _FACTS[:1]
+            count, *others = of_places(names, [w[real] for w in windows[-degree:]], ids, often)
+            c = np.zeros(len(index), np.int64)
+            c[real] = count
+            p[known] = _interpolated(c[known], [values[known] for values in history], p[known], model.discounts[degree])
+            # The next order's history is the gram of the place before; at a text's first word it is begins alone.
+            first = of_places(_FACTS[1:], [begin] * degree, ids, often) if others else []
+            for values, own, alone in zip(history, others, first):
+                values[:] = 0
+                values[real] = own
+                values[1:] = values[:-1].copy()
+                values[starts] = alone
         logs = np.log10(p)
-        starts = np.concatenate([[0], ends[:-1]])
-        some = len(ends) > 0
 
         def per_text(values: np.ndarray) -> np.ndarray:
             return np.add.reduceat(values, starts) if some else values[:0]
@@ -566,6 +577,13 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return _hashes_of(docs).mapInArrow(sparing(run), "doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double")
 
 
+def _interpolated(c: np.ndarray, history: Sequence[np.ndarray], lower: np.ndarray, cuts: tuple[float, float, float]) -> np.ndarray:
+    """p(w|h) from the gram's count, the history's facts and p(w|h')."""
+    (n1, n2, n3, total), (d1, d2, d3) = history, cuts
+    cut = np.select([c == 0, c == 1, c == 2], [0.0, d1, d2], d3)
+    return np.where(total > 0, (c - cut + (d1 * n1 + d2 * n2 + d3 * n3) * lower) / np.maximum(total, 1), lower)
+
+
 def _lower(ended: np.ndarray, model: Model) -> np.ndarray:
     """p(w) by the number of distinct words before it; 1 where nothing was learnt."""
     if not model.types:

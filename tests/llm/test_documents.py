@@ -547,3 +547,30 @@ def test_training_leaves_no_runs(spark, odd, monkeypatch):
     assert not left and model.tokens and len(runs) == language_model.TURNS
     merged = [f.removeprefix("file://").removeprefix("file:") for part, files in runs for f in files if f"/{part}/" in f]
     assert merged and not any(os.path.exists(f) for f in merged)
+
+
+def test_scoring_looks_each_gram_up_once(spark, odd, monkeypatch):
+    """A history is the gram of the place before, so its facts come with that gram's."""
+    docs = odd.filter("text IS NOT NULL").select("doc_id", "text")
+    model = language_model.train(docs, 3)
+    batch = docs.toArrow().combine_chunks().to_batches()[0]
+    want = sorted(tuple(r) for r in language_model.score(docs.filter("doc_id IS NOT NULL"), model).collect())
+    looked = Counter()
+
+    class Frame:
+        def mapInArrow(self, run, schema):
+            self.run = run
+            return self
+
+    class Dealer(language_model.Dealer):
+        def __call__(self, columns, *often):
+            looked[len(columns)] += len(columns[0])
+            return super().__call__(columns, *often)
+
+    monkeypatch.setattr(language_model, "_hashes_of", lambda df: df)
+    model.dealer = Dealer(model.words, model.dealer.texts, model.dealer.buckets, model.dealer.share)
+    rows = [tuple(r.values()) for out in language_model.score(Frame(), model).run(iter([batch])) for r in out.to_pylist()]
+    assert sorted(r for r in rows if r[0] is not None) == want
+    words = [["<", "<", *re.findall(r"[^\x20\x09-\x0d]+", t.translate(ASCII_LOWER)), ">"] for t in batch.column("text").to_pylist()]
+    pairs, triples = ({g for w in words for g in zip(*(w[k:] for k in range(n)))} for n in (2, 3))
+    assert looked == {2: len(pairs), 3: len(triples)}  # the two begins are one of the pairs
