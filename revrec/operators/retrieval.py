@@ -217,7 +217,7 @@ def _score_blocks(k: int, query_block: int, item_block: int):
     return score
 
 
-def _dealt(queries: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
+def dealt(queries: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Both sides by (cell, q_part, i_part), each sent once per part of the other."""
     first = F.lit(0).cast("long")
     own = lambda df, id_col: [c for c in df.columns if c not in ("cell", "q_parts", "i_parts", id_col)]
@@ -243,7 +243,7 @@ def _blocked_top_k(queries: DataFrame, items: DataFrame, k: int, query_block: in
 
     Both sides carry `q_parts` and `i_parts`, the numbers of parts that the cell is cut into.
     """
-    return _scored_top_k(*_dealt(queries, items), k, query_block, item_block)
+    return _scored_top_k(*dealt(queries, items), k, query_block, item_block)
 
 
 def _scored_top_k(q: DataFrame, i: DataFrame, k: int, query_block: int, item_block: int) -> DataFrame:
@@ -463,14 +463,18 @@ def open_cells(df: DataFrame, index: CellIndex, probe: int) -> DataFrame:
 
 
 def search_layout(probes: DataFrame, items: DataFrame, query_part: int = QUERY_PART,
-                  item_part: int = ITEM_PART) -> tuple[DataFrame, DataFrame]:
-    """(query_id, ..., cell) and (item_id, ..., cell) rows dealt to parts of the cells that both have."""
+                  item_part: int = ITEM_PART, tasks: int = 1) -> tuple[DataFrame, DataFrame]:
+    """(query_id, ..., cell) and (item_id, ..., cell) rows dealt to parts of the cells that both have.
+
+    A cell's queries are spread over `tasks` parts, unless these would be small.
+    """
     # A popular cell is cut into more parts. One row per cell, and the number of cells is given by
     # the index, whose centres every task holds anyway: small at any data size.
-    q_sizes = probes.groupBy("cell").agg(_parts(F.count("*"), query_part).alias("q_parts"))
+    spread = F.greatest(_parts(F.count("*"), query_part), F.least(_parts(F.count("*"), _SMALL_PART), F.lit(tasks).cast("long")))
+    q_sizes = probes.groupBy("cell").agg(spread.alias("q_parts"))
     i_sizes = items.groupBy("cell").agg(_parts(F.count("*"), item_part).alias("i_parts"))
     layout = F.broadcast(q_sizes.join(i_sizes, "cell"))
-    return _dealt(probes.join(layout, "cell"), items.join(layout, "cell"))
+    return dealt(probes.join(layout, "cell"), items.join(layout, "cell"))
 
 
 def _search(probes: DataFrame, index: CellIndex, k: int, query_block: int, item_block: int) -> DataFrame:

@@ -122,3 +122,43 @@ def test_open_pairs_of_blocks_are_scored_together(monkeypatch):
     assert cols.tolist() == best.ravel().tolist() and rows.tolist() == np.repeat(np.arange(64), 5).tolist()
     assert scores.tolist() == np.take_along_axis(every, best, 1).ravel().tolist()
     assert 0 < len(calls) < 6000 // 32 / 4
+
+
+def test_who_asks_all_cells_asks_one(spark):
+    """Each cell once searched its queries by itself: four lists a query, four copies of it, and four scores to beat from none."""
+    draw = np.random.default_rng(8)
+    items, queries = draw.normal(size=(120, 4)), draw.normal(size=(30, 4))
+    index = compressed.compress(frame(spark, items), 4, parts=2, words=8)
+    groups, layout = [], compressed.search_layout
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(compressed, "search_layout", lambda *a, **k: groups.append(layout(*a, **k)) or groups[-1])
+        found = compressed.candidates(frame(spark, queries, "query_id"), index, 9, 4).collect()
+    q, i = groups[0]
+    assert q.count() == 30 and i.count() == 120
+    held = {r["item_id"]: np.array(index.centres[r["cell"]]) + np.concatenate([b[c] for b, c in zip(index.books, r["codes"])]) for r in index.codes.collect()}
+    coded = np.round(queries @ np.array([held[n] for n in range(120)]).T, retrieval.SCORE_DIGITS)
+    rows, cols = retrieval.best_columns(coded, 9)
+    assert {(r["query_id"], r["item_id"]) for r in found} == set(zip(rows.tolist(), cols.tolist()))
+
+
+@pytest.mark.parametrize("text", [False, True])
+@pytest.mark.parametrize("most", [100, 0])
+def test_pairs_meet_their_vectors_in_parts(spark, monkeypatch, most, text):
+    """Every pair once carried two vectors through two joins; ids that come twice still give all their rows, either way."""
+    monkeypatch.setattr(compressed, "RERANK_PART", 7)
+    monkeypatch.setattr(compressed, "ITEM_PART", 9)
+    draw = np.random.default_rng(9)
+    q, i = np.vstack([draw.normal(size=(20, 3)), np.zeros((1, 3))]), draw.normal(size=(31, 3))
+    name = (lambda n: f"n{n}") if text else (lambda n: n)
+    kind = "string" if text else "long"
+    made = lambda rows, ids, c: spark.createDataFrame(
+        [(name(n), list(map(float, v))) for n, v in zip(ids, rows)], f"{c} {kind}, embedding array<double>").repartition(3)
+    q_ids, i_ids = [*range(20), 3], [*range(30), 5]
+    asked = [(a, b) for a in range(20) for b in range(30) if (a + b) % 3] + [(1, 2)]
+    pairs = spark.createDataFrame([(name(a), name(b)) for a, b in asked], f"query_id {kind}, item_id {kind}")
+    found = compressed.rescored(pairs, made(q, q_ids, "query_id"), made(i, i_ids, "item_id"), most)
+    wanted = sorted((name(a), name(b), round(float(q[x] @ i[y]), 6)) for a, b in asked for x, m in enumerate(q_ids) if m == a for y, n in enumerate(i_ids) if n == b)
+    rows = sorted((r["query_id"], r["item_id"], r["score"]) for r in found.collect())
+    assert [r[:2] for r in rows] == [w[:2] for w in wanted] and np.allclose([r[2] for r in rows], [w[2] for w in wanted], atol=2e-6)
+    plan = found._jdf.queryExecution().toString()
+    assert ("FlatMapCoGroupsInArrow" in plan) == bool(most)
