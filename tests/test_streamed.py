@@ -1,11 +1,12 @@
-"""Items in files that tasks read a stretch at a time: searches copy no side."""
+"""Items in files that tasks read a stretch at a time: searches copy no side, and every pair can be scored."""
 
 import time
 
 import numpy as np
 import pytest
 
-from revrec.operators import retrieval
+from revrec.operators import joins, retrieval
+from revrec.plans import catalogue
 from revrec.sources import shared
 
 KIND = "item_id long, embedding array<double>"
@@ -45,6 +46,33 @@ def test_no_side_is_copied_for_the_parts_of_the_other(spark, monkeypatch, writte
     assert {(r["query_id"], r["item_id"], r["rank"]) for r in found.collect()} == wanted
 
 
+def test_every_pair_is_scored(spark):
+    """Only the three best partners of each vector were."""
+    found = catalogue.QUERIES["score_pairs"](spark, "/root/testdata/sf0.001")
+    held = {r["vec_id"]: np.array(r["embedding"], np.float64) for r in spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").collect()}
+    rows = {(r["query_id"], r["item_id"]): r["score"] for r in found.collect()}
+    assert set(rows) == {(a, b) for a in held for b in held} and found.count() == len(rows)
+    assert all(abs(s - held[a] @ held[b]) < 1e-6 for (a, b), s in list(rows.items())[::97])
+
+
+def test_pairs_of_odd_vectors_have_no_score(spark, monkeypatch):
+    """All pairs over several files and blocks are those of the given pairs, and pairs of odd vectors stay."""
+    for name, rows in (("ITEM_PART", 6), ("_SMALL_PART", 4), ("_COLUMNS", 5), ("_ROWS", 3)):
+        monkeypatch.setattr(retrieval, name, rows)
+    draw = np.random.default_rng(12)
+    odd = [(90, None), (91, [1.0, None]), (92, [1.0, 2.0, 3.0]), (93, []), (94, [float("inf"), 1.0]), (3, [5.0, 5.0])]
+    rows = [(i, list(map(float, draw.normal(size=2)))) for i in range(15)] + odd
+    queries, items = (spark.createDataFrame(rows, KIND.replace("item_id", c)).repartition(2) for c in ("query_id", "item_id"))
+    plain = lambda df: sorted((r["query_id"], r["item_id"], None if r["score"] is None else str(round(r["score"], 9))) for r in df.collect())
+    pairs = queries.select("query_id").distinct().crossJoin(items.select("item_id").distinct())
+    found = plain(joins.score_pairs(None, queries, items))
+    key = lambda t: (t[0], t[1], t[2] or "")
+    assert len(found) == 21 * 21
+    assert sorted(found, key=key) == sorted(plain(joins.score_pairs(pairs, queries, items)), key=key)
+    none = spark.createDataFrame([], KIND)
+    assert joins.score_pairs(None, queries, none).count() == 0
+
+
 def test_a_written_table_leaves_no_shuffle_files(spark):
     """They stayed until the driver's memory filled, so that a job's disk was the sum of its steps'."""
     manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
