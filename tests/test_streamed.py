@@ -89,3 +89,18 @@ def test_a_written_table_leaves_no_shuffle_files(spark):
             break
         time.sleep(0.2)
     assert not left and table.count() == 1000
+
+
+def test_open_cells_weigh_against_what_a_whole_search_sends(spark, monkeypatch, written):
+    """The rows that open cells might send grew with the parts of both sides, that is with the square; the answer is the same."""
+    monkeypatch.setattr(retrieval, "QUERY_PART", 4)
+    monkeypatch.setattr(retrieval, "ITEM_PART", 20)
+    draw = np.random.default_rng(14)
+    items, queries = frame(spark, draw.normal(size=(100, 8))), frame(spark, draw.normal(size=(120, 8)), "query_id")
+    index = retrieval.build_index(items, 40)
+    exact = sorted(map(tuple, retrieval.top_k(queries, items, 5).collect()))
+    written.clear()
+    found = retrieval.pruned_top_k(queries, index, 5, 2, most_open=1.0)
+    assert sorted(map(tuple, found.collect())) == exact
+    # Nearly all of 120 queries' 38 cells stay open: more than eight rows for each of 220 vectors, fewer than for their copies.
+    assert "probes" not in [name for name, _ in written]
