@@ -5,7 +5,7 @@ import time
 import numpy as np
 import pytest
 
-from revrec.operators import joins, retrieval
+from revrec.operators import joins, retrieval, towers
 from revrec.plans import catalogue
 from revrec.sources import shared
 
@@ -91,6 +91,28 @@ def test_a_written_table_leaves_no_shuffle_files(spark):
     assert not left and table.count() == 1000
 
 
+def test_rounds_in_turns_arrive_at_the_same(spark, monkeypatch, written):
+    """All rounds' vectors were sent at once, written as they came back, and shuffled once more to be merged."""
+    draw = np.random.default_rng(13)
+    rows = [(i, int(draw.integers(0, 40)), int(draw.integers(0, 25)), float(i % 7 > 0)) for i in range(900)]
+    reviews = spark.createDataFrame(rows, "review_id long, customer_id_xf long, product_id_xf long, retrieval_sample_weight double")
+
+    def trained():
+        written.clear()
+        found = towers.fit_towers(reviews, "review_id", 4, 2, 0.05, 32, 16, batches_per_round=4)
+        state = {(r["kind"], r["index"]): (r["step"], np.array([r["vector"], r["mean"], r["square"]])) for r in found.state.collect()}
+        return state, [tuple(r) for r in found.losses.orderBy("epoch").collect()], [name for name, _ in written]
+
+    whole, losses, names = trained()
+    assert names.count("towers") == 1 + 2 and "updates" not in names
+    monkeypatch.setattr(towers, "TURN_ROWS", 3 * 32 * 4)
+    turned, again, names = trained()
+    assert names.count("towers") == 1 + 2 * 3  # eight rounds, three at a time
+    assert whole.keys() == turned.keys() and {k for k, _ in whole} == {0, 1}
+    assert all(s == turned[i][0] and np.abs(v - turned[i][1]).max() < 1e-12 for i, (s, v) in whole.items())
+    assert [x[::2] for x in losses] == [x[::2] for x in again] and np.allclose([x[1] for x in losses], [x[1] for x in again], atol=1e-9)
+
+
 def test_open_cells_weigh_against_what_a_whole_search_sends(spark, monkeypatch, written):
     """The rows that open cells might send grew with the parts of both sides, that is with the square; the answer is the same."""
     monkeypatch.setattr(retrieval, "QUERY_PART", 4)
